@@ -1,0 +1,36 @@
+"""Intermediate results several consumers read, kept as Parquet in shared storage.
+
+A written table survives lost executors, cuts the lineage, and unlike a cached
+frame lets each consumer read only its columns.
+"""
+
+from __future__ import annotations
+
+import tempfile
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The folder named by ``spark.checkpoint.dir``.
+
+    Only a local session, where driver and executors are one process, may go
+    without the setting; it gets a folder of its own.
+    """
+    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if configured:
+        return configured.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
+    own = tempfile.mkdtemp(prefix="rxsieve-")
+    spark.sparkContext.setCheckpointDir(own)
+    return spark.sparkContext.getCheckpointDir()
+
+
+def stored(frame: DataFrame, name: str) -> DataFrame:
+    """Write the frame once and return it as read back."""
+    spark = frame.sparkSession
+    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    frame.write.parquet(path)
+    return spark.read.schema(frame.schema).parquet(path)
