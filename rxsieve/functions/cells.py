@@ -3,6 +3,9 @@
 NULL, the empty string and any run of blanks are one and the same missing
 value. Every predicate here is true or false, never NULL, so it may be negated
 and combined freely.
+
+Predicates take a plain column name and are written as SQL expressions: a run
+builds hundreds of them, and one expression is one call into the JVM.
 """
 
 from __future__ import annotations
@@ -11,49 +14,62 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def cell(name: str) -> Column:
-    """Column by its plain name; names may hold blanks and hyphens."""
-    return F.col("`" + name.replace("`", "``") + "`")
+def quoted(name: str) -> str:
+    """A column name for SQL; names may hold blanks and hyphens."""
+    return "`" + name.replace("`", "``") + "`"
+
 
+def _literal(value: str) -> str:
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
-def as_column(c: str | Column) -> Column:
-    return cell(c) if isinstance(c, str) else c
 
+def _text(name: str) -> str:
+    return f"coalesce(cast({quoted(name)} as string), '')"
+
+
+def cell(name: str) -> Column:
+    return F.col(quoted(name))
 
-def text(c: str | Column) -> Column:
+
+def text(name: str) -> Column:
     """The cell as text, missing as the empty string."""
-    return F.coalesce(as_column(c).cast("string"), F.lit(""))
+    return F.expr(_text(name))
+
+
+def blank(name: str) -> Column:
+    return F.expr(f"trim({_text(name)}) = ''")
 
 
-def blank(c: str | Column) -> Column:
-    return F.trim(text(c)) == ""
+def filled(name: str) -> Column:
+    return F.expr(f"trim({_text(name)}) != ''")
 
 
-def filled(c: str | Column) -> Column:
-    return F.trim(text(c)) != ""
+def _one_of(name: str, values: tuple[str, ...], fold_case: bool) -> str:
+    named = [_literal(v) for v in values if v.strip()]
+    found = f"{f'upper({_text(name)})' if fold_case else _text(name)} in ({', '.join(named)})"
+    return f"({found} or trim({_text(name)}) = '')" if len(named) < len(values) else found
 
 
-def one_of(c: str | Column, *values: str, fold_case: bool = False) -> Column:
+def one_of(name: str, *values: str, fold_case: bool = False) -> Column:
     """The cell holds one of ``values``; a blank among them admits every missing spelling."""
-    named = [v for v in values if v.strip()]
-    found = (F.upper(text(c)) if fold_case else text(c)).isin(*named)
-    return found | blank(c) if len(named) < len(values) else found
+    return F.expr(_one_of(name, values, fold_case))
+
+
+def outside(name: str, *values: str, fold_case: bool = False) -> Column:
+    return F.expr(f"not {_one_of(name, values, fold_case)}")
 
 
-def outside(c: str | Column, *values: str, fold_case: bool = False) -> Column:
-    return ~one_of(c, *values, fold_case=fold_case)
+def size_of(name: str) -> Column:
+    return F.expr(f"length({_text(name)})")
 
 
-def longer_than(c: str | Column, limit: int) -> Column:
-    return F.length(text(c)) > limit
+def longer_than(name: str, limit: int) -> Column:
+    return F.expr(f"length({_text(name)}) > {limit}")
 
 
-def holds(c: str | Column, *parts: str) -> Column:
+def holds(name: str, *parts: str) -> Column:
     """The cell contains every one of ``parts``."""
-    found = F.lit(True)
-    for part in parts:
-        found = found & F.contains(text(c), F.lit(part))
-    return found
+    return F.expr(" and ".join(f"contains({_text(name)}, {_literal(part)})" for part in parts))
 
 
 def any_of(conditions: list[Column]) -> Column:
@@ -72,18 +88,18 @@ def surely(condition: Column) -> Column:
 
 
 def sql_wildcards(c: str | Column) -> Column:
-    return F.translate(as_column(c), "?*", "_%")
+    return F.translate(c, "?*", "_%")
 
 
 def clean_title(c: str | Column) -> Column:
     """Project titles lose quotes, commas and ampersands."""
-    return F.trim(F.regexp_replace(as_column(c), "['\",&]", ""))
+    return F.trim(F.regexp_replace(c, "['\",&]", ""))
 
 
 def clean_code(c: str | Column) -> Column:
     """Product codes: anything but letters and digits becomes a blank."""
-    return F.trim(F.regexp_replace(as_column(c), "[^0-9A-Za-z]", " "))
+    return F.trim(F.regexp_replace(c, "[^0-9A-Za-z]", " "))
 
 
 def printable(c: str | Column) -> Column:
-    return F.regexp_replace(as_column(c), "[^\\x20-\\x7E]", "")
+    return F.regexp_replace(c, "[^\\x20-\\x7E]", "")

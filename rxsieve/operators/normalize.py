@@ -8,9 +8,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rxsieve.functions.cells import blank, cell, filled, holds, sql_wildcards, text
+from rxsieve.functions.cells import blank, cell, filled, holds, one_of, sql_wildcards, text
 from rxsieve.params import INTAKE, CampaignParams
 
+INPUT_COLUMNS = [
+    "age_min", "age_max", "gpi", "ndc11", "ndc9", "b_g", "ms_ss", "drug_category", "retail_qty_limit",
+    "retail_qty_unit", "retail_qty_time", "mail_qty_limit", "mail_qty_unit", "mail_qty_time",
+]
+
 # Defaults, widest combined limit text, and campaigns with their own limit logic.
 DEFAULT_AGE_MIN = 0
 DEFAULT_AGE_MAX = 999
@@ -27,64 +32,61 @@ def normalize_drug_rows(drugs: DataFrame, run: CampaignParams) -> DataFrame:
 
     Keeping the raw codes and the star position lets the quality rules judge
     stars, which the wildcard conversion removes from ``gpi`` and ``ndc11``.
+    An input column that is absent counts as empty and is added as such.
     """
-    present = {c.lower() for c in drugs.columns}
-
-    def given(name: str) -> Column:
-        return cell(name) if name in present else F.lit(None).cast("string")
+    present = {f.name.lower(): f.dataType for f in drugs.schema.fields}
+    absent = [c for c in INPUT_COLUMNS if c not in present]
+    rows = drugs.withColumns({c: F.lit(None).cast("int" if c.startswith("age") else "string") for c in absent})
 
-    gpi, ndc11, ndc9 = given("gpi"), given("ndc11"), given("ndc9")
-    trimmed_gpi = F.trim(text(gpi))
-    stem = F.when(F.instr(trimmed_gpi, "*") > 1, F.substring_index(trimmed_gpi, "*", 1)).otherwise(trimmed_gpi)
+    gpi = F.trim(text("gpi"))
+    stem = F.when(F.instr(gpi, "*") > 1, F.substring_index(gpi, "*", 1)).otherwise(gpi)
     drug_sub = sql_wildcards(stem)
-    ndc11_sql, gpi_sql = sql_wildcards(ndc11), sql_wildcards(gpi)
+    wildcard = (filled("ndc11") & _has_wildcard("ndc11")) | (
+        blank("ndc11") & blank("ndc9") & filled("gpi") & _has_wildcard("gpi")
+    )
 
-    level = F.when(filled(ndc11), "NDC11").when(filled(ndc9), "NDC9").when(filled(gpi), "GPI")
-    code = F.when(filled(ndc11), ndc11_sql).when(filled(ndc9), ndc9).when(filled(gpi), drug_sub)
-    by_level = F.when(filled(ndc11), text(ndc11_sql)).when(blank(ndc9) & filled(gpi), text(gpi_sql)).otherwise("")
+    def by_level(ndc11: Column, ndc9: Column, gpi_code: Column) -> Column:
+        return F.when(filled("ndc11"), ndc11).when(filled("ndc9"), ndc9).when(filled("gpi"), gpi_code)
 
     def indicator(name: str) -> Column:
-        replace = blank(given(name))
-        if run.in_context(INTAKE):
-            replace = replace & blank(gpi)
-        return F.when(replace, F.lit(DEFAULT_INDICATOR)).otherwise(given(name))
+        replace = blank(name) & blank("gpi") if run.in_context(INTAKE) else blank(name)
+        return F.when(replace, F.lit(DEFAULT_INDICATOR)).otherwise(cell(name))
 
     def age(name: str, default: int) -> Column:
-        if name not in present:
-            return F.lit(default)
-        missing = blank(name) | (text(name) == "0")
-        return F.when(missing, F.lit(default).cast(drugs.schema[_spelled(drugs, name)].dataType)).otherwise(cell(name))
-
-    derived = {
-        "gpi_raw": gpi,
-        "ndc11_raw": ndc11,
-        "ast": F.instr(trimmed_gpi, "*"),
-        "age_min": age("age_min", DEFAULT_AGE_MIN),
-        "age_max": age("age_max", DEFAULT_AGE_MAX),
-        "gpi_len": F.length(stem),
-        "drug_sub": drug_sub,
-        "b_g": indicator("b_g"),
-        "ms_ss": indicator("ms_ss"),
-        "druglvl": level,
-        "drug_code": code,
-        "sql_join": F.when(holds(by_level, "_") | holds(by_level, "%"), "WILDCARD").otherwise(""),
-        "drugcat": F.trim(text(given("drug_category"))),
-    }
-    if "ndc11" in present:
-        derived["ndc11"] = ndc11_sql
-    if "gpi" in present:
-        derived["gpi"] = gpi_sql
-    derived |= _limits("retail", "rlimit", run, given) | _limits("mail", "mlimit", run, given)
-    return drugs.withColumns(derived)
-
-
-def _spelled(frame: DataFrame, name: str) -> str:
-    return next(c for c in frame.columns if c.lower() == name)
-
-
-def _limits(channel: str, out: str, run: CampaignParams, given) -> dict[str, Column]:
+        standard = F.lit(default).cast(present.get(name, "int"))
+        return F.when(one_of(name, "0", ""), standard).otherwise(cell(name))
+
+    return rows.withColumns(
+        {
+            "gpi": sql_wildcards("gpi"),
+            "ndc11": sql_wildcards("ndc11"),
+            "gpi_raw": cell("gpi"),
+            "ndc11_raw": cell("ndc11"),
+            "ast": F.instr(gpi, "*"),
+            "age_min": age("age_min", DEFAULT_AGE_MIN),
+            "age_max": age("age_max", DEFAULT_AGE_MAX),
+            "gpi_len": F.length(stem),
+            "drug_sub": drug_sub,
+            "b_g": indicator("b_g"),
+            "ms_ss": indicator("ms_ss"),
+            "druglvl": by_level(F.lit("NDC11"), F.lit("NDC9"), F.lit("GPI")),
+            "drug_code": by_level(sql_wildcards("ndc11"), cell("ndc9"), drug_sub),
+            "sql_join": F.when(wildcard, "WILDCARD").otherwise(""),
+            "drugcat": F.trim(text("drug_category")),
+            **_limits("retail", "rlimit", run),
+            **_limits("mail", "mlimit", run),
+        }
+    )
+
+
+def _has_wildcard(name: str) -> Column:
+    """A wildcard as entered, or already in SQL spelling."""
+    return holds(name, "?") | holds(name, "*") | holds(name, "_") | holds(name, "%")
+
+
+def _limits(channel: str, out: str, run: CampaignParams) -> dict[str, Column]:
     """Limit text and overflow flag of one channel, chosen by campaign and context."""
-    limit, unit, time = (given(f"{channel}_qty_{part}") for part in ("limit", "unit", "time"))
+    limit, unit, time = (f"{channel}_qty_{part}" for part in ("limit", "unit", "time"))
     any_given = filled(limit) | filled(unit) | filled(time)
     overflow = f"_exceed_{out}"
     within = F.lit(0)

@@ -1,8 +1,7 @@
 """Evaluates the active rules and reports faulty rows.
 
-All rules are plain columns of one projection. A row is faulty when any rule
-fires, and only faulty rows have their messages built. Removing repeated rows
-is the single shuffle.
+All rules are plain columns of one projection, evaluated once per row. Removing
+repeated rows is the single shuffle.
 """
 
 from __future__ import annotations
@@ -10,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rxsieve.functions.cells import any_of, blank, one_of, surely
+from rxsieve.functions.cells import blank, cell, one_of
 from rxsieve.params import INTAKE, CampaignParams
 from rxsieve.rules.gates import rules_for
 
@@ -30,13 +29,13 @@ def faulty_rows(drugs: DataFrame, run: CampaignParams) -> DataFrame:
     out of the report, after the rules have read them.
     """
     rules = rules_for(run, drugs.columns)
-    messages = F.array_compact(F.array(*[F.when(surely(r.fires), F.lit(r.message)) for r in rules]))
-    kept = [c for c in drugs.columns if not (run.in_context(INTAKE) and c.startswith("_"))]
-    return (
-        drugs.filter(any_of([surely(r.fires) for r in rules]))
-        .select(*[F.col(f"`{c}`") for c in kept], messages.alias(MESSAGES))
-        .distinct()
-    )
+    messages = F.array_compact(F.array(*[F.when(r.fires, r.message) for r in rules]))
+    kept = [cell(c) for c in drugs.columns if not (run.in_context(INTAKE) and c.startswith("_"))]
+    judged = drugs.select(*kept, messages.alias(MESSAGES))
+    # Exploding the one-element array keeps faulty rows only. A filter would do the same, but Spark
+    # pushes it below the projection, repeating every rule in it.
+    faulty = F.filter(F.array(MESSAGES), lambda given: F.size(given) > 0)
+    return judged.select(*kept, F.explode(faulty).alias(MESSAGES)).distinct()
 
 
 def validate_quality(drugs: DataFrame, run: CampaignParams) -> DataFrame:

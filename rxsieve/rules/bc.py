@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
-from rxsieve.functions.cells import blank, filled, longer_than, one_of, outside, text
+from rxsieve.functions.cells import blank, filled, longer_than, one_of, outside, size_of
 from rxsieve.rules.base import Rule, exchange_rules, missing_value, required
 
 
@@ -16,7 +14,7 @@ def bc_rules() -> list[Rule]:
         Rule(42, outside("SPCLTY MANAGED", "Y", "N"), "Invalid Speciality Managed"),
         Rule(43, outside("CALL TYPE", "E", "S", "N", " "), "Invalid Call Type"),
         missing_value(44, "EFFECTIVE DATE", "Invalid Effective Date"),
-        Rule(45, F.length(text("NDC")) != 11, "Invalid NDC 11"),
+        Rule(45, size_of("NDC") != 11, "Invalid NDC 11"),
         required(46, "DRUG LABEL NAME", "Invalid Drug Label Name"),
         Rule(47, longer_than("DRUG LABEL NAME", 100), "Invalid Length Drug Label Name"),
         required(48, "DRUG BRAND NAME", "Invalid Drug Brand Name"),

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from rxsieve.functions.cells import any_of, blank, cell, filled, holds, one_of, outside, text
+from rxsieve.functions.cells import any_of, blank, cell, filled, holds, longer_than, outside, size_of, text
 from rxsieve.rules.base import EXCLUDED, INCLUDED, Rule, is_included
 
 
@@ -52,10 +52,10 @@ def code_rules(columns: set[str]) -> list[Rule]:
         Rule(88, holds("ndc9", "-"), "Invalid NDC9"),
         Rule(89, holds("ndc11", "-"), "Invalid NDC11"),
         Rule(90, any_of([holds(c, ",") for c in listed]), "Multiple values separated by comma in one cell"),
-        Rule(91, filled("ndc9") & (F.length(text("ndc9")) != 9), "Invalid NDC9 length"),
-        Rule(92, filled("ndc11") & (F.length(text("ndc11")) != 11) & not_wildcard, "Invalid NDC11 length"),
+        Rule(91, filled("ndc9") & (size_of("ndc9") != 9), "Invalid NDC9 length"),
+        Rule(92, filled("ndc11") & (size_of("ndc11") != 11) & not_wildcard, "Invalid NDC11 length"),
         Rule(93, with_gpi & outside("gpi_len", "2", "4", "6", "8", "10", "12", "14"), "Invalid GPI length"),
-        Rule(94, with_gpi & (F.length(text("gpi")) > 14), "Invalid GPI length"),
+        Rule(94, with_gpi & longer_than("gpi", 14), "Invalid GPI length"),
         Rule(
             95,
             with_gpi
@@ -64,8 +64,8 @@ def code_rules(columns: set[str]) -> list[Rule]:
             "Invalid GPI",
         ),
         Rule(96, with_gpi & F.startswith(text(gpi_raw), F.lit("*")), "Invalid GPI"),
-        Rule(97, with_gpi & ~one_of("b_g", "B", "G", "A"), "B_G must be specified with GPI"),
-        Rule(98, with_gpi & ~one_of("ms_ss", "SS", "MS", "A"), "MS_SS must be specified with GPI"),
+        Rule(97, with_gpi & outside("b_g", "B", "G", "A"), "B_G must be specified with GPI"),
+        Rule(98, with_gpi & outside("ms_ss", "SS", "MS", "A"), "MS_SS must be specified with GPI"),
         Rule(99, exponent("ndc9", "E"), "Invalid NDC9"),
         Rule(100, exponent("ndc11", "E"), "Invalid NDC11"),
         Rule(101, exponent("gpi", "E"), "Invalid GPI"),

@@ -18,6 +18,7 @@ from rxsieve.plans import findings
 from rxsieve.plans.intake import pruned_validity, validate_intake
 from rxsieve.plans.load import prepare_load
 from rxsieve.plans.quality import validate_drugs
+from rxsieve.session import tuned
 from rxsieve.workload import inputs
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -77,7 +78,7 @@ projects, runs = _input(inputs.PROJECTS), _input(inputs.RUNS)
 
 
 def raw_rows(family: str) -> Query:
-    return _input(inputs.family_rows(family))
+    return lambda spark, sf: inputs.read_input(tuned(spark), sf, inputs.family_rows(family))
 
 
 def _normalized(run: CampaignParams, columns: list[str]) -> Query:
