@@ -46,18 +46,23 @@ def _product(name: str) -> Column:
     return F.when(F.length(text(name)) < SHORTEST_PRODUCT, DEFAULT_PRODUCT).otherwise(F.col(name))
 
 
-def drug_counts(campaigns: DataFrame, formulary: DataFrame, work: DataFrame) -> DataFrame:
-    """Number of drugs targeted per campaign, from the table its kind is counted in.
+def drug_count(campaign: Column, formulary: DataFrame, work: DataFrame) -> Column:
+    """Number of drugs targeted by a campaign, from the table its kind is counted in.
 
-    Each table is counted once, whatever the number of campaigns.
+    Each table is counted once, whatever the number of campaigns; campaigns of
+    any other kind have no count.
     """
-    formulary_count = formulary.agg(F.count("*")).scalar()
-    work_count = work.agg(F.count("*")).scalar()
-    campaign = F.col("campaign_id")
-    count = F.when(campaign.isin(*FORMULARY_COUNT_CAMPAIGNS), formulary_count).when(
-        campaign.isin(*WORK_COUNT_CAMPAIGNS), work_count
+    counted = F.count("*").alias("n")
+    return F.when(campaign.isin(*FORMULARY_COUNT_CAMPAIGNS), formulary.agg(counted).scalar()).when(
+        campaign.isin(*WORK_COUNT_CAMPAIGNS), work.agg(counted).scalar()
     )
-    return campaigns.select(campaign, count.alias("drug_count")).distinct().filter(F.col("drug_count").isNotNull())
+
+
+def drug_counts(campaign_ids: DataFrame, formulary: DataFrame, work: DataFrame) -> DataFrame:
+    """One row per campaign whose drugs are counted."""
+    counted = FORMULARY_COUNT_CAMPAIGNS + WORK_COUNT_CAMPAIGNS
+    wanted = campaign_ids.select("campaign_id").filter(F.col("campaign_id").isin(*counted)).distinct()
+    return wanted.withColumn("drug_count", drug_count(F.col("campaign_id"), formulary, work))
 
 
 def campaign_names(runs: DataFrame, campaigns: DataFrame) -> DataFrame:
@@ -73,13 +78,13 @@ def campaign_names(runs: DataFrame, campaigns: DataFrame) -> DataFrame:
 
 
 def run_summaries(
-    runs: DataFrame, campaigns: DataFrame, projects: DataFrame | None, counts: DataFrame | None = None
+    runs: DataFrame, campaigns: DataFrame, projects: DataFrame | None, count: Column | None = None
 ) -> DataFrame:
     """One summary row per finished run.
 
     ``runs`` has ticket, activity, campaign_id, mailing_name, program, project and
-    client_name. Without a project table the title is empty and both products
-    take their default.
+    client_name; ``count`` is the expression for their drug count. Without a
+    project table the title is empty and both products take their default.
     """
     named = campaign_names(runs, campaigns)
     if projects is None:
@@ -89,10 +94,6 @@ def run_summaries(
     else:
         details = project_details(projects).withColumn("ticket", F.col("prjct_id").cast("string")).drop("prjct_id")
         named = named.join(details, "ticket", "left")
-    if counts is None:
-        named = named.withColumn("drug_count", F.lit(None).cast("long"))
-    else:
-        named = named.join(counts, "campaign_id", "left")
     title = text("title_nm")
     subject = F.concat(F.lit("SUCCESS!! "), text("activity"), F.lit(" - "), text("ticket"), F.lit(" "), title)
     return named.select(
@@ -108,6 +109,6 @@ def run_summaries(
         F.coalesce("prod_id", F.lit(DEFAULT_PRODUCT)).alias("product_id"),
         F.coalesce("prod_subcat_id", F.lit(DEFAULT_PRODUCT)).alias("subproduct_id"),
         "client_name",
-        "drug_count",
+        (F.lit(None).cast("long") if count is None else count).alias("drug_count"),
         "targeting_message",
     )

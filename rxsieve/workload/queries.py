@@ -198,7 +198,8 @@ def campaign_lookup(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def campaign_summary(spark: SparkSession, sf: str) -> DataFrame:
-    return summary.run_summaries(runs(spark, sf), campaigns(spark, sf), projects(spark, sf), drug_count(spark, sf))
+    count = summary.drug_count(F.col("campaign_id"), formulary(spark, sf), intake(spark, sf))
+    return summary.run_summaries(runs(spark, sf), campaigns(spark, sf), projects(spark, sf), count)
 
 
 QUERIES: dict[str, Query] = {
