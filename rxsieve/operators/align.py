@@ -5,7 +5,6 @@ Schemas are compared while the plan is built; no job runs.
 
 from __future__ import annotations
 
-import datetime as dt
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -83,11 +82,8 @@ def align_to_target(source: DataFrame, target: T.StructType) -> DataFrame:
 
 
 def load_time(run: CampaignParams) -> Column:
-    return F.current_timestamp() if run.run_ts is None else F.lit(_naive_utc(run.run_ts)).cast("timestamp")
-
-
-def _naive_utc(moment: dt.datetime) -> dt.datetime:
-    return moment.astimezone(dt.timezone.utc) if moment.tzinfo else moment
+    """The run's time; a time without zone is read in the session's zone."""
+    return F.current_timestamp() if run.run_ts is None else F.lit(run.run_ts.isoformat()).cast("timestamp")
 
 
 def append_projection(frame: DataFrame, run: CampaignParams) -> DataFrame:
