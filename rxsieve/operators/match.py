@@ -2,19 +2,18 @@
 
 The match condition is a three-way OR with LIKE, which a planner can only run
 as a nested loop over all pairs. Here every code is reduced to an *anchor*, a
-literal piece any matching product must contain: the whole code, the text
-before the first wildcard, or the longest literal run inside. Products offer
+literal piece any matching product must contain: the whole code, or its longest
+run without wildcard, which leads the code or lies inside. Products offer
 their pieces of exactly the lengths some code asks for, so the match becomes one
 equi-join; LIKE remains as a residual check for codes with inner wildcards.
 
 Scale notes
- * Copies on either side are removed before the join, so a group of copies never
-   multiplies with another.
- * Short anchors ("01") hit a large share of the catalogue. They are salted: products
-   spread over ``SALTS`` keys, the few short codes are repeated per salt. Other hot
-   keys are left to AQE's skew join.
- * No broadcast hint: Spark broadcasts the code side when its size, known at run
-   time, is under the session's threshold, and shuffles both sides otherwise.
+ * The codes are measured first. Up to ``BROADCAST_BYTES`` they are broadcast: the
+   catalogue is then read once and only its matches are shuffled.
+ * Beyond that both sides are shuffled. Copies on either side go before the join, so
+   groups of copies never multiply. Short anchors ("01") hit a large share of the
+   catalogue and are salted: products spread over ``SALTS`` keys, and the few codes
+   that short are repeated per salt. Other hot keys are split by AQE's skew join.
 """
 
 from __future__ import annotations
@@ -36,13 +35,16 @@ MONY_COLUMNS = ["mony_m", "mony_o", "mony_n", "mony_y", "rx", "otc"]
 # Tags of the two product definitions; the first is four characters wide.
 PBM, MDDB = "PBM ", "MDDB"
 
+BROADCAST_BYTES = 32 * 1024 * 1024
 SALTS = 16
 SHORT_ANCHOR = 4
 
 # LIKE's escape character is set to one no code holds, so a backslash is an ordinary character.
 NO_ESCAPE = "\u0001"
 
-WHOLE, HEAD, INSIDE = "whole", "head", "inside"
+# A piece is one of these letters and the text: which code of the product it comes from, and how.
+WHOLE_NDC9, WHOLE_NDC11, NDC11_HEAD, NDC11_INSIDE, GPI_HEAD, GPI_INSIDE = "9", "N", "H", "I", "G", "J"
+PIECES = "array<string>"
 
 
 def drug_columns(run: CampaignParams) -> list[str]:
@@ -51,28 +53,33 @@ def drug_columns(run: CampaignParams) -> list[str]:
 
 def match_products(drugs: DataFrame, catalog: DataFrame, columns: list[str] = DRUG_COLUMNS) -> DataFrame:
     """Distinct (product, drug row) pairs with all catalogue columns and the given drug columns."""
-    codes = _anchored(drugs.select(*[cell(c) for c in columns]))
-    products = catalog.select(*PRODUCT_COLUMNS).filter(F.col("drug_prod_gid").isNotNull()).distinct()
+    return _pairs(drugs, catalog, columns).distinct()
 
-    wanted = codes.agg(F.collect_set(F.struct("subject", "mode", "anchor_length")).alias("wanted")).scalar()
-    pieces = _pieces(products, wanted)
-    salted = codes.distinct().withColumn(
-        "salt",
-        F.explode(F.when(_is_short(), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))),
-    )
-    pairs = pieces.join(salted, ["subject", "mode", "anchor_length", "anchor", "salt"])
-    fits = F.col("pattern").isNull() | F.like(F.col("subject_text"), F.col("pattern"), F.lit(NO_ESCAPE))
-    return pairs.filter(fits).select(*PRODUCT_COLUMNS, *columns)
 
+def _pairs(drugs: DataFrame, catalog: DataFrame, columns: list[str]) -> DataFrame:
+    codes = _anchored(drugs.select(*[cell(c) for c in columns]))
+    products = catalog.select(*PRODUCT_COLUMNS).filter(F.col("drug_prod_gid").isNotNull())
+    wanted, size = _measure(codes, columns)
+    if size <= BROADCAST_BYTES:
+        pairs = _pieces(products, wanted).join(F.broadcast(codes.distinct()), "piece")
+    else:
+        salt = F.pmod(F.xxhash64("drug_prod_gid", "drug_id", "gpi_cd"), F.lit(SALTS)).cast("int")
+        all_salts = F.sequence(F.lit(0), F.lit(SALTS - 1))
+        spread = _pieces(products.distinct(), wanted).withColumn("salt", F.when(_is_short(), salt).otherwise(0))
+        repeated = codes.distinct().withColumn(
+            "salt", F.explode(F.when(_is_short(), all_salts).otherwise(F.array(F.lit(0))))
+        )
+        pairs = spread.hint("merge").join(repeated, ["piece", "salt"])
 
-def _is_short() -> Column:
-    return (F.col("mode") != WHOLE) & (F.col("anchor_length") <= SHORT_ANCHOR)
+    subject = F.when(F.col("druglvl") == "GPI", F.trim("gpi_cd")).otherwise(F.col("drug_id"))
+    fits = F.col("pattern").isNull() | F.like(subject, F.col("pattern"), F.lit(NO_ESCAPE))
+    return pairs.filter(fits).select(*PRODUCT_COLUMNS, *columns)
 
 
 def _anchored(drugs: DataFrame) -> DataFrame:
-    """Drug rows with the piece of product text they ask for.
+    """Drug rows with the piece of product code they ask for.
 
-    ``pattern`` is set only where the anchor alone does not decide the match.
+    ``pattern`` is set only where the piece alone does not decide the match.
     A blank code asks for nothing.
     """
     level, code = F.col("druglvl"), F.col("drug_code")
@@ -80,38 +87,62 @@ def _anchored(drugs: DataFrame) -> DataFrame:
     like = F.when(is_gpi, F.concat(F.trim(code), F.lit("%"))).otherwise(code)
     head = F.regexp_extract(like, "^[^_%]*", 0)
     runs = F.transform(F.split(like, "[_%]+"), lambda run: F.struct(F.length(run).alias("size"), run.alias("run")))
-    whole = (level == "NDC9") | (~is_gpi & ~F.rlike(code, F.lit("[_%]")))
-
-    mode = F.when(whole, WHOLE).when(head != "", HEAD).otherwise(INSIDE)
-    anchor = F.when(whole, code).when(head != "", head).otherwise(F.array_max(runs)["run"])
-    pattern = F.when(~whole & (like != F.concat(head, F.lit("%"))), like)
-    subject = F.when(level == "NDC9", "ndc9").when(level == "NDC11", "ndc11").otherwise("gpi")
-    return (
-        drugs.filter(level.isin("NDC11", "NDC9", "GPI") & filled("drug_code"))
-        .withColumns({"subject": subject, "mode": mode, "anchor": anchor, "pattern": pattern})
-        .withColumn("anchor_length", F.length("anchor"))
+    longest = F.array_max(runs)
+    leads = F.length(head) >= longest["size"]
+    is_ndc9 = level == "NDC9"
+    whole = is_ndc9 | (~is_gpi & ~F.rlike(code, F.lit("[_%]")))
+
+    origin = (
+        F.when(whole, F.when(is_ndc9, WHOLE_NDC9).otherwise(WHOLE_NDC11))
+        .when(leads, F.when(is_gpi, GPI_HEAD).otherwise(NDC11_HEAD))
+        .otherwise(F.when(is_gpi, GPI_INSIDE).otherwise(NDC11_INSIDE))
+    )
+    anchor = F.when(whole, code).when(leads, head).otherwise(longest["run"])
+    decided = whole | (like == F.concat(head, F.lit("%")))
+    return drugs.filter(level.isin("NDC11", "NDC9", "GPI") & filled("drug_code")).withColumns(
+        {"piece": F.concat(origin, anchor), "pattern": F.when(~decided, like)}
     )
 
 
-def _pieces(products: DataFrame, wanted: Column) -> DataFrame:
-    """One row per product and piece of its codes that has a wanted kind and length."""
-    asked = products.withColumn("wanted", wanted).select(*PRODUCT_COLUMNS, F.inline("wanted"))
-    subject_text = (
-        F.when(F.col("subject") == "ndc9", F.substring("drug_id", 1, 9))
-        .when(F.col("subject") == "ndc11", F.col("drug_id"))
-        .otherwise(F.trim("gpi_cd"))
-    )
-    size, n = F.length("subject_text"), F.col("anchor_length")
-    starts = F.sequence(F.lit(1), size - n + 1)
-    inside = F.array_distinct(F.transform(starts, lambda i: F.substring(F.col("subject_text"), i, n)))
-    first = F.array(F.substring(F.col("subject_text"), F.lit(1), n))
-    salt = F.pmod(F.xxhash64("drug_prod_gid", "drug_id", "gpi_cd"), F.lit(SALTS)).cast("int")
-    return (
-        asked.withColumn("subject_text", subject_text)
-        .filter(F.when(F.col("mode") == WHOLE, size == n).otherwise(size >= n))
-        .withColumn("anchor", F.explode(F.when(F.col("mode") == INSIDE, inside).otherwise(first)))
-        .withColumn("salt", F.when(_is_short(), salt).otherwise(F.lit(0)))
-    )
+def _measure(codes: DataFrame, columns: list[str]) -> tuple[list[tuple[str, int]], int]:
+    """The kinds and lengths of pieces the codes ask for, and the bytes they take.
+
+    One small job over the drug rows. Its answer is a handful of pairs, for a code
+    has few characters; the size counts copies too, so it is an upper bound.
+    """
+    kind = F.struct(F.substring("piece", 1, 1).alias("origin"), (F.length("piece") - 1).alias("n"))
+    used = F.octet_length(F.concat_ws("", "piece", "pattern", *columns)) + 8 * (len(columns) + 2)
+    found = codes.agg(F.collect_set(kind).alias("wanted"), F.coalesce(F.sum(used), F.lit(0)).alias("size")).first()
+    return sorted((w["origin"], w["n"]) for w in found["wanted"]), found["size"]
+
+
+def _is_short() -> Column:
+    whole = F.substring("piece", 1, 1).isin(WHOLE_NDC9, WHOLE_NDC11)
+    return ~whole & (F.length("piece") - 1 <= SHORT_ANCHOR)
+
+
+def _pieces(products: DataFrame, wanted: list[tuple[str, int]]) -> DataFrame:
+    """One row per product and wanted piece of its codes."""
+    ndc9, ndc11, gpi = F.substring("drug_id", 1, 9), F.col("drug_id"), F.trim("gpi_cd")
+    singles, inner = [], []
+    for origin, n in wanted:
+        tag = F.lit(origin)
+        text = {WHOLE_NDC9: ndc9, GPI_HEAD: gpi, GPI_INSIDE: gpi}.get(origin, ndc11)
+        if origin in (WHOLE_NDC9, WHOLE_NDC11):
+            singles.append(F.when(F.length(text) == n, F.concat(tag, text)))
+        elif origin in (NDC11_HEAD, GPI_HEAD):
+            singles.append(F.when(F.length(text) >= n, F.concat(tag, F.substring(text, 1, n))))
+        else:
+            inner.append(_inner_pieces(tag, text, n))
+    offered = F.concat(F.array(*singles).cast(PIECES), *inner)
+    return products.withColumn("piece", F.explode(offered)).filter(F.col("piece").isNotNull())
+
+
+def _inner_pieces(tag: Column, text: Column, n: int) -> Column:
+    """Every different run of ``n`` characters in the text."""
+    starts = F.sequence(F.lit(1), F.length(text) - n + 1)
+    runs = F.transform(starts, lambda start: F.concat(tag, F.substring(text, start, F.lit(n))))
+    return F.when(F.length(text) >= n, F.array_distinct(runs)).otherwise(F.array().cast(PIECES))
 
 
 def drug_validity(drugs: DataFrame, catalog: DataFrame, run: CampaignParams) -> DataFrame:
@@ -121,7 +152,6 @@ def drug_validity(drugs: DataFrame, catalog: DataFrame, run: CampaignParams) ->
     the latter with the MDDB indicators under the PBM names.
     """
     columns = drug_columns(run)
-    pairs = match_products(drugs, catalog, columns)
 
     def definition(tag: str, brand: str, source: str, source_code: str) -> Column:
         return F.struct(
@@ -135,6 +165,7 @@ def drug_validity(drugs: DataFrame, catalog: DataFrame, run: CampaignParams) ->
         definition(PBM, "brnd_gnrc_cd", "drug_multi_src_cd", "pbm_drug_multi_src_cd"),
         definition(MDDB, "mddb_brnd_gnrc_cd", "mddb_drug_multi_src_cd", "mddb_multsrc_cd"),
     )
+    pairs = _pairs(drugs, catalog, columns)
     rows = pairs.select("drug_prod_gid", "drug_id", "otc_drug_ind", *columns, F.inline(both))
     indicators = ["brnd_gnrc_cd", "drug_multi_src_cd", "pbm_drug_multi_src_cd", "otc_drug_ind"]
     switches = MONY_COLUMNS if run.has_mony_switches else []

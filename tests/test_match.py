@@ -5,6 +5,7 @@ import re
 
 import pytest
 
+from rxsieve.operators import match
 from rxsieve.operators.match import DRUG_COLUMNS, MDDB, MONY_COLUMNS, PBM, PRODUCT_COLUMNS, drug_validity, match_products
 from rxsieve.params import CampaignParams
 from tests.conftest import rows_of
@@ -39,6 +40,12 @@ def product(gid, drug_id, gpi, **more):
     return dict.fromkeys(PRODUCT_COLUMNS) | {"drug_prod_gid": gid, "drug_id": drug_id, "gpi_cd": gpi} | more
 
 
+@pytest.fixture
+def shuffled(monkeypatch):
+    """Treat any number of codes as too many to broadcast."""
+    monkeypatch.setattr(match, "BROADCAST_BYTES", -1)
+
+
 def frames(spark, drugs, products):
     return (
         spark.createDataFrame([tuple(d[c] for c in DRUG_COLUMNS) for d in drugs], DRUG_SCHEMA),
@@ -108,13 +115,14 @@ def test_equals_like_over_all_pairs(spark, seed):
     assert rows_of(match_products(*frames(spark, drugs, products))) == expected_pairs(drugs, products)
 
 
-def test_equals_like_over_all_pairs_without_broadcast(spark, shuffled_joins):
-    drugs, products = random_inputs(4)
+@pytest.mark.parametrize("seed", [1, 4])
+def test_equals_like_over_all_pairs_without_broadcast(spark, shuffled, seed):
+    drugs, products = random_inputs(seed)
     matched = match_products(*frames(spark, drugs, products))
     assert rows_of(matched) == expected_pairs(drugs, products)
     plan = matched._jdf.queryExecution().toString()
     assert "SortMergeJoin" in plan
-    assert "NestedLoop" not in plan and "Cartesian" not in plan
+    assert "NestedLoop" not in plan and "Cartesian" not in plan and "Broadcast" not in plan
 
 
 def test_backslash_is_an_ordinary_character(spark):
@@ -133,7 +141,7 @@ def test_no_codes_no_matches(spark):
     assert match_products(drugs.limit(0), products).count() == 0
 
 
-def test_one_short_prefix_for_a_third_of_the_catalogue(spark, shuffled_joins):
+def test_one_short_prefix_for_a_third_of_the_catalogue(spark, shuffled):
     products = [product(i, f"{i:011d}", ("01" if i % 3 == 0 else f"{i % 89 + 10:02d}") + f"{i:012d}") for i in range(900)]
     drugs = [drug("GPI", "01", drug_desc=str(i)) for i in range(5)]
     assert match_products(*frames(spark, drugs, products)).count() == 5 * 300
