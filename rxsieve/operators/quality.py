@@ -6,14 +6,13 @@ repeated rows is the single shuffle.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rxsieve.functions.cells import blank, cell, one_of
 from rxsieve.params import INTAKE, CampaignParams
 from rxsieve.rules.gates import rules_for
 
-MESSAGES = "validation_msgs"
 MESSAGE = "validation_msg"
 SEPARATOR = "; "
 
@@ -22,41 +21,36 @@ TARGET_INDICATOR_CAMPAIGNS = (64, 561)
 TIER_RANGE_CAMPAIGN, TIER_RANGE_RUN_TYPE = 64, "CF"
 
 
-def faulty_rows(drugs: DataFrame, run: CampaignParams) -> DataFrame:
-    """Distinct faulty rows with their messages as an array, in rule order.
+def validate_quality(drugs: DataFrame, run: CampaignParams) -> DataFrame:
+    """The quality report: distinct faulty rows with one message text each.
 
     Under the general intake form working columns (leading underscore) are left
     out of the report, after the rules have read them.
     """
     rules = rules_for(run, drugs.columns)
-    messages = F.array_compact(F.array(*[F.when(r.fires, r.message) for r in rules]))
+    messages = F.concat_ws(SEPARATOR, *[F.when(r.fires, r.message) for r in rules])
     kept = [cell(c) for c in drugs.columns if not (run.in_context(INTAKE) and c.startswith("_"))]
-    judged = drugs.select(*kept, messages.alias(MESSAGES))
+    judged = drugs.select(*kept, messages.alias(MESSAGE))
     # Exploding the one-element array keeps faulty rows only. A filter would do the same, but Spark
     # pushes it below the projection, repeating every rule in it.
-    faulty = F.filter(F.array(MESSAGES), lambda given: F.size(given) > 0)
-    return judged.select(*kept, F.explode(faulty).alias(MESSAGES)).distinct()
-
-
-def validate_quality(drugs: DataFrame, run: CampaignParams) -> DataFrame:
-    """The quality report: faulty rows with one message text each."""
-    rows = faulty_rows(drugs, run)
-    return rows.withColumn(MESSAGE, F.array_join(MESSAGES, SEPARATOR)).drop(MESSAGES)
+    faulty = F.filter(F.array(MESSAGE), lambda given: given != "")
+    return judged.select(*kept, F.explode(faulty).alias(MESSAGE)).distinct()
 
 
 def issues_per_row(drugs: DataFrame, run: CampaignParams, keys: list[str]) -> DataFrame:
     """One row per faulty row and message, with the position of the message."""
-    return faulty_rows(drugs, run).select(*keys, F.posexplode(MESSAGES).alias("position", "message"))
+    return validate_quality(drugs, run).select(*keys, F.posexplode(_messages()).alias("position", "message"))
 
 
 def issue_counts(drugs: DataFrame, run: CampaignParams) -> DataFrame:
     """How often each message was given."""
-    return (
-        faulty_rows(drugs, run)
-        .select(F.explode(MESSAGES).alias("message"))
-        .groupBy("message")
-        .agg(F.count("*").alias("n_issues"))
-    )
+    messages = validate_quality(drugs, run).select(F.explode(_messages()).alias("message"))
+    return messages.groupBy("message").agg(F.count("*").alias("n_issues"))
+
+
+def _messages() -> Column:
+    """No message holds the separator, so splitting at it gives them back."""
+    return F.split(MESSAGE, SEPARATOR)
 
 
 def validate_target_indicator(formulary: DataFrame, run: CampaignParams) -> DataFrame:

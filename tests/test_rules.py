@@ -3,7 +3,7 @@ from collections import Counter
 import pytest
 
 from rxsieve import params as p
-from rxsieve.operators.quality import faulty_rows, issue_counts, issues_per_row, validate_quality, validate_target_indicator
+from rxsieve.operators.quality import SEPARATOR, issue_counts, issues_per_row, validate_quality, validate_target_indicator
 from rxsieve.params import CampaignParams
 from rxsieve.rules.gates import rules_for
 from rxsieve.workload import inputs
@@ -24,8 +24,8 @@ def frame(spark, *rows):
 
 
 def messages(spark, run, **values):
-    rows = faulty_rows(frame(spark, CLEAN | values), run).collect()
-    return rows[0]["validation_msgs"] if rows else []
+    rows = validate_quality(frame(spark, CLEAN | values), run).collect()
+    return rows[0]["validation_msg"].split("; ") if rows else []
 
 
 PLAIN = CampaignParams(campaign_id=24)
@@ -83,6 +83,7 @@ def test_every_rule_is_reachable_with_its_message(spark):
     found = {(r.number, r.message) for run in runs for r in rules_for(CampaignParams(**run), MESSAGE_COLUMNS)}
     assert found == {(n, message) for rules in RULE_SQL.values() for n, _, message in rules}
     assert {n for n, _ in found} == set(range(1, 157))
+    assert not [message for _, message in found if SEPARATOR.strip() in message]
 
 
 def test_clean_row_is_not_reported(spark):
