@@ -112,7 +112,7 @@ def run_messages(disposed: DataFrame) -> DataFrame:
     ``ISSUES_PER_PART``; an ordinary run has the single part 0, and joining the
     parts of a huge one with a bar gives its whole text.
     """
-    part = F.floor(F.col("seq") / ISSUES_PER_PART).cast("long")
+    part = F.expr(f"seq div {ISSUES_PER_PART}")
     said = F.when(F.col("triage_text").isNotNull(), F.struct("seq", "triage_text"))
     in_order = F.transform(F.array_sort(F.collect_list(said)), lambda x: x["triage_text"])
     return disposed.groupBy("run_id", part.alias("part_no")).agg(

@@ -9,11 +9,11 @@ equi-join; LIKE remains as a residual check for codes with inner wildcards.
 
 Scale notes
  * The codes are measured first. Up to ``BROADCAST_BYTES`` they are broadcast: the
-   catalogue is then read once and only its matches are shuffled.
- * Beyond that both sides are shuffled. Copies on either side go before the join, so
-   groups of copies never multiply. Short anchors ("01") hit a large share of the
+   catalogue is then read once, and only products that match something are shuffled.
+ * Beyond that both sides are shuffled. Short anchors ("01") hit a large share of the
    catalogue and are salted: products spread over ``SALTS`` keys, and the few codes
    that short are repeated per salt. Other hot keys are split by AQE's skew join.
+ * Either way copies on both sides go before the join, so groups of copies never multiply.
 """
 
 from __future__ import annotations
@@ -60,15 +60,15 @@ def _pairs(drugs: DataFrame, catalog: DataFrame, columns: list[str]) -> DataFram
     codes = _anchored(drugs.select(*[cell(c) for c in columns]))
     products = catalog.select(*PRODUCT_COLUMNS).filter(F.col("drug_prod_gid").isNotNull())
     wanted, size = _measure(codes, columns)
+    asked = codes.distinct()
     if size <= BROADCAST_BYTES:
-        pairs = _pieces(products, wanted).join(F.broadcast(codes.distinct()), "piece")
+        hits = _pieces(products, wanted).join(F.broadcast(asked.select("piece").distinct()), "piece", "left_semi")
+        pairs = hits.distinct().join(F.broadcast(asked), "piece")
     else:
         salt = F.pmod(F.xxhash64("drug_prod_gid", "drug_id", "gpi_cd"), F.lit(SALTS)).cast("int")
         all_salts = F.sequence(F.lit(0), F.lit(SALTS - 1))
         spread = _pieces(products.distinct(), wanted).withColumn("salt", F.when(_is_short(), salt).otherwise(0))
-        repeated = codes.distinct().withColumn(
-            "salt", F.explode(F.when(_is_short(), all_salts).otherwise(F.array(F.lit(0))))
-        )
+        repeated = asked.withColumn("salt", F.explode(F.when(_is_short(), all_salts).otherwise(F.array(F.lit(0)))))
         pairs = spread.hint("merge").join(repeated, ["piece", "salt"])
 
     subject = F.when(F.col("druglvl") == "GPI", F.trim("gpi_cd")).otherwise(F.col("drug_id"))

@@ -110,7 +110,8 @@ def given_text() -> list[str]:
 
 
 def text_up_to(limit: int) -> list[str]:
-    return [f"repeat('x', {limit + 1})", "' '", "null", *[f"substr(p_name, 1, {limit})"] * 8]
+    fits = "p_name" if limit >= 30 else "p_type" if limit >= 10 else "'I'"
+    return [f"repeat('x', {limit + 1})", "' '", "null", *[fits] * 8]
 
 
 EXCHANGE = {c: one_of("N", "Y") for c in ("RXCHANGE_SPC", "RXCHANGE_MAIL", "RXCHANGE_RETAIL")}

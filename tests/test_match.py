@@ -147,6 +147,37 @@ def test_one_short_prefix_for_a_third_of_the_catalogue(spark, shuffled):
     assert match_products(*frames(spark, drugs, products)).count() == 5 * 300
 
 
+def test_one_long_prefix_for_a_third_of_the_catalogue_is_split(spark, shuffled):
+    settings = {
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64KB",
+    }
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        gpi = "if(id % 3 = 0, '0102030405', '7' || lpad(cast(id as string), 9, '0')) || '0000' as gpi_cd"
+        others = [f"cast(null as string) as {c}" for c in PRODUCT_COLUMNS[3:]]
+        ids = spark.range(0, 60000, 1, 8)
+        products = ids.selectExpr("id as drug_prod_gid", "lpad(cast(id as string), 11, '0') as drug_id", gpi, *others)
+        drugs = [drug("GPI", "0102030405")] + [drug("GPI", f"7{i:09d}") for i in range(1, 500)]
+        matched = match_products(frames(spark, drugs, [])[0], products)
+        assert len(matched.collect()) == 20000 + sum(1 for i in range(1, 500) if i % 3)
+        assert "skew=true" in matched._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for key in settings:
+            spark.conf.unset(key)
+
+
+def test_copies_do_not_multiply(spark):
+    drugs = [drug("GPI", "01", drug_desc=str(i)) for i in range(20)] * 30
+    products = [product(1, "00000000001", "0102")] * 2000
+    matched = match_products(*frames(spark, drugs, products))
+    assert matched.count() == 20
+    plan = matched._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Join Inner") < plan.index("Aggregate", plan.index("Join Inner")) < plan.index("Join LeftSemi")
+
+
 def test_validity_holds_both_definitions_once(spark):
     base = dict(brnd_gnrc_cd="BRND", mddb_brnd_gnrc_cd="GNRC", drug_multi_src_cd="SINGLE", mddb_drug_multi_src_cd="MULTI")
     # Same projection under two GPI codes: the distinct result lists it once.

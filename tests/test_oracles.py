@@ -46,6 +46,8 @@ def test_query(spark, duck, name):
     assert sorted(frame.columns) == sorted(names)
     assert expected, "the query should find something"
     assert sorted_rows(frame.collect(), frame.columns) == sorted_rows(expected, names)
+    plan = frame._jdf.queryExecution().executedPlan().toString()
+    assert not [op for op in ("CartesianProduct", "NestedLoop", "BatchEvalPython", "ArrowEvalPython") if op in plan]
 
 
 def test_entry(spark):
