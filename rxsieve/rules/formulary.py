@@ -19,6 +19,7 @@ def balance_rules() -> list[Rule]:
 
 
 def grandfather_rules() -> list[Rule]:
+    # Code list and message.
     return [
         Rule(80, filled("gf") & outside("gf", "N", "Y", "M", fold_case=True), "Invalid GF"),
         *exchange_rules(81),

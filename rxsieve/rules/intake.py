@@ -20,6 +20,7 @@ LIMIT_FIELDS = [
 
 def intake_rules() -> list[Rule]:
     codes_given = sum((filled(c).cast("int") for c in ("ndc11", "ndc9", "gpi")), F.lit(0))
+    # Messages.
     return [
         Rule(79, codes_given > 1, "Only 1 of NDC11, NDC9 or GPI can be populated"),
         *(
