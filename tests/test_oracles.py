@@ -8,6 +8,7 @@ import duckdb
 import pytest
 
 entry = importlib.import_module("__spark_entry__")
+queries = importlib.import_module("rxsieve.workload.queries").QUERIES
 DATA = Path("/root/testdata/sf0.001")
 
 pytestmark = pytest.mark.skipif(not DATA.exists(), reason="test tables are not here")
@@ -34,12 +35,13 @@ def sorted_rows(rows, names):
 
 
 def test_every_query_has_its_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(queries) <= set(entry.queries())
+    assert set(queries) <= set(entry.oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(queries))
 def test_query(spark, duck, name):
-    frame = entry.queries()[name](spark, str(DATA))
+    frame = queries[name](spark, str(DATA))
     result = duck.execute(entry.oracle_sql()[name])
     names = [d[0] for d in result.description]
     expected = result.fetchall()
