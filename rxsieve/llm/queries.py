@@ -2,18 +2,67 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from rxsieve.llm.decontaminate import decontaminate
+from rxsieve.llm.line_dedup import site_lines
+from rxsieve.llm.mixing import mixture
 from rxsieve.llm.near_dup import near_duplicates
+from rxsieve.llm.sharding import shard_rows
+from rxsieve.llm.spotsigs import spot_fingerprints
+from rxsieve.llm.token_counts import token_counts
+from rxsieve.llm.token_files import token_file_rows
+from rxsieve.llm.toxicity import toxicity
+
+TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_pivotal_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixture(table(spark, sf_dir, "documents"))
+
+
+def op3_site_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return site_lines(table(spark, sf_dir, "pages"))
+
+
+def op4_ftrl_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op5_minhash_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op5_minhash_near_dup,)}
+def op6_spot_signatures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spot_fingerprints(table(spark, sf_dir, "documents"))
+
+
+def op7_two_pass_shuffle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shard_rows(table(spark, sf_dir, "documents"))
+
+
+def op8_fm_index_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op9_whole_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts(table(spark, sf_dir, "documents"), TOKENIZER)
+
+
+def op10_re_pair_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_file_rows(table(spark, sf_dir, "documents"), TOKENIZER)
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op2_pivotal_mixing, op3_site_line_dedup, op4_ftrl_toxicity, op5_minhash_near_dup, op6_spot_signatures, op7_two_pass_shuffle,
+        op8_fm_index_decontamination, op9_whole_token_counts, op10_re_pair_token_files,
+    )
+}
 ORACLES: dict[str, str] = {}
