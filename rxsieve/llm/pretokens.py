@@ -82,12 +82,12 @@ def pieces(data: np.ndarray, offsets: np.ndarray, table: np.ndarray, special: li
     # contractions, where the apostrophe begins a piece
     at = np.flatnonzero((codes == APOSTROPHE) & cut[:count])
     if len(at):
-        padded = np.append(codes, [0, 0])
+        padded = np.append(codes, [0, 0]).astype(np.uint64)
         one, two = padded[at + 1], padded[at + 2]
         inside, further = ~text_start[np.minimum(at + 1, count)], ~text_start[np.minimum(at + 2, count)]
-        short = inside & np.isin(one, [ord(c) for c in "stmd"])
-        pair = one.astype(np.uint64) << np.uint64(32) | two
-        long = inside & further & np.isin(pair, [ord(a) << 32 | ord(b) for a, b in ("re", "ve", "ll")])
+        short = inside & np.isin(one, np.array([ord(c) for c in "stmd"], np.uint64))
+        pair = one << np.uint64(32) | two
+        long = inside & further & np.isin(pair, np.array([ord(a) << 32 | ord(b) for a, b in ("re", "ve", "ll")], np.uint64))
         cut[at[short | long] + 1] = False
         cut[at[short] + 2] = True
         cut[at[long] + 3] = True

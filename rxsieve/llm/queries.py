@@ -9,6 +9,7 @@ from rxsieve.llm.decontaminate import decontaminate
 from rxsieve.llm.line_dedup import site_lines
 from rxsieve.llm.mixing import mixture
 from rxsieve.llm.near_dup import near_duplicates
+from rxsieve.llm.oracles import ORACLES
 from rxsieve.llm.sharding import shard_rows
 from rxsieve.llm.spotsigs import spot_fingerprints
 from rxsieve.llm.token_counts import token_counts
@@ -65,4 +66,3 @@ QUERIES = {
         op8_fm_index_decontamination, op9_whole_token_counts, op10_re_pair_token_files,
     )
 }
-ORACLES: dict[str, str] = {}
