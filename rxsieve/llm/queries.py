@@ -12,6 +12,7 @@ from rxsieve.llm.near_dup import near_duplicates
 from rxsieve.llm.oracles import ORACLES
 from rxsieve.llm.sharding import shard_rows
 from rxsieve.llm.spotsigs import spot_fingerprints
+from rxsieve.llm.suffix_dedup import remove_repeats
 from rxsieve.llm.token_counts import token_counts
 from rxsieve.llm.token_files import token_file_rows
 from rxsieve.llm.toxicity import toxicity
@@ -23,6 +24,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(table(spark, sf_dir, "documents"))
+
+
 def op2_pivotal_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixture(table(spark, sf_dir, "documents"))
 
@@ -62,7 +67,7 @@ def op10_re_pair_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        op2_pivotal_mixing, op3_site_line_dedup, op4_ftrl_toxicity, op5_minhash_near_dup, op6_spot_signatures, op7_two_pass_shuffle,
+        op1_suffix_array_dedup, op2_pivotal_mixing, op3_site_line_dedup, op4_ftrl_toxicity, op5_minhash_near_dup, op6_spot_signatures, op7_two_pass_shuffle,
         op8_fm_index_decontamination, op9_whole_token_counts, op10_re_pair_token_files,
     )
 }
