@@ -1,31 +1,67 @@
-"""From raw documents to a training set: each stage's rows are written as Parquet and read by the next."""
+"""From raw documents to token files: each stage's rows are written as Parquet and read by the next.
+
+Every stage works on all rows that its predecessor kept. All but the last return the columns of ``documents``; columns that the operators
+add never meet those, because the rows travel whole.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rxsieve.llm.decontaminate import without_passages
+from rxsieve.llm.mixing import repeated
 from rxsieve.llm.near_dup import near_duplicates
 from rxsieve.llm.store import stored
+from rxsieve.llm.token_files import token_file_rows
+from rxsieve.llm.toxicity import without_toxic
+
+TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+
+
+def not_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents that the classifier, trained on the labels of ``docs``, does not call toxic."""
+    return without_toxic(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies, the least by doc_id; all rows that repeat it stay."""
+    kept = near_duplicates(docs).where("kept").select(F.col("doc_id").alias("kept_id")).distinct()
+    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("kept_id")), "left_semi")
+
+
+def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents without a passage of the benchmark."""
+    return without_passages(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document as often as the mix of sources takes it."""
+    return repeated(docs)
 
 
-def distinct_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies, the least by doc_id; repeated rows of it all stay."""
-    kept = near_duplicates(docs).where("kept").select("doc_id").distinct()
-    return docs.join(kept.withColumnRenamed("doc_id", "kept_id"), F.col("doc_id").eqNullSafe(F.col("kept_id")), "left_semi")
+def tokenized(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token files of the documents in the shared folder; a row for each document, read back from them."""
+    return token_file_rows(docs, TOKENIZER)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
-    ("near copies", distinct_documents),
+    ("toxicity", not_toxic),
+    ("near copies", distinct),
+    ("decontamination", decontaminated),
+    ("mixing", mixed),
+    ("token files", tokenized),
 ]
 
-#: SQL cannot train the classifier, cluster the near copies or encode the texts.
+#: SQL can neither train the classifier nor encode the texts; the tests hold each stage against a brute-force version.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last stage's rows over the table ``documents``."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
         docs = stored(stage(spark, docs, sf_dir), name.replace(" ", "-"))
