@@ -5,7 +5,7 @@ hashed into 2**22 coordinates; a feature counts once in a text. Each coordinate
 penalty leaves all but the telling coordinates at zero, so the weights are a small table that is broadcast.
 
 FTRL-proximal is an online method, one update after the other, so it runs in one task over a bounded
-sample: the ``SAMPLE_ROWS`` labelled rows with the least hashes of their doc_id. Scoring is a single pass without shuffle.
+sample: the ``SAMPLE_ROWS`` labels with the least hashes of their doc_id. Scoring is a single pass without shuffle.
 """
 
 from __future__ import annotations
@@ -95,9 +95,10 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> W
     """
     known = labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull() & ~held_out(F.col("doc_id")))
     known = known.groupBy("doc_id").agg(F.max("toxic").cast("double").alias("label"))
-    rows = docs.select("doc_id", "text").join(known, "doc_id")
-    order = F.xxhash64("doc_id")
-    sample = rows.select(order.alias("order"), "text", "label").orderBy("order", "text").limit(sample_rows)
+    # the sample is chosen among the labels, so that only its texts travel; it is small by its bound
+    chosen = known.withColumn("order", F.xxhash64("doc_id")).orderBy("order", "doc_id").limit(sample_rows)
+    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    sample = rows.select("order", "text", "label").orderBy("order", "text").limit(sample_rows)
     found = sample.coalesce(1).sortWithinPartitions("order", "text").mapInArrow(_train, "index long, weight double").collect()
     if not found:
         return Weights(np.zeros(0, np.int64), np.zeros(0), None)
