@@ -10,9 +10,10 @@ or a code point whose class has changed between Unicode versions or lies outside
 
 from __future__ import annotations
 
-import itertools
+import json
 import os
 import unicodedata
+from array import array
 from typing import NamedTuple
 
 import numpy as np
@@ -20,11 +21,17 @@ import pandas as pd
 
 from rxsieve.llm import words as w
 
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 2 << 20
+#: The cutting step of the tokenizers meant here.
+BYTE_LEVEL = {"type": "ByteLevel", "add_prefix_space": False, "use_regex": True}
+#: The character that stands for a byte in a byte-level vocabulary: itself if printable in Latin-1, the rest from 256 on in order.
+_BYTES = np.arange(256)
+_PRINTED = (_BYTES >= 33) & (_BYTES <= 126) | (_BYTES >= 161) & (_BYTES != 173)
+BYTE_CHARS = np.where(_PRINTED, _BYTES, 255 + np.cumsum(~_PRINTED)).astype("<u2")
 LETTER, NUMBER, OTHER, WHITE, UNSURE = range(5)
 SPACE, APOSTROPHE = ord(" "), ord("'")
-#: Cached pieces in a task; beyond that the cache starts anew.
-CACHE = 1 << 19
+#: Cached pieces in a worker; beyond that the cache starts anew.
+CACHE = 3 << 18
 
 
 def classes() -> np.ndarray:
@@ -116,9 +123,14 @@ class Encoder:
         self.tokenizer = Tokenizer.from_str(source)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
+        self.model = self.tokenizer.model
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.table = table
-        self.known: dict[int, list[int]] = {}
+        self.known: dict[int, bytes] = {}
+        self.older: dict[int, bytes] = {}
+        parts = json.loads(source)
+        #: Whether this is the kind of tokenizer whose cuts are found here; the texts of any other go to it whole.
+        self.cuts = parts["pre_tokenizer"] is not None and BYTE_LEVEL.items() <= parts["pre_tokenizer"].items() and not parts["normalizer"]
 
     def whole(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -126,33 +138,57 @@ class Encoder:
     def distinct(self, data: np.ndarray, offsets: np.ndarray) -> tuple[Pieces, np.ndarray, np.ndarray, np.ndarray]:
         """The pieces, the number of each one's string, and for each string its hash and a place where it stands."""
         found, hashes = pieces(data, offsets, self.table, self.special)
+        if not self.cuts:
+            found.whole[:] = True
         number, strings = pd.factorize(hashes)
         place = np.zeros(len(strings), np.int64)
         place[number[::-1]] = np.arange(len(number))[::-1]
         return found, number, strings, place
 
-    def ids_of(self, found: Pieces, strings: np.ndarray, place: np.ndarray) -> list[list[int]]:
-        """Ids of each distinct string."""
-        if len(self.known) > CACHE:
-            self.known.clear()
+    def _merged(self, texts: list[str]) -> list[bytes]:
+        """Ids of each piece, as unsigned 32-bit integers: its bytes go through the tokenizer's merges."""
+        raw = [t.encode() for t in texts]
+        chars = BYTE_CHARS[np.frombuffer(b"".join(raw), np.uint8)].tobytes().decode("utf-16-le")
+        merge, out, at = self.model.tokenize, [], 0
+        for piece in raw:
+            end = at + len(piece)
+            out.append(array("I", [t.id for t in merge(chars[at:end])]).tobytes())
+            at = end
+        return out
+
+    def ids_of(self, found: Pieces, strings: np.ndarray, place: np.ndarray) -> list[bytes]:
+        """Ids of each distinct string.
+
+        What is known is kept in two halves; when the newer one is full it becomes the older one, so that frequent pieces stay.
+        """
+        if len(self.known) > CACHE // 2:
+            self.older, self.known = self.known, {}
         keys = strings.tolist()
-        new = [k for k, key in enumerate(keys) if key not in self.known]
-        texts = [found.text[a:b] for a, b in zip(found.starts[place[new]].tolist(), found.ends[place[new]].tolist(), strict=True)]
-        for k, ids in zip(new, self.whole(texts), strict=True):
-            self.known[keys[k]] = ids
-        return [self.known[key] for key in keys]
+        out = list(map(self.known.get, keys))
+        missing = [k for k, ids in enumerate(out) if ids is None]
+        if self.older:
+            for k in missing:
+                out[k] = self.older.get(keys[k])
+        new = [k for k in missing if out[k] is None]
+        text, at = found.text, place[new]
+        texts = [text[a:b] for a, b in zip(found.starts[at].tolist(), found.ends[at].tolist(), strict=True)]
+        for k, ids in zip(new, self._merged(texts), strict=True):
+            out[k] = ids
+        self.known.update((keys[k], out[k]) for k in missing)
+        return out
 
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in a row, and the number of ids before each."""
         found, number, strings, place = self.distinct(data, offsets)
         lists = self.ids_of(found, strings, place)
-        sizes = np.fromiter(map(len, lists), np.int64, len(lists))
-        flat = np.fromiter(itertools.chain.from_iterable(lists), np.uint32, int(sizes.sum()))
-        first = np.cumsum(sizes) - sizes
-        count = sizes[number] if len(number) else np.zeros(0, np.int64)
-        ends = np.concatenate([[0], np.cumsum(count)])
-        ids = flat[np.arange(ends[-1]) + np.repeat(first[number] - ends[:-1], count)] if len(number) else flat
-        before = ends[found.before]
+        sizes = np.fromiter(map(len, lists), np.int32, len(lists)) // 4
+        flat = np.frombuffer(b"".join(lists), "<u4")
+        first = np.cumsum(sizes, dtype=np.int32) - sizes
+        count = sizes[number]
+        ends = np.zeros(len(number) + 1, np.int32)
+        np.cumsum(count, out=ends[1:])
+        ids = flat[np.arange(ends[-1], dtype=np.int32) + np.repeat(first[number] - ends[:-1], count)]
+        before = ends[found.before].astype(np.int64)
         if found.whole.any():
             parts = [ids[a:b] for a, b in zip(before[:-1], before[1:], strict=True)]
             texts = np.flatnonzero(found.whole)
@@ -160,3 +196,11 @@ class Encoder:
                 parts[k] = np.array(own, np.uint32)
             ids, before = np.concatenate(parts), np.concatenate([[0], np.cumsum([len(p) for p in parts])])
         return ids, before
+
+
+def shared_encoder(value: tuple[str, np.ndarray, dict]) -> Encoder:
+    """The encoder of a broadcast (JSON, classes, {}): a worker process keeps it in its copy, so that its tasks share what is cached."""
+    source, table, kept = value
+    if "encoder" not in kept:
+        kept["encoder"] = Encoder(source, table)
+    return kept["encoder"]

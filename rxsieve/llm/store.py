@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 _own: dict[str, str] = {}
+_written: list[str] = []
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -36,15 +37,31 @@ def new_path(spark: SparkSession, name: str) -> str:
 
 
 def stored(frame: DataFrame, name: str) -> DataFrame:
-    """The frame written once as Parquet and read back: a cut in the lineage that survives lost executors."""
+    """The frame written once as Parquet and read back: a cut in the lineage that survives lost executors.
+
+    Results are lazy and read these files, so they stay until ``release``.
+    """
     path = new_path(frame.sparkSession, name)
     frame.write.parquet(path)
+    _written.append(path)
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 
+def _delete(spark: SparkSession, path: str) -> None:
+    file = spark._jvm.org.apache.hadoop.fs.Path(path)
+    file.getFileSystem(spark._jsc.hadoopConfiguration()).delete(file, True)
+    if path in _written:
+        _written.remove(path)
+
+
 def drop_stored(frame: DataFrame) -> None:
     """Delete the files of a frame that ``stored`` returned and nobody reads any more."""
-    spark = frame.sparkSession
-    for file in {f.rsplit("/", 1)[0] for f in frame.inputFiles()}:
-        path = spark._jvm.org.apache.hadoop.fs.Path(file)
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    names = {f.rsplit("/", 2)[-2] for f in frame.inputFiles()}
+    for path in [p for p in _written if p.rsplit("/", 1)[-1] in names]:
+        _delete(frame.sparkSession, path)
+
+
+def release(spark: SparkSession) -> None:
+    """Delete every intermediate table of this process, once all results that read them are written."""
+    for path in list(_written):
+        _delete(spark, path)

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rxsieve.llm import words as w
-from rxsieve.llm.pretokens import CHUNK_BYTES, Encoder, classes
+from rxsieve.llm.pretokens import CHUNK_BYTES, Encoder, classes, shared_encoder
 
 LIMIT = 1024
 
@@ -41,16 +41,16 @@ def token_counts(docs: DataFrame, tokenizer_file: str, limit: int = LIMIT) -> Da
     with open(tokenizer_file, encoding="utf-8") as file:
         source = file.read()
     table = classes()
-    shared = docs.sparkSession.sparkContext.broadcast((source, table, whole_tokens(Encoder(source, table))))
+    shared = docs.sparkSession.sparkContext.broadcast(((source, table, {}), whole_tokens(Encoder(source, table))))
 
     def count(batches):
-        source, table, alone = shared.value
-        encoder = Encoder(source, table)
+        own, alone = shared.value
+        encoder = shared_encoder(own)
         for batch, data, offsets in w.chunks(batches, limit=CHUNK_BYTES):
             found, number, strings, place = encoder.distinct(data, offsets)
             size = np.ones(len(strings), np.int64)
             rest = np.flatnonzero(alone[np.minimum(np.searchsorted(alone, strings), len(alone) - 1)] != strings)
-            size[rest] = [len(ids) for ids in encoder.ids_of(found, strings[rest], place[rest])]
+            size[rest] = [len(ids) // 4 for ids in encoder.ids_of(found, strings[rest], place[rest])]
             sums = np.concatenate([[0], np.cumsum(size[number])])
             total = np.diff(sums[found.before])
             texts = np.flatnonzero(found.whole)
