@@ -33,6 +33,9 @@ SPACE, APOSTROPHE = ord(" "), ord("'")
 #: Cached pieces in a worker; beyond that the cache starts anew.
 CACHE = 3 << 18
 
+#: The hash of each code point that the hashes of pieces are summed from.
+CODE_VALUES = w.mixed(np.arange(1, (1 << 16) + 2, dtype=np.uint64))
+
 
 def classes() -> np.ndarray:
     """Class of each code point of the basic plane; the last entry stands for all beyond."""
@@ -74,7 +77,9 @@ def pieces(data: np.ndarray, offsets: np.ndarray, table: np.ndarray, special: li
     """The pre-tokens of each text, and the hash of each."""
     text, codes, offsets = code_points(data, offsets)
     count = len(codes)
-    kind = table[np.minimum(codes, 1 << 16)]
+    at = codes.astype(np.int64)
+    kind = table.take(at, mode="clip")
+    hashed = w.prefix_sums(CODE_VALUES.take(at, mode="clip"))
     text_start = np.zeros(count + 1, bool)
     text_start[offsets] = True
     cut = text_start.copy()
@@ -108,8 +113,7 @@ def pieces(data: np.ndarray, offsets: np.ndarray, table: np.ndarray, special: li
         while place >= 0:
             whole[text_of(place)] = True
             place = text.find(string, place + 1)
-    hashes = w.slice_hashes(w.prefix_sums(w.mixed(np.arange(1, (1 << 16) + 2, dtype=np.uint64))[np.minimum(codes, 1 << 16)]), starts, ends)
-    return Pieces(text, starts, ends, np.searchsorted(starts, offsets), offsets, whole), hashes
+    return Pieces(text, starts, ends, np.searchsorted(starts, offsets), offsets, whole), w.slice_hashes(hashed, starts, ends)
 
 
 class Encoder:
