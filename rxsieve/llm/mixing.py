@@ -151,7 +151,7 @@ def mix(docs: DataFrame, carried: list[str] | None = None, seed: int = 1) -> Dat
         members = _beside(rows.where("size > 0"), still.withColumnRenamed("source", "of"))
         members = members.where(F.col("size") > times * F.col("mean"))
         members = members if above is None else members.where(F.col("size") <= above * F.col("mean"))
-        expected = F.greatest(F.lit(0.0), F.least(F.lit(float(MOST_COPIES)), F.col("to_take") / F.col("to_see")))
+        expected = F.greatest(F.lit(0.0), F.least(F.lit(float(MOST_COPIES)), F.try_divide("to_take", "to_see")))
         members = members.withColumn("whole", F.floor(expected + NEAR)).withColumn("part", F.greatest(F.lit(0.0), expected - F.col("whole")))
         taken.append(_rounded(members, seed + 100 * number).withColumn("copies", F.col("whole") + F.col("part")))
         sums = taken[-1].groupBy(F.col("source").alias("of")).agg(F.sum(F.col("copies") * F.col("size")).alias("words"), F.sum("size").alias("seen"))

@@ -99,7 +99,7 @@ def _links_in_bucket(table: pa.Table) -> pa.Table:
     ids, labels = (table.column(c).to_numpy() for c in ("id", "label"))
     path = np.array(table.column("path")[0].as_py())
     width = lambda name, n: table.column(name).combine_chunks().flatten().to_numpy().reshape(-1, n)
-    bands, sketches = width("bands", BANDS), width("sketch", SKETCH_BITS // 64)
+    bands, sketches = width("bands", BANDS), width("sketch", SKETCH_BITS // 64).view(np.uint64)
     shingles = table.column("shingles").combine_chunks()
     flat, ends = shingles.flatten().to_numpy(), np.concatenate([[0], np.cumsum(shingles.value_lengths().to_numpy())])
     sizes = np.diff(ends)

@@ -144,7 +144,7 @@ def _sorted_out(batches):
             ends = len(counts) - 1
             count = int(counts[ends] + earlier[ends])
             last_key, last_digest = key[-1], digest[-1]
-            if not (ends == 0 and held and count > 1):
+            if ends or counts[0]:
                 held = None
             if count == 1 and counts[ends] == 1:
                 held = (ids[at[-1]], place[at[-1]], key[at[-1]])

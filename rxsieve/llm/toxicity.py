@@ -16,6 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from rxsieve.llm import words as w
 
@@ -126,8 +127,7 @@ def scored(rows: DataFrame, weights: Weights) -> DataFrame:
             total = np.zeros(len(batch)) if intercept is None else 1 / (1 + np.exp(-np.clip(sums + intercept, -30, 30)))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(total)], names)
 
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields)
-    return rows.mapInArrow(score, f"{schema}, score double")
+    return rows.mapInArrow(score, T.StructType([*rows.schema.fields, T.StructField("score", T.DoubleType())]))
 
 
 def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
