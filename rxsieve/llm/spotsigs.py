@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 from rxsieve.llm.store import stored
 
 CHAIN = 2
+#: Likenesses that the lengths of the sets keep below this are 0 in the query.
+LEAST = 0.05
 SPARSE = 8
 #: Rows of neighbouring ids that are put in order together, on average.
 NEIGHBOURS = 256
@@ -126,5 +128,5 @@ def spot_fingerprints(docs: DataFrame) -> DataFrame:
     signed = with_signatures(edited, "edited", "changed")
     return signed.select(
         "doc_id", F.length("text").cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"), fingerprint(F.col("own")).alias("fingerprint"), fingerprint(F.col("changed")).alias("edited_fingerprint"),
-        likeness(F.col("own"), F.col("changed")).alias("near_edited"), likeness(F.col("own"), F.col("next.own")).alias("near_next"),
+        likeness(F.col("own"), F.col("changed"), LEAST).alias("near_edited"), likeness(F.col("own"), F.col("next.own"), LEAST).alias("near_next"),
     )
