@@ -5,15 +5,14 @@ as a nested loop over all pairs. Here every code is reduced to an *anchor*, a
 literal piece any matching product must contain: the whole code, or its longest
 run without wildcard, which leads the code or lies inside. Products offer
 their pieces of exactly the lengths some code asks for, so the match becomes one
-equi-join; LIKE remains as a residual check for codes with inner wildcards.
+equi-join; what the piece leaves open is checked behind the join.
 
 Scale notes
- * The codes are measured first. Up to ``BROADCAST_BYTES`` they are broadcast: the
-   catalogue is then read once, and only products that match something are shuffled.
- * Beyond that both sides are shuffled. Short anchors ("01") hit a large share of the
-   catalogue and are salted: products spread over ``SALTS`` keys, and the few codes
-   that short are repeated per salt. Other hot keys are split by AQE's skew join.
- * Either way copies on both sides go before the join, so groups of copies never multiply.
+ * The join runs on distinct codes and distinct pairs of product codes, nothing else. Drug
+   columns and catalogue columns are joined to the matches that were found, by equality.
+ * The lengths asked for are a scalar subquery, so building the plan starts no job.
+ * There is one plan for all sizes; Spark broadcasts a side if its measured size allows, and
+   AQE splits hot pieces otherwise.
 """
 
 from __future__ import annotations
@@ -30,15 +29,12 @@ PRODUCT_COLUMNS = [
     "mddb_brnd_gnrc_cd", "mddb_drug_multi_src_cd", "mddb_multsrc_cd", "otc_drug_ind",
 ]
 DRUG_COLUMNS = ["rec_type", "drug_code", "druglvl", "ndc9", "ndc11", "gpi", "drug_desc", "b_g", "ms_ss"]
+PRODUCT_CODES, ASKED = ["drug_id", "gpi_cd"], ["druglvl", "drug_code"]
 MONY_COLUMNS = ["mony_m", "mony_o", "mony_n", "mony_y", "rx", "otc"]
 
 # Tags of the two product definitions; the first is four characters wide.
 PBM, MDDB = "PBM ", "MDDB"
 
-BROADCAST_BYTES = 32 * 1024 * 1024
-SALTS = 16
-SHORT_ANCHOR = 4
-
 # LIKE's escape character is set to one no code holds, so a backslash is an ordinary character.
 NO_ESCAPE = "\u0001"
 
@@ -46,6 +42,9 @@ NO_ESCAPE = "\u0001"
 WHOLE_NDC9, WHOLE_NDC11, NDC11_HEAD, NDC11_INSIDE, GPI_HEAD, GPI_INSIDE = "9", "N", "H", "I", "G", "J"
 PIECES = "array<string>"
 
+# What is left to check behind the join: nothing, the end of the product's code, a run at a fixed place, or a LIKE.
+DECIDED, ENDS, FIXED, OPEN = range(4)
+
 
 def drug_columns(run: CampaignParams) -> list[str]:
     return DRUG_COLUMNS + (MONY_COLUMNS if run.has_mony_switches else [])
@@ -53,35 +52,37 @@ def drug_columns(run: CampaignParams) -> list[str]:
 
 def match_products(drugs: DataFrame, catalog: DataFrame, columns: list[str] = DRUG_COLUMNS) -> DataFrame:
     """Distinct (product, drug row) pairs with all catalogue columns and the given drug columns."""
-    return _pairs(drugs, catalog, columns).distinct()
+    rows = drugs.select(*[cell(c) for c in columns]).filter(F.col("druglvl").isin("NDC11", "NDC9", "GPI") & filled("drug_code"))
+    products = catalog.select(*PRODUCT_COLUMNS).filter(F.col("drug_prod_gid").isNotNull())
+    matches = matched_codes(rows, products)
+    # copies of matched products and of drug rows go here, so that they never multiply
+    known = products.join(matches, [F.col(c).eqNullSafe(F.col(f"matched_{c}")) for c in PRODUCT_CODES])
+    known = known.select(*PRODUCT_COLUMNS, *ASKED).distinct()
+    asked = rows.distinct().withColumnsRenamed({c: f"asked_{c}" for c in ASKED})
+    both = known.join(asked, [F.col(c) == F.col(f"asked_{c}") for c in ASKED])
+    return both.select(*PRODUCT_COLUMNS, *columns)
+
+
+def matched_codes(rows: DataFrame, products: DataFrame) -> DataFrame:
+    """Distinct pairs of a drug row's code and a product's codes that match; both sides are reduced to their codes first."""
+    codes = _anchored(rows.select(*ASKED).distinct())
+    kind = F.struct(F.substring("piece", 1, 1).alias("origin"), (F.length("piece") - 1).alias("n"))
+    wanted = codes.agg(F.collect_set(kind).alias("wanted")).scalar()
+    offered = _pieces(products.select(*PRODUCT_CODES).distinct(), wanted)
+    pairs = offered.withColumnsRenamed({c: f"matched_{c}" for c in PRODUCT_CODES}).join(codes, "piece")
+    subject = F.when(F.col("druglvl") == "GPI", F.trim("matched_gpi_cd")).otherwise(F.col("matched_drug_id"))
+    size, place = F.length("anchor"), F.instr(F.col("pattern"), F.col("anchor"))
+    fits = (
+        F.when(F.col("rest") == ENDS, F.endswith(subject, F.col("anchor")))
+        .when(F.col("rest") == FIXED, (F.length(subject) == F.length("pattern")) & (F.substring(subject, place, size) == F.col("anchor")))
+        .when(F.col("rest") == OPEN, F.like(subject, F.col("pattern"), F.lit(NO_ESCAPE)))
+        .otherwise(True)
+    )
+    return pairs.filter(fits).select(*[f"matched_{c}" for c in PRODUCT_CODES], *ASKED)
 
 
-def _pairs(drugs: DataFrame, catalog: DataFrame, columns: list[str]) -> DataFrame:
-    codes = _anchored(drugs.select(*[cell(c) for c in columns]))
-    products = catalog.select(*PRODUCT_COLUMNS).filter(F.col("drug_prod_gid").isNotNull())
-    wanted, size = _measure(codes, columns)
-    asked = codes.distinct()
-    if size <= BROADCAST_BYTES:
-        hits = _pieces(products, wanted).join(F.broadcast(asked.select("piece").distinct()), "piece", "left_semi")
-        pairs = hits.distinct().join(F.broadcast(asked), "piece")
-    else:
-        salt = F.pmod(F.xxhash64("drug_prod_gid", "drug_id", "gpi_cd"), F.lit(SALTS)).cast("int")
-        all_salts = F.sequence(F.lit(0), F.lit(SALTS - 1))
-        spread = _pieces(products.distinct(), wanted).withColumn("salt", F.when(_is_short(), salt).otherwise(0))
-        repeated = asked.withColumn("salt", F.explode(F.when(_is_short(), all_salts).otherwise(F.array(F.lit(0)))))
-        pairs = spread.hint("merge").join(repeated, ["piece", "salt"])
-
-    subject = F.when(F.col("druglvl") == "GPI", F.trim("gpi_cd")).otherwise(F.col("drug_id"))
-    fits = F.col("pattern").isNull() | F.like(subject, F.col("pattern"), F.lit(NO_ESCAPE))
-    return pairs.filter(fits).select(*PRODUCT_COLUMNS, *columns)
-
-
-def _anchored(drugs: DataFrame) -> DataFrame:
-    """Drug rows with the piece of product code they ask for.
-
-    ``pattern`` is set only where the piece alone does not decide the match.
-    A blank code asks for nothing.
-    """
+def _anchored(codes: DataFrame) -> DataFrame:
+    """Codes with the piece of product code they ask for, and what the piece leaves open."""
     level, code = F.col("druglvl"), F.col("drug_code")
     is_gpi = level == "GPI"
     like = F.when(is_gpi, F.concat(F.trim(code), F.lit("%"))).otherwise(code)
@@ -99,50 +100,29 @@ def _anchored(drugs: DataFrame) -> DataFrame:
     )
     anchor = F.when(whole, code).when(leads, head).otherwise(longest["run"])
     decided = whole | (like == F.concat(head, F.lit("%")))
-    return drugs.filter(level.isin("NDC11", "NDC9", "GPI") & filled("drug_code")).withColumns(
-        {"piece": F.concat(origin, anchor), "pattern": F.when(~decided, like)}
+    rest = (
+        F.when(decided, DECIDED)
+        .when(like == F.concat(F.lit("%"), anchor), ENDS)
+        .when(F.rlike(like, F.lit("^_*[^_%]+_*$")), FIXED)
+        .otherwise(OPEN)
     )
+    return codes.withColumns({"piece": F.concat(origin, anchor), "anchor": anchor, "pattern": like, "rest": rest})
 
 
-def _measure(codes: DataFrame, columns: list[str]) -> tuple[list[tuple[str, int]], int]:
-    """The kinds and lengths of pieces the codes ask for, and the bytes they take.
-
-    One small job over the drug rows. Its answer is a handful of pairs, for a code
-    has few characters; the size counts copies too, so it is an upper bound.
-    """
-    kind = F.struct(F.substring("piece", 1, 1).alias("origin"), (F.length("piece") - 1).alias("n"))
-    used = F.octet_length(F.concat_ws("", "piece", "pattern", *columns)) + 8 * (len(columns) + 2)
-    found = codes.agg(F.collect_set(kind).alias("wanted"), F.coalesce(F.sum(used), F.lit(0)).alias("size")).first()
-    return sorted((w["origin"], w["n"]) for w in found["wanted"]), found["size"]
-
-
-def _is_short() -> Column:
-    whole = F.substring("piece", 1, 1).isin(WHOLE_NDC9, WHOLE_NDC11)
-    return ~whole & (F.length("piece") - 1 <= SHORT_ANCHOR)
+def _pieces(products: DataFrame, wanted: Column) -> DataFrame:
+    """One row per product and piece of its codes of a kind and length that is wanted."""
+    ndc9, ndc11, gpi = F.substring("drug_id", 1, 9), F.col("drug_id"), F.trim("gpi_cd")
 
+    def pieces(want: Column) -> Column:
+        origin, n = want["origin"], want["n"]
+        subject = F.when(origin == WHOLE_NDC9, ndc9).when(origin.isin(GPI_HEAD, GPI_INSIDE), gpi).otherwise(ndc11)
+        last = F.when(origin.isin(NDC11_INSIDE, GPI_INSIDE), F.length(subject) - n + 1).otherwise(1)
+        long_enough = F.when(origin.isin(WHOLE_NDC9, WHOLE_NDC11), F.length(subject) == n).otherwise(F.length(subject) >= n)
+        runs = F.transform(F.sequence(F.lit(1), last), lambda at: F.concat(origin, F.substring(subject, at, n)))
+        return F.when(long_enough, runs).otherwise(F.array().cast(PIECES))
 
-def _pieces(products: DataFrame, wanted: list[tuple[str, int]]) -> DataFrame:
-    """One row per product and wanted piece of its codes."""
-    ndc9, ndc11, gpi = F.substring("drug_id", 1, 9), F.col("drug_id"), F.trim("gpi_cd")
-    singles, inner = [], []
-    for origin, n in wanted:
-        tag = F.lit(origin)
-        text = {WHOLE_NDC9: ndc9, GPI_HEAD: gpi, GPI_INSIDE: gpi}.get(origin, ndc11)
-        if origin in (WHOLE_NDC9, WHOLE_NDC11):
-            singles.append(F.when(F.length(text) == n, F.concat(tag, text)))
-        elif origin in (NDC11_HEAD, GPI_HEAD):
-            singles.append(F.when(F.length(text) >= n, F.concat(tag, F.substring(text, 1, n))))
-        else:
-            inner.append(_inner_pieces(tag, text, n))
-    offered = F.concat(F.array(*singles).cast(PIECES), *inner)
-    return products.withColumn("piece", F.explode(offered)).filter(F.col("piece").isNotNull())
-
-
-def _inner_pieces(tag: Column, text: Column, n: int) -> Column:
-    """Every different run of ``n`` characters in the text."""
-    starts = F.sequence(F.lit(1), F.length(text) - n + 1)
-    runs = F.transform(starts, lambda start: F.concat(tag, F.substring(text, start, F.lit(n))))
-    return F.when(F.length(text) >= n, F.array_distinct(runs)).otherwise(F.array().cast(PIECES))
+    kinds = products.withColumn("want", F.explode(wanted))
+    return kinds.withColumn("piece", F.explode(F.array_distinct(pieces(F.col("want"))))).drop("want")
 
 
 def drug_validity(drugs: DataFrame, catalog: DataFrame, run: CampaignParams) -> DataFrame:
@@ -165,7 +145,7 @@ def drug_validity(drugs: DataFrame, catalog: DataFrame, run: CampaignParams) ->
         definition(PBM, "brnd_gnrc_cd", "drug_multi_src_cd", "pbm_drug_multi_src_cd"),
         definition(MDDB, "mddb_brnd_gnrc_cd", "mddb_drug_multi_src_cd", "mddb_multsrc_cd"),
     )
-    pairs = _pairs(drugs, catalog, columns)
+    pairs = match_products(drugs, catalog, columns)
     rows = pairs.select("drug_prod_gid", "drug_id", "otc_drug_ind", *columns, F.inline(both))
     indicators = ["brnd_gnrc_cd", "drug_multi_src_cd", "pbm_drug_multi_src_cd", "otc_drug_ind"]
     switches = MONY_COLUMNS if run.has_mony_switches else []

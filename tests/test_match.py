@@ -5,7 +5,6 @@ import re
 
 import pytest
 
-from rxsieve.operators import match
 from rxsieve.operators.match import DRUG_COLUMNS, MDDB, MONY_COLUMNS, PBM, PRODUCT_COLUMNS, drug_validity, match_products
 from rxsieve.params import CampaignParams
 from tests.conftest import rows_of
@@ -40,12 +39,6 @@ def product(gid, drug_id, gpi, **more):
     return dict.fromkeys(PRODUCT_COLUMNS) | {"drug_prod_gid": gid, "drug_id": drug_id, "gpi_cd": gpi} | more
 
 
-@pytest.fixture
-def shuffled(monkeypatch):
-    """Treat any number of codes as too many to broadcast."""
-    monkeypatch.setattr(match, "BROADCAST_BYTES", -1)
-
-
 def frames(spark, drugs, products):
     return (
         spark.createDataFrame([tuple(d[c] for c in DRUG_COLUMNS) for d in drugs], DRUG_SCHEMA),
@@ -116,7 +109,7 @@ def test_equals_like_over_all_pairs(spark, seed):
 
 
 @pytest.mark.parametrize("seed", [1, 4])
-def test_equals_like_over_all_pairs_without_broadcast(spark, shuffled, seed):
+def test_equals_like_over_all_pairs_without_broadcast(spark, shuffled_joins, seed):
     drugs, products = random_inputs(seed)
     matched = match_products(*frames(spark, drugs, products))
     assert rows_of(matched) == expected_pairs(drugs, products)
@@ -141,14 +134,15 @@ def test_no_codes_no_matches(spark):
     assert match_products(drugs.limit(0), products).count() == 0
 
 
-def test_one_short_prefix_for_a_third_of_the_catalogue(spark, shuffled):
+def test_one_short_prefix_for_a_third_of_the_catalogue(spark, shuffled_joins):
     products = [product(i, f"{i:011d}", ("01" if i % 3 == 0 else f"{i % 89 + 10:02d}") + f"{i:012d}") for i in range(900)]
     drugs = [drug("GPI", "01", drug_desc=str(i)) for i in range(5)]
     assert match_products(*frames(spark, drugs, products)).count() == 5 * 300
 
 
-def test_one_long_prefix_for_a_third_of_the_catalogue_is_split(spark, shuffled):
+def test_one_long_prefix_for_a_third_of_the_catalogue_is_split(spark, shuffled_joins):
     settings = {
+        "spark.sql.shuffle.partitions": "16",
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64KB",
         "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64KB",
@@ -158,15 +152,16 @@ def test_one_long_prefix_for_a_third_of_the_catalogue_is_split(spark, shuffled):
     try:
         gpi = "if(id % 3 = 0, '0102030405', '7' || lpad(cast(id as string), 9, '0')) || '0000' as gpi_cd"
         others = [f"cast(null as string) as {c}" for c in PRODUCT_COLUMNS[3:]]
-        ids = spark.range(0, 60000, 1, 8)
+        ids = spark.range(0, 300000, 1, 8)
         products = ids.selectExpr("id as drug_prod_gid", "lpad(cast(id as string), 11, '0') as drug_id", gpi, *others)
         drugs = [drug("GPI", "0102030405")] + [drug("GPI", f"7{i:09d}") for i in range(1, 500)]
         matched = match_products(frames(spark, drugs, [])[0], products)
-        assert len(matched.collect()) == 20000 + sum(1 for i in range(1, 500) if i % 3)
+        assert len(matched.collect()) == 100000 + sum(1 for i in range(1, 500) if i % 3)
         assert "skew=true" in matched._jdf.queryExecution().executedPlan().toString()
     finally:
         for key in settings:
             spark.conf.unset(key)
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
 
 
 def test_copies_do_not_multiply(spark):
@@ -174,8 +169,17 @@ def test_copies_do_not_multiply(spark):
     products = [product(1, "00000000001", "0102")] * 2000
     matched = match_products(*frames(spark, drugs, products))
     assert matched.count() == 20
-    plan = matched._jdf.queryExecution().optimizedPlan().toString()
-    assert plan.index("Join Inner") < plan.index("Aggregate", plan.index("Join Inner")) < plan.index("Join LeftSemi")
+
+
+def test_building_the_match_starts_no_job(spark):
+    tracker = spark.sparkContext.statusTracker()
+    before = len(tracker.getJobIdsForGroup(None))
+    drugs, products = frames(spark, [drug("GPI", "01")], [product(1, "1", "0102")])
+    plan = match_products(drugs, products)._jdf.queryExecution().optimizedPlan().toString()
+    assert len(tracker.getJobIdsForGroup(None)) == before
+    # the pieces are joined to the codes before any other catalogue column is read
+    pieces = plan[plan.index("Generate explode") :]
+    assert "brnd_gnrc_cd" not in pieces[: pieces.index("LogicalRDD")].split("Filter")[0]
 
 
 def test_validity_holds_both_definitions_once(spark):
