@@ -1,7 +1,7 @@
 """Prunes contradictory matches, then finds duplicates and exclusions without inclusion.
 
-Each check reads the pruned matches more than once, so hand it a stored frame
-(``rxsieve.sources.storage.stored``) rather than the bare match.
+Each check reads the pruned matches more than once; ``plans.intake.validate_intake`` takes the name of a
+table to keep them in.
 """
 
 from __future__ import annotations
@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from rxsieve.functions.cells import any_of, surely
 from rxsieve.params import CampaignParams
 
+# What makes a duplicate, and the columns of its report.
 DUPLICATE_KEY = ["rec_type", "drug_defn", "drug_id"]
 REPORT_COLUMNS = [
     "rec_type", "drug_id", "drug_desc", "ndc9", "ndc11", "gpi", "b_g", "ms_ss", "druglvl",

@@ -39,6 +39,12 @@ class CampaignParams:
     main_dir: str = ""
     email_subject: str = ""
     project_schema: str = ""
+    # Fixed values as defaults: the directory part that marks a test installation, applications, history tables.
+    test_directory: str = "bss_test"
+    test_application: str = "MDP"
+    application: str = "DQI"
+    production_history: str = "dqi_process_macros"
+    development_history: str = "dqi_process_macros_dev"
     run_ts: dt.datetime | None = None
 
     def in_context(self, name: str) -> bool:

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from rxsieve.operators import checks, match
 from rxsieve.params import CampaignParams
 from rxsieve.plans.findings import DUPLICATES, EXCLUSIONS, Check
-from rxsieve.sources.storage import stored
+from rxsieve.sources import tables
 
 
 @dataclass(frozen=True)
@@ -20,11 +20,11 @@ class IntakeResult:
 
     @property
     def inclusions_table(self) -> DataFrame:
-        return checks.rows_of_type(self.validity, "I")
+        return checks.rows_of_type(self.validity, "I").orderBy("drug_id")
 
     @property
     def exclusions_table(self) -> DataFrame:
-        return checks.rows_of_type(self.validity, "E")
+        return checks.rows_of_type(self.validity, "E").orderBy("drug_id")
 
     @property
     def findings(self) -> dict[Check, DataFrame]:
@@ -32,10 +32,18 @@ class IntakeResult:
 
 
 def pruned_validity(drugs: DataFrame, catalog: DataFrame, run: CampaignParams) -> DataFrame:
-    """Matches without contradictions, written once for the checks that read them."""
-    return stored(checks.prune_matches(match.drug_validity(drugs, catalog, run), run), "drug_validity")
+    """Matches without contradictions."""
+    return checks.prune_matches(match.drug_validity(drugs, catalog, run), run)
 
 
-def validate_intake(drugs: DataFrame, catalog: DataFrame, run: CampaignParams) -> IntakeResult:
+def validate_intake(drugs: DataFrame, catalog: DataFrame, run: CampaignParams, table: str | None = None) -> IntakeResult:
+    """The checks of the pruned matches.
+
+    With ``table`` the matches are written to it, in place of an older one, and each check reads the table; the caller
+    owns it. Without, everything is lazy and nothing is left behind.
+    """
     validity = pruned_validity(drugs, catalog, run)
+    if table:
+        tables.replace_table(validity, table)
+        validity = tables.read_table(drugs.sparkSession, table)
     return IntakeResult(validity, checks.duplicate_report(validity), checks.invalid_exclusions(validity))

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 from pyspark.sql import DataFrame, SparkSession
 
-from rxsieve.operators.align import ROW_ID, align_to_target, append_projection, strip_unprintable
+from rxsieve.operators.align import ROW_ID, align_to_target, append_projection, strip_unprintable, unmatched_columns
 from rxsieve.operators.history import history_rows
 from rxsieve.params import CampaignParams
 from rxsieve.sources import tables
@@ -15,9 +17,18 @@ def prepare_load(source: DataFrame, target: DataFrame, run: CampaignParams) -> D
     return append_projection(align_to_target(strip_unprintable(source, run), target.schema), run)
 
 
-def load_table(source: DataFrame, target: str, run: CampaignParams) -> None:
-    spark = source.sparkSession
-    tables.append_by_position(prepare_load(source, tables.read_table(spark, target), run), target)
+class Loaded(NamedTuple):
+    """Columns only the target has; they were filled with defaults."""
+
+    count: int
+    names: list[str]
+
+
+def load_table(source: DataFrame, target: str, run: CampaignParams) -> Loaded:
+    table = tables.read_table(source.sparkSession, target)
+    tables.append_by_position(prepare_load(source, table, run), target)
+    absent = unmatched_columns(source.schema, table.schema)
+    return Loaded(len(absent), absent)
 
 
 def record_variables(spark: SparkSession, source: str, run: CampaignParams, schema: str | None = None) -> bool:

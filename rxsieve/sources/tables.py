@@ -6,10 +6,6 @@ from pyspark.sql import DataFrame, SparkSession
 
 from rxsieve.params import CampaignParams
 
-# The history table of production runs and of all others.
-HISTORY_TABLE = "dqi_process_macros"
-DEVELOPMENT_HISTORY_TABLE = "dqi_process_macros_dev"
-
 
 def read_table(spark: SparkSession, name: str) -> DataFrame:
     return spark.table(name)
@@ -38,8 +34,9 @@ def append_by_position(frame: DataFrame, name: str) -> None:
 
 
 def refresh_statistics(spark: SparkSession, name: str, column: str) -> None:
-    spark.sql(f"ANALYZE TABLE {name} COMPUTE STATISTICS FOR COLUMNS {column}")
+    names = {"name": name, "column": column}
+    spark.sql("ANALYZE TABLE IDENTIFIER(:name) COMPUTE STATISTICS FOR COLUMNS IDENTIFIER(:column)", names)
 
 
 def history_table(run: CampaignParams) -> str:
-    return HISTORY_TABLE if run.production == "Y" else DEVELOPMENT_HISTORY_TABLE
+    return run.production_history if run.production == "Y" else run.development_history

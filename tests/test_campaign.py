@@ -1,0 +1,46 @@
+"""The chain from checks to decision, and the reports it writes."""
+
+import pytest
+
+from rxsieve.params import CampaignParams
+from rxsieve.plans import findings
+from rxsieve.plans.campaign import conclude, report_name
+from rxsieve.plans.intake import IntakeResult
+from rxsieve.plans.quality import QualityResult
+
+
+@pytest.fixture
+def found(spark):
+    validity = spark.createDataFrame([("I", "2"), ("E", "1")], "rec_type string, drug_id string")
+    duplicates = spark.createDataFrame([("I", "2", "x"), ("E", "9", "y"), ("E", "1", "z")], "rec_type string, drug_id string, drug_desc string")
+    faulty = spark.createDataFrame([("bad code", 1)], "validation_msg string, row_no int")
+    return IntakeResult(validity, duplicates, validity.limit(0)), QualityResult(faulty, None)
+
+
+@pytest.fixture
+def records(spark):
+    messages = spark.createDataFrame([(5, "FAILURE MESSAGE", "duplicates"), (21, "WARNING MESSAGE", "quality")], "dqi_message_id int, dqi_message_type string, dqi_mco_message string")
+    campaigns = spark.createDataFrame([(557, "Y"), (30, "Y")], "dqi_campaign_id int, dqi_messages string")
+    return messages, campaigns
+
+
+def test_reports_of_failing_checks_are_written_in_order(spark, found, records, tmp_path):
+    run = CampaignParams(campaign_id=557, program_type="MAPD")
+    result = conclude(*found, *records, run, 3, str(tmp_path))
+    assert [p.rsplit("/", 1)[1] for p in result.reports] == ["validate_drug_duplicates", "MAPD_validate_drug_quality"]
+    rows = spark.read.option("header", True).csv(result.reports[0])
+    assert [(r.rec_type, r.drug_id) for r in rows.collect()] == [("E", "1"), ("E", "9"), ("I", "2")]
+    assert [r.validation_msg for r in spark.read.option("header", True).csv(result.reports[1]).collect()] == ["bad code"]
+
+
+def test_chain_ends_in_the_flags_of_the_run(found, records):
+    result = conclude(*found, *records, CampaignParams(campaign_id=30, main_dir="/jobs"), 3)
+    assert sorted((r.message_id, r.abort, r.send_summary) for r in result.disposed.collect()) == [(5, True, True), (21, False, False)]
+    assert [tuple(r) for r in result.flags.collect()] == [(3, 2, 0, True, True)]
+    assert result.reports == []
+
+
+def test_report_names():
+    run = CampaignParams(campaign_id=562, formulary_run_type="F")
+    checks = (findings.DUPLICATES, findings.EXCLUSIONS, findings.QUALITY, findings.TARGET_INDICATOR)
+    assert [report_name(c, run) for c in checks] == ["validate_drug_duplicates", "validate_drug_exclusions", "F_validate_drug_quality", "validate_drug_tgt_ind"]

@@ -1,10 +1,12 @@
 from collections import Counter
+from pathlib import Path
 
 import pytest
 
 from rxsieve.operators import checks
 from rxsieve.params import CampaignParams
 from rxsieve.plans.intake import validate_intake
+from rxsieve.sources import tables
 from tests.conftest import rows_of
 
 COLUMNS = ["rec_type", "drug_defn", "drug_id", "drug_desc", "druglvl", "b_g", "ms_ss", "brnd_gnrc_cd",
@@ -138,8 +140,17 @@ def test_intake_plan(spark):
         "'BRND' as mddb_brnd_gnrc_cd", "'MULTI' as mddb_drug_multi_src_cd", "'M' as mddb_multsrc_cd",
         "'N' as otc_drug_ind",
     )
-    result = validate_intake(drugs, catalog, CampaignParams(campaign_id=30))
-    assert result.validity.count() == 8
+    run = CampaignParams(campaign_id=30)
+    left = lambda: {f for k in ("spark.checkpoint.dir", "spark.sql.warehouse.dir") for f in Path(spark.conf.get(k).removeprefix("file:")).rglob("*")}
+    before = left()
+    lazy = validate_intake(drugs, catalog, run)
+    assert lazy.duplicates.count() == 8 and left() == before
+    for _ in range(2):  # the table is rebuilt
+        result = validate_intake(drugs, catalog, run, table="drug_validity")
+    assert spark.table("drug_validity").count() == result.validity.count() == lazy.validity.count() == 8
+    assert [r.drug_id for r in result.inclusions_table.collect()] == sorted(r.drug_id for r in result.inclusions_table.collect())
     assert Counter(r.drug_desc for r in result.duplicates.collect()) == {"a": 4, "b": 4}
     assert result.exclusions.count() == 0
     assert result.inclusions_table.count() == 6 and result.exclusions_table.count() == 2
+    tables.drop_table(spark, "drug_validity")
+    assert not tables.table_exists(spark, "drug_validity")

@@ -8,7 +8,7 @@ from rxsieve.operators import align
 from rxsieve.operators.history import VARIABLE_COLUMNS, history_rows
 from rxsieve.params import CampaignParams
 from rxsieve.plans.load import load_table, prepare_load, record_variables
-from rxsieve.sources import reports, storage, tables
+from rxsieve.sources import reports, tables
 
 RUN = CampaignParams(campaign_id=30, run_ts=dt.datetime(2024, 3, 4, 5, 6, 7, 890000))
 
@@ -65,7 +65,8 @@ def test_aware_run_time_keeps_its_moment(spark):
 def test_load_appends_by_position(spark):
     spark.sql("create table load_target (row_gid int, name string, memo string, dqi_ts timestamp) using parquet")
     try:
-        load_table(spark.createDataFrame([("ü1",)], "NAME string"), "load_target", RUN)
+        absent = load_table(spark.createDataFrame([("ü1",)], "NAME string"), "load_target", RUN)
+        assert absent == (3, ["row_gid", "memo", "dqi_ts"])
         load_table(spark.createDataFrame([("2",)], "NAME string"), "load_target", RUN)
         got = spark.table("load_target").selectExpr("row_gid", "name", "memo", "cast(dqi_ts as string)")
         assert sorted(map(tuple, got.collect())) == [
@@ -128,14 +129,6 @@ def test_report_names(run, name):
     assert reports.quality_report_name(run) == name
 
 
-def test_stored_frames_live_in_the_shared_folder(spark):
-    frame = spark.range(5).withColumn("with blank", F.lit("x"))
-    back = storage.stored(frame, "numbers")
-    assert back.columns == frame.columns and back.count() == 5
-    assert all(f.startswith("file:") and storage.shared_folder(spark) in f for f in back.inputFiles())
-    assert storage.shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
-
-
 def test_prepared_load_needs_no_job(spark):
     source = spark.createDataFrame([(1,)], "c_custkey long")
     assert prepare_load(source, spark.createDataFrame([], "row_gid int, c_custkey long"), RUN).columns == [
