@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rxsieve.functions.cells import surely, text
+from rxsieve.functions.cells import surely
 from rxsieve.operators.lookup import one_per_key
 from rxsieve.params import FIRST_TRIAGE_CAMPAIGN, CampaignParams
 
@@ -18,11 +18,8 @@ FAILURE, WARNING, INFORMATIVE = "FAILURE MESSAGE", "WARNING MESSAGE", "INFORMATI
 SUBJECT_PREFIX = {FAILURE: "FAILED!! ", WARNING: "WARNING!! ", INFORMATIVE: "INFORMATIVE!! "}
 UNKNOWN_MESSAGE = "Critical error encountered"
 
-# Applications, and the directory part that marks a test installation.
-TEST_DIRECTORY, TEST_APPLICATION, APPLICATION = "bss_test", "MDP", "DQI"
-
-# Failure texts of a run are joined in parts of at most this many consecutive issues.
-ISSUES_PER_PART = 100_000
+# Fixed value: the text of a plain issue that was raised without one.
+NO_TEXT = "N"
 
 
 def message_pairs(messages: DataFrame) -> DataFrame:
@@ -34,15 +31,19 @@ def message_pairs(messages: DataFrame) -> DataFrame:
 
 
 def campaign_flags(campaigns: DataFrame) -> DataFrame:
-    """All notify flags of a campaign id, joined without separator.
+    """How often each campaign id has each notify flag."""
+    return campaigns.groupBy("dqi_campaign_id", "dqi_messages").agg(F.count("*").alias("n"))
+
 
-    Equal flags are counted first and repeated after, so only distinct flags of a
-    campaign meet in one group.
+def notified_campaigns(campaigns: DataFrame) -> DataFrame:
+    """``campaign_id`` and ``flagged``: whether its flags, joined as text, are a single Y.
+
+    That is so if one row has a flag other than the empty text, and that is Y; a NULL joins as a text of its own.
     """
-    counted = campaigns.groupBy("dqi_campaign_id", "dqi_messages").agg(F.count("*").cast("int").alias("n"))
-    joined = F.array_sort(F.collect_list(F.struct("dqi_messages", "n")))
-    repeated = F.transform(joined, lambda x: F.repeat(F.coalesce(x["dqi_messages"], F.lit("")), x["n"]))
-    return counted.groupBy("dqi_campaign_id").agg(F.array_join(repeated, "").alias("dqi_messages"))
+    flag = F.coalesce("dqi_messages", F.lit("null"))
+    return campaigns.groupBy(F.col("dqi_campaign_id").alias("campaign_id")).agg(
+        ((F.count_if(flag != "") == 1) & (F.count_if(flag == "Y") == 1)).alias("flagged")
+    )
 
 
 def dispose_issues(
@@ -50,10 +51,6 @@ def dispose_issues(
 ) -> DataFrame:
     """Every issue with its class, notification, triage text and abort decision."""
     records = one_per_key(messages, "dqi_message_id", ["dqi_message_type", "dqi_mco_message"])
-    records = records.withColumnRenamed("dqi_message_id", "message_id")
-    flags = campaign_flags(campaigns).select(
-        F.col("dqi_campaign_id").alias("campaign_id"), F.col("dqi_messages").alias("notify_flag")
-    )
     c = F.col
     plain = c("message_id") == 0
     triage = c("campaign_id") >= FIRST_TRIAGE_CAMPAIGN
@@ -61,16 +58,18 @@ def dispose_issues(
     fails = plain | (looked_up == FAILURE)
     ignored = ~plain & looked_up.isin(WARNING, INFORMATIVE)
     abort = surely(~triage & fails)
-    on_test = TEST_DIRECTORY in run.main_dir
-    flagged = surely(c("notify_flag") == "Y")
+    on_test = run.test_directory in run.main_dir
+    flagged = surely(c("flagged"))
 
-    application = F.when(abort, F.lit(TEST_APPLICATION) if on_test else F.when(flagged, APPLICATION))
-    message = F.when(plain, text("message_text")).otherwise(
+    application = F.when(abort, F.lit(run.test_application) if on_test else F.when(flagged, run.application))
+    message = F.when(plain, F.coalesce("message_text", F.lit(NO_TEXT))).otherwise(
         F.coalesce(F.trim("dqi_mco_message"), F.lit(UNKNOWN_MESSAGE))
     )
+    # plain issues look nothing up, so they must not meet under one key
+    asked = F.when(c("message_id") != 0, c("message_id"))
     return (
-        issues.join(records, "message_id", "left")
-        .join(flags, "campaign_id", "left")
+        issues.join(records, asked == c("dqi_message_id"), "left")
+        .join(notified_campaigns(campaigns), "campaign_id", "left")
         .select(
             "run_id",
             "seq",
@@ -106,15 +105,17 @@ def run_flags(disposed: DataFrame) -> DataFrame:
 
 
 def run_messages(disposed: DataFrame) -> DataFrame:
-    """Failure texts of every run joined with a bar, in the order they were raised.
+    """The failure texts of every run, one row per failing issue."""
+    return disposed.filter(F.col("triage_text").isNotNull()).select("run_id", "seq", "triage_text")
+
 
-    A run is cut into parts by issue order, so no group grows beyond
-    ``ISSUES_PER_PART``; an ordinary run has the single part 0, and joining the
-    parts of a huge one with a bar gives its whole text.
+def run_text(disposed: DataFrame, run_id: int) -> DataFrame:
+    """The failure text of one run: its texts in order with bars between, from the first on that is not empty.
+
+    One cell holds all texts, so this is for a run the caller knows, not for all runs.
     """
-    part = F.expr(f"seq div {ISSUES_PER_PART}")
-    said = F.when(F.col("triage_text").isNotNull(), F.struct("seq", "triage_text"))
-    in_order = F.transform(F.array_sort(F.collect_list(said)), lambda x: x["triage_text"])
-    return disposed.groupBy("run_id", part.alias("part_no")).agg(
-        F.max("triage_error").alias("triage_error"), F.array_join(in_order, "|").alias("msg_fail")
-    )
+    said = run_messages(disposed).filter(F.col("run_id") == run_id)
+    texts = F.transform(F.array_sort(F.collect_list(F.struct("seq", "triage_text"))), lambda x: x["triage_text"])
+    first = F.array_position(F.transform("texts", lambda t: t != ""), True).cast("int")
+    kept = F.when(first > 0, F.slice("texts", first, F.size("texts"))).otherwise(F.slice("texts", 1, 0))
+    return said.agg(texts.alias("texts")).select(F.array_join(kept, "|").alias("msg_fail"))

@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rxsieve.functions.cells import blank, cell, filled, holds, one_of, sql_wildcards, text
+from rxsieve.functions.cells import blank, cell, filled, holds, sql_wildcards, text
 from rxsieve.params import INTAKE, CampaignParams
 
 INPUT_COLUMNS = [
@@ -54,7 +54,8 @@ def normalize_drug_rows(drugs: DataFrame, run: CampaignParams) -> DataFrame:
 
     def age(name: str, default: int) -> Column:
         standard = F.lit(default).cast(present.get(name, "int"))
-        return F.when(one_of(name, "0", ""), standard).otherwise(cell(name))
+        # by value, whatever the type: 0, 0.0 and '0.00' are no age
+        return F.when(blank(name) | (cell(name).try_cast("double") == 0), standard).otherwise(cell(name))
 
     return rows.withColumns(
         {

@@ -61,6 +61,7 @@ def validate_target_indicator(formulary: DataFrame, run: CampaignParams) -> Data
     """
     if run.campaign_id not in TARGET_INDICATOR_CAMPAIGNS:
         return formulary.limit(0)
+    # The indicators.
     fault = ~one_of("drug_tgt_ind", "N", "T", "E", fold_case=True)
     if run.campaign_id == TIER_RANGE_CAMPAIGN and run.run_type == TIER_RANGE_RUN_TYPE:
         changes_tier = one_of("drug_tgt_ind", "T", fold_case=True)

@@ -27,7 +27,7 @@ def is_included() -> Column:
 
 
 def exchange_rules(first: int) -> list[Rule]:
-    """The three exchange flags, checked alike in many families."""
+    """The three exchange flags, checked alike in many families; columns, codes and messages are fixed values."""
     return [
         Rule(first + i, outside(flag, "N", "Y"), f"Invalid {flag} Value")
         for i, flag in enumerate(("RXCHANGE_SPC", "RXCHANGE_MAIL", "RXCHANGE_RETAIL"))
@@ -35,6 +35,7 @@ def exchange_rules(first: int) -> list[Rule]:
 
 
 def alternative_text_required(number: int, also: Column | None = None) -> Rule:
+    # Fixed value: the message.
     missing = is_included() & blank("alternative_text")
     return Rule(number, missing if also is None else missing & also, "Alternative Messaging cannot be blank")
 

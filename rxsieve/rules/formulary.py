@@ -27,6 +27,6 @@ def grandfather_rules() -> list[Rule]:
 
 
 def drug_message_rules(number: int, columns: set[str]) -> list[Rule]:
-    """Up to twelve optional message columns; absent ones are not checked."""
+    """Up to twelve optional message columns; absent ones are not checked. Names and message are fixed values."""
     names = [f"DrugMsg_IB{i}" for i in range(1, 13)]
     return [Rule(number, longer_than(c, 300), f"Invalid Length of {c}") for c in names if c.lower() in columns]

@@ -10,9 +10,8 @@ SETTINGS = {"spark.sql.codegen.hugeMethodLimit": "8000"}
 
 
 def tuned(spark: SparkSession) -> SparkSession:
-    """Apply the settings the session has not been given explicitly."""
-    given = dict(spark.sparkContext.getConf().getAll())
+    """Apply the settings that the session has not been given, at its start or since."""
     for key, value in SETTINGS.items():
-        if key not in given:
+        if key not in spark.conf.getAll:
             spark.conf.set(key, value)
     return spark

@@ -120,7 +120,7 @@ _DATE = ["null", *["date '2024-01-01'"] * 12]
 _CHANGE_TYPE = ["'FE'", "'QL'", "'PA'", "'ZZ'", "null", "'LC-OB'", "'DNT'", "'ST'"]
 _LETTER = ["'NA'", "'L1'", "' '", "null", "'NA'"]
 
-# Columns per rule family with the values they run through.
+# Column names per rule family; with the values they run through.
 FAMILIES: dict[str, dict[str, list[str]]] = {
     "common": {},
     "fdro": {
@@ -236,6 +236,14 @@ FAMILIES: dict[str, dict[str, list[str]]] = {
 }
 
 
+# Ages as decimals and as text.
+AGES = """
+select p_partkey as row_no, cast(p_partkey % 7 as decimal(5, 1)) as age_min,
+  case p_partkey % 6 when 0 then '0.0' when 1 then '0' when 2 then '' when 3 then null when 4 then ' 65 ' else 'old' end as age_max
+from {part}
+"""
+
+
 def family_rows(family: str) -> str:
     """Raw drug rows with the columns of one rule family."""
     extra = [f',\n  {_cycle(k, values)} as "{c}"' for k, (c, values) in enumerate(FAMILIES[family].items())]
@@ -251,15 +259,16 @@ select p_partkey as row_no,
 from {part}
 """
 
+# Some campaigns and messages are listed twice, with other values; some flags are empty or unknown.
 CAMPAIGNS = """
-select n_nationkey * 25 as dqi_campaign_id, n_name as dqi_campaign_name,
+select n_nationkey % 20 * 25 as dqi_campaign_id, n_name as dqi_campaign_name,
   case when n_nationkey % 3 = 0 then null else 'targets ' || n_name end as dqi_targeting_message,
-  case when n_nationkey % 2 = 0 then 'Y' else 'N' end as dqi_messages
+  case n_nationkey * 3 % 7 when 3 then 'N' when 4 then '' when 5 then null else 'Y' end as dqi_messages
 from {nation}
 """
 
 MESSAGES = """
-select n_nationkey as dqi_message_id,
+select n_nationkey % 20 as dqi_message_id,
   case n_nationkey % 3 when 0 then 'FAILURE MESSAGE' when 1 then 'WARNING MESSAGE' else 'INFORMATIVE MESSAGE' end as dqi_message_type,
   ' text for ' || n_name || ' ' as dqi_mco_message
 from {nation}
@@ -280,8 +289,8 @@ from {customer}
 """
 
 ISSUES = """
-select user_id as run_id, event_id as seq, cast(user_id % 28 * 25 as int) as campaign_id,
-  cast(event_id % 30 as int) as message_id, event_type as message_text
+select user_id as run_id, event_id * 1000 + 5000000000 as seq, cast(case when event_id % 3 = 0 then 500 + user_id % 5 * 25 else user_id % 20 * 25 end as int) as campaign_id,
+  cast(event_id % 31 as int) as message_id, case event_id % 8 when 0 then '' when 4 then null else event_type end as message_text
 from {events}
 """
 
@@ -294,8 +303,9 @@ select 'T' || cast(user_id as varchar(20)) as dqi_ticket, 'A' || cast(user_id %
 from {events}
 """
 
+# Every project is listed twice.
 PROJECTS = """
-select doc_id as prjct_id, text as title_nm, source as prod_id, lang as prod_subcat_id from {documents}
+select cast(floor(doc_id / 2) as bigint) as prjct_id, text as title_nm, source as prod_id, lang as prod_subcat_id from {documents}
 """
 
 RUNS = """

@@ -14,7 +14,7 @@ from rxsieve.operators import align, checks, disposition, match, quality, summar
 from rxsieve.operators.history import history_rows
 from rxsieve.operators.normalize import normalize_drug_rows
 from rxsieve.params import CampaignParams
-from rxsieve.plans import findings
+from rxsieve.plans import campaign, findings
 from rxsieve.plans.intake import pruned_validity, validate_intake
 from rxsieve.plans.load import prepare_load
 from rxsieve.plans.quality import validate_drugs
@@ -35,6 +35,8 @@ NORMALIZED_CODES = [
 ]
 NORMALIZED_LIMITS = ["row_no", "b_g", "ms_ss", "_exceed_rlimit", "_exceed_mlimit", "rlimit", "mlimit"]
 
+DATES = ("EFFECTIVE DATE", "EFF_DATE")
+
 LOAD_TARGET = T.StructType(
     [
         T.StructField("row_gid", T.IntegerType()),
@@ -109,11 +111,20 @@ def _quality(name: str) -> Query:
 
     def query(spark: SparkSession, sf: str) -> DataFrame:
         report = quality.validate_quality(normalize_drug_rows(raw_rows(family)(spark, sf), run), run)
-        return report.drop("EFFECTIVE DATE", "EFF_DATE")
+        return _dates_as_text(report)
 
     return query
 
 
+def _dates_as_text(frame: DataFrame) -> DataFrame:
+    return frame.withColumns({c: F.col(f"`{c}`").cast("string") for c in DATES if c in frame.columns})
+
+
+def normalize_ages(spark: SparkSession, sf: str) -> DataFrame:
+    rows = normalize_drug_rows(inputs.read_input(spark, sf, inputs.AGES), CampaignParams())
+    return rows.select("row_no", F.col("age_min").cast("double"), "age_max")
+
+
 def quality_issue_counts(spark: SparkSession, sf: str) -> DataFrame:
     family, run = QUALITY_RUNS["quality_vf"]
     return quality.issue_counts(normalize_drug_rows(raw_rows(family)(spark, sf), run), run)
@@ -135,6 +146,25 @@ def check_counts(spark: SparkSession, sf: str) -> DataFrame:
     return findings.check_counts(codes.findings | drugs.findings)
 
 
+def raised_issues(spark: SparkSession, sf: str) -> DataFrame:
+    return findings.raised_issues(check_counts(spark, sf), 7, CampaignParams(campaign_id=64))
+
+
+def exclusions(spark: SparkSession, sf: str) -> DataFrame:
+    return validate_intake(intake(spark, sf), catalog(spark, sf), GENERIC).exclusions_table
+
+
+def duplicate_report_rows(spark: SparkSession, sf: str) -> DataFrame:
+    found = validate_intake(intake(spark, sf), catalog(spark, sf), GENERIC)
+    return campaign.report_rows(findings.DUPLICATES, found.duplicates, GENERIC)
+
+
+def quality_report_rows(spark: SparkSession, sf: str) -> DataFrame:
+    run = CampaignParams(campaign_id=557, program_type="MAPD")
+    found = validate_drugs(raw_rows("gstp")(spark, sf), run)
+    return campaign.report_rows(findings.QUALITY, found.faulty, run)
+
+
 def first_failures(spark: SparkSession, sf: str) -> DataFrame:
     return findings.first_failures(check_counts(spark, sf))
 
@@ -206,6 +236,7 @@ QUERIES: dict[str, Query] = {
     "scan_catalog": catalog,
     "scan_intake": intake,
     "normalize_defaults": _normalized(CampaignParams(), NORMALIZED_DEFAULTS),
+    "normalize_ages": normalize_ages,
     "normalize_codes": _normalized(CampaignParams(), NORMALIZED_CODES),
     "normalize_limits_intake": _normalized(CampaignParams(campaign_id=24, context=p.INTAKE), NORMALIZED_LIMITS),
     "normalize_limits_standard": _normalized(CampaignParams(campaign_id=24), NORMALIZED_LIMITS),
@@ -229,6 +260,10 @@ QUERIES: dict[str, Query] = {
     "target_indicator": _target_indicator(CampaignParams(campaign_id=561)),
     "target_indicator_cf": _target_indicator(CampaignParams(campaign_id=64, run_type="CF")),
     "check_counts": check_counts,
+    "raised_issues": raised_issues,
+    "exclusions": exclusions,
+    "duplicate_report_rows": duplicate_report_rows,
+    "quality_report_rows": quality_report_rows,
     "first_failures": first_failures,
     "bulkload_align": bulkload_align,
     "bulkload_clean": bulkload_clean,

@@ -3,6 +3,7 @@
 Each entry is (rule number, condition, message); rows are keyed by rule family.
 """
 
+# Rule numbers, messages and code lists.
 RULE_SQL: dict[str, list[tuple[int, str, str]]] = {
     "all": [
         (1, 'NOT coalesce("rec_type", \'\') IN (\'I\', \'E\')', 'Invalid rec type'),

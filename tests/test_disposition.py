@@ -1,7 +1,7 @@
 import pytest
 
 from rxsieve.operators import disposition, summary
-from rxsieve.operators.disposition import campaign_flags, dispose_issues, message_pairs, run_flags, run_messages
+from rxsieve.operators.disposition import campaign_flags, dispose_issues, message_pairs, run_flags, run_messages, run_text
 from rxsieve.params import CampaignParams
 from rxsieve.plans import findings
 from tests.conftest import rows_of
@@ -67,14 +67,24 @@ def test_test_installation(spark, messages, campaigns):
     assert [(r.application, r.send_summary) for r in rows] == [("MDP", False), (None, False)]
 
 
-def test_run_roll_up_in_parts(spark, messages, campaigns, monkeypatch):
-    monkeypatch.setattr(disposition, "ISSUES_PER_PART", 4)
-    issues = [(7, i, 600, 0, f"m{i}") for i in range(10)] + [(8, 0, 30, 2, "x"), (9, 0, 600, 2, "x"), (9, 1, 600, 0, "y")]
+def test_run_roll_up_does_not_depend_on_numbering(spark, messages, campaigns):
+    seqs = [99_999, 100_001, 250_000, 5_000_000_000]
+    issues = [(7, s, 600, 0, f"m{i}") for i, s in enumerate(seqs)] + [(8, 0, 30, 2, "x"), (9, 0, 600, 2, "x"), (9, 1, 600, 0, "y")]
     rows = dispose_issues(spark.createDataFrame(issues, ISSUE), messages, campaigns, RUN)
-    assert rows_of(run_messages(rows)) == [
-        (7, 0, 1, "m0|m1|m2|m3"), (7, 1, 1, "m4|m5|m6|m7"), (7, 2, 1, "m8|m9"), (8, 0, 0, ""), (9, 0, 1, "y"),
-    ]
-    assert rows_of(run_flags(rows)) == [(7, 10, 1, False, False), (8, 1, 0, False, False), (9, 2, 1, False, False)]
+    assert sorted(map(tuple, run_messages(rows).collect())) == [*((7, s, f"m{i}") for i, s in enumerate(seqs)), (9, 1, "y")]
+    assert rows_of(run_text(rows, 7)) == [("m0|m1|m2|m3",)]
+    assert rows_of(run_text(rows, 8)) == [("",)]
+    assert rows_of(run_flags(rows)) == [(7, 4, 1, False, False), (8, 1, 0, False, False), (9, 2, 1, False, False)]
+
+
+@pytest.mark.parametrize(
+    ("texts", "whole"),
+    [(["", "z", ""], "z|"), (["", ""], ""), (["a", "", "b"], "a||b"), ([None, "z"], "N|z"), (["|", "z"], "||z")],
+)
+def test_run_text_starts_with_the_first_that_is_not_empty(spark, messages, campaigns, texts, whole):
+    issues = [(1, i, 600, 0, t) for i, t in enumerate(texts)]
+    rows = dispose_issues(spark.createDataFrame(issues, ISSUE), messages, campaigns, RUN)
+    assert rows_of(run_text(rows, 1)) == [(whole,)]
 
 
 def test_message_pairs(spark, messages):
@@ -86,7 +96,21 @@ def test_campaign_flags(spark):
     frame = spark.createDataFrame(
         [(1, "Y"), (2, "Y"), (2, "N"), (2, "Y"), (2, None), (3, None)], "dqi_campaign_id int, dqi_messages string"
     )
-    assert rows_of(campaign_flags(frame)) == [(1, "Y"), (2, "NYY"), (3, "")]
+    assert rows_of(campaign_flags(frame)) == sorted([(1, "Y", 1), (2, "Y", 2), (2, "N", 1), (2, None, 1), (3, None, 1)], key=repr)
+
+
+def test_a_campaign_is_flagged_by_a_single_yes(spark):
+    flags = [(1, "Y"), (2, "Y"), (2, "Y"), (3, "Y"), (3, ""), (4, "Y"), (4, None), (5, None), (6, ""), (7, "N"), (8, "Y"), (8, " ")]
+    frame = spark.createDataFrame(flags, "dqi_campaign_id int, dqi_messages string")
+    assert [i for i, flagged in rows_of(disposition.notified_campaigns(frame)) if flagged] == [1, 3]
+
+
+def test_plain_issues_look_nothing_up(spark, messages, campaigns):
+    named = messages.union(spark.createDataFrame([(0, "WARNING MESSAGE", "x")], messages.schema))
+    (row,) = disposed(spark, named, campaigns, (600, 0, "boom"))
+    assert (row.triage_text, row.message_type) == ("boom", None)
+
+
 
 
 def test_check_counts_and_stops(spark, messages, campaigns):
