@@ -22,6 +22,7 @@ REPORT_COLUMNS = [
 
 def prune_matches(validity: DataFrame, run: CampaignParams) -> DataFrame:
     """Drops matches that contradict the drug row; an unknown indicator contradicts nothing."""
+    # The codes of drug rows and catalogue.
     c = F.col
     if run.has_mony_switches:
         source, otc_product = c("pbm_drug_multi_src_cd"), c("otc_drug_ind") == "Y"
