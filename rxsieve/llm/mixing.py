@@ -92,7 +92,7 @@ def _fold(rows: DataFrame, seed: int) -> DataFrame:
     The largest come first: what is left of them then meets ever smaller documents.
     """
     members = F.reverse(F.array_sort(F.collect_list(F.struct("size", "id", "tie", "part", "whole", "row"))))
-    grouped = rows.groupBy("source", "group").agg(members.alias("members"))
+    grouped = rows.groupBy("source", "n", "group").agg(members.alias("members"))
     first = F.element_at("members", 1)
     nobody = F.when(F.lit(False), first)
     start = F.struct(F.array(nobody).alias("done"), F.struct(nobody.alias("done"), first.alias("left")).alias("last"))
@@ -102,14 +102,7 @@ def _fold(rows: DataFrame, seed: int) -> DataFrame:
 
     state = F.aggregate(F.slice("members", F.lit(2), F.size("members")), start, fold)
     whole = F.filter(F.concat(F.col("state.done"), F.array("state.last.done")), lambda d: d.isNotNull())
-    return grouped.select("source", state.alias("state")).select("source", whole.alias("done"), F.col("state.last.left").alias("left"))
-
-
-def _dealt(rows: DataFrame, level: int) -> tuple[DataFrame, bool]:
-    """``rows`` with ``group``, one of as many as the source's rows need; and whether no source has several."""
-    counts = stored(rows.groupBy("source").agg(F.ceil(F.count("*") / GROUP).alias("groups")), "groups")
-    group = F.pmod(F.xxhash64(F.lit(level), "id", "tie"), "groups")
-    return _beside(rows, counts.withColumnRenamed("source", "of")).withColumn("group", group).drop("groups"), counts.where("groups > 1").limit(1).count() == 0
+    return grouped.select("source", "n", state.alias("state")).select("source", "n", whole.alias("done"), F.col("state.last.left").alias("left"))
 
 
 def _beside(rows: DataFrame, facts: DataFrame, how: str = "inner") -> DataFrame:
@@ -117,18 +110,19 @@ def _beside(rows: DataFrame, facts: DataFrame, how: str = "inner") -> DataFrame:
     return rows.join(facts, F.col("source").eqNullSafe(F.col("of")), how).drop("of")
 
 
-def _rounded(rows: DataFrame, seed: int) -> DataFrame:
-    """The rows ``KEPT`` with ``part`` rounded to 0 or 1, by the tree."""
+def _rounded(rows: DataFrame, most: int, seed: int) -> DataFrame:
+    """The rows ``KEPT`` with ``part`` rounded to 0 or 1, by the tree.
+
+    ``n`` is the number of rows of the source, ``most`` the largest: they tell how many groups a level has and how many levels there are.
+    """
     settled = rows.where(F.col("part") <= NEAR).select(*KEPT)
-    open_rows, level, done = rows.where(F.col("part") > NEAR).select(*KEPT, "id", "tie"), 0, []
-    while True:
-        grouped, last = _dealt(open_rows, level)
-        folded = stored(_fold(grouped, seed + level), "mixing")
+    left, done, level, width = rows.where(F.col("part") > NEAR).select(*KEPT, "id", "tie", "n"), [], 0, 1
+    while not level or width < most:
+        level, width = level + 1, width * GROUP
+        group = F.pmod(F.xxhash64(F.lit(level), "id", "tie"), F.ceil(F.col("n") / width))
+        folded = stored(_fold(left.withColumn("group", group), seed + level), "mixing")
         done.append(folded.select("source", F.explode("done").alias("d")).select("source", "d.size", "d.whole", F.round("d.part").alias("part"), "d.row"))
-        left = folded.select("source", "left.*")
-        if last:
-            break
-        open_rows, level = left, level + 1
+        left = folded.select("source", "n", "left.*")
     drawn = (_draw(F.lit(seed), F.col("id"), F.col("tie")) < F.col("part")).cast("double")
     done.append(left.withColumn("part", drawn).select(*KEPT))
     return reduce(DataFrame.unionByName, done, settled.withColumn("part", F.lit(0.0)))
@@ -138,26 +132,32 @@ def mix(docs: DataFrame, carried: list[str] | None = None, seed: int = 1) -> Dat
     """Per row ``row`` (its ``carried`` columns, all unless they are named), ``size``, ``source_size``, ``target``, ``copies``.
 
     ``docs`` has ``doc_id``, ``text`` and ``source``. Texts without words are never taken. A NULL source is a source, the last; a
-    NULL doc_id is an id like others. Rows alike in all columns are documents of their own. No rows give no rows.
+    NULL doc_id is an id like others. Rows alike in id and text are documents of their own; they share a group of the tree, which
+    then is larger. No rows give no rows.
     """
     row = F.struct(*(carried or docs.columns)).alias("row")
     rows = stored(docs.select(row, F.col("doc_id").alias("id"), F.xxhash64("text").alias("tie"), "source", n_words(F.col("text")).alias("size")), "sized")
     wanted = stored(targets(rows), "targets")
-    means = rows.where("size > 0").groupBy(F.col("source").alias("of")).agg(F.avg("size").alias("mean"))
-    still = stored(_beside(wanted, means, "left").select("source", "mean", F.col("target").alias("to_take"), F.col("source_size").alias("to_see")), "still")
-
-    taken, above = [], None
-    for number, times in enumerate((*CLASSES, 0)):
-        members = _beside(rows.where("size > 0"), still.withColumnRenamed("source", "of"))
-        members = members.where(F.col("size") > times * F.col("mean"))
-        members = members if above is None else members.where(F.col("size") <= above * F.col("mean"))
+    worded = rows.where("size > 0")
+    means = worded.groupBy(F.col("source").alias("of")).agg(F.avg("size").alias("mean"))
+    ends = [*(F.col("mean") * c for c in CLASSES), F.lit(0.0)]
+    counts = _beside(worded, means).groupBy(F.col("source").alias("of")).agg(F.first("mean").alias("mean"), *(F.count_if(F.col("size") > e).alias(f"above_{k}") for k, e in enumerate(ends)))
+    still = _beside(wanted, counts, "left").withColumnsRenamed({"target": "to_take", "source_size": "to_see"})
+    still = stored(still, "still")
+    most = still.agg(*(F.max(f"above_{k}") for k in range(len(ends)))).first()
+
+    taken = []
+    for k, end in enumerate(ends):
+        members = _beside(worded, still.withColumnRenamed("source", "of")).where(F.col("size") > end)
+        members = members.where(F.col("size") <= ends[k - 1]) if k else members
         expected = F.greatest(F.lit(0.0), F.least(F.lit(float(MOST_COPIES)), F.try_divide("to_take", "to_see")))
         members = members.withColumn("whole", F.floor(expected + NEAR)).withColumn("part", F.greatest(F.lit(0.0), expected - F.col("whole")))
-        taken.append(_rounded(members, seed + 100 * number).withColumn("copies", F.col("whole") + F.col("part")))
-        sums = taken[-1].groupBy(F.col("source").alias("of")).agg(F.sum(F.col("copies") * F.col("size")).alias("words"), F.sum("size").alias("seen"))
-        less = lambda a, b: (F.col(a) - F.coalesce(b, F.lit(0))).alias(a)
-        still = stored(_beside(still, sums, "left").select("source", "mean", less("to_take", F.col("words")), less("to_see", F.col("seen"))), "still")
-        above = times
+        members = members.withColumn("n", F.col(f"above_{k}"))
+        taken.append(_rounded(members, most[k] or 0, seed + 100 * k).withColumn("copies", F.col("whole") + F.col("part")))
+        if k < len(CLASSES):
+            sums = taken[-1].groupBy(F.col("source").alias("of")).agg(F.sum(F.col("copies") * F.col("size")).alias("words"), F.sum("size").alias("seen"))
+            less = {a: F.col(a) - F.coalesce(b, F.lit(0)) for a, b in (("to_take", F.col("words")), ("to_see", F.col("seen")))}
+            still = stored(_beside(still, sums, "left").withColumns(less).drop("words", "seen"), "still")
     empty = rows.where("size = 0").select("source", "size", "row", F.lit(0.0).alias("copies"))
     every = reduce(DataFrame.unionByName, (t.select("source", "size", "row", "copies") for t in taken), empty)
     final = _beside(every, wanted.withColumnRenamed("source", "of"))
