@@ -10,10 +10,12 @@ or a code point whose class has changed between Unicode versions or lies outside
 
 from __future__ import annotations
 
+import itertools
 import json
 import os
 import unicodedata
 from array import array
+from collections.abc import Iterable, Iterator
 from typing import NamedTuple
 
 import numpy as np
@@ -22,6 +24,7 @@ import pandas as pd
 from rxsieve.llm import words as w
 
 CHUNK_BYTES = 2 << 20
+SLICE_BYTES = 1 << 17
 #: The cutting step of the tokenizers meant here.
 BYTE_LEVEL = {"type": "ByteLevel", "add_prefix_space": False, "use_regex": True}
 #: The character that stands for a byte in a byte-level vocabulary: itself if printable in Latin-1, the rest from 256 on in order.
@@ -116,6 +119,27 @@ def pieces(data: np.ndarray, offsets: np.ndarray, table: np.ndarray, special: li
     return Pieces(text, starts, ends, np.searchsorted(starts, offsets), offsets, whole), w.slice_hashes(hashed, starts, ends)
 
 
+def slices(data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Runs of whole texts of about ``SLICE_BYTES``: small enough that the arrays over their code points stay in the processor's cache."""
+    at, count = 0, len(offsets) - 1
+    while at < count or not at:
+        end = min(count, max(at + 1, int(np.searchsorted(offsets, offsets[at] + SLICE_BYTES, "right")) - 1))
+        yield data[offsets[at] : offsets[end]], offsets[at : end + 1] - offsets[at]
+        at = max(end, 1)
+
+
+def joined(parts: Iterable[tuple[Pieces, np.ndarray]]) -> tuple[Pieces, np.ndarray]:
+    """The pieces of runs of texts as those of one."""
+    found, hashes = zip(*parts, strict=True)
+    chars = np.cumsum([0, *(len(p.text) for p in found)])
+    counts = np.cumsum([0, *(len(p.starts) for p in found)])
+    shifted = lambda field, by, end=None: np.concatenate([getattr(p, field)[:end] + b for p, b in zip(found, by, strict=False)])
+    return Pieces(
+        "".join(p.text for p in found), shifted("starts", chars), shifted("ends", chars),
+        np.append(shifted("before", counts, -1), counts[-1]), np.append(shifted("offsets", chars, -1), chars[-1]), np.concatenate([p.whole for p in found]),
+    ), np.concatenate(hashes)
+
+
 class Encoder:
     """Ids of texts as the tokenizer gives them, without added special tokens."""
 
@@ -141,7 +165,7 @@ class Encoder:
 
     def distinct(self, data: np.ndarray, offsets: np.ndarray) -> tuple[Pieces, np.ndarray, np.ndarray, np.ndarray]:
         """The pieces, the number of each one's string, and for each string its hash and a place where it stands."""
-        found, hashes = pieces(data, offsets, self.table, self.special)
+        found, hashes = joined(pieces(d, o, self.table, self.special) for d, o in slices(data, offsets))
         if not self.cuts:
             found.whole[:] = True
         number, strings = pd.factorize(hashes)
@@ -153,12 +177,14 @@ class Encoder:
         """Ids of each piece, as unsigned 32-bit integers: its bytes go through the tokenizer's merges."""
         raw = [t.encode() for t in texts]
         chars = BYTE_CHARS[np.frombuffer(b"".join(raw), np.uint8)].tobytes().decode("utf-16-le")
-        merge, out, at = self.model.tokenize, [], 0
+        merge, ids, ends, at = self.model.tokenize, [], [0], 0
         for piece in raw:
             end = at + len(piece)
-            out.append(array("I", [t.id for t in merge(chars[at:end])]).tobytes())
+            ids += [t.id for t in merge(chars[at:end])]
+            ends.append(4 * len(ids))
             at = end
-        return out
+        flat = array("I", ids).tobytes()
+        return [flat[a:b] for a, b in itertools.pairwise(ends)]
 
     def ids_of(self, found: Pieces, strings: np.ndarray, place: np.ndarray) -> list[bytes]:
         """Ids of each distinct string.
