@@ -24,7 +24,7 @@ def shared_folder(spark: SparkSession) -> str:
     if folder:
         return folder.rstrip("/")
     context = spark.sparkContext
-    if not context.master.startswith("local["):
+    if context.master != "local" and not context.master.startswith("local["):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     if context.applicationId not in _own:
         _own[context.applicationId] = tempfile.mkdtemp(prefix="shared-")
