@@ -10,8 +10,8 @@ A group of m near copies has m * m / 2 pairs, so the pairs are looked at in two
 
 1. In each bucket of a band, everyone against the least member. That is linear, and links most of a group.
 2. Only buckets whose members are still in several components go on, and there only pairs across components.
-   A bucket too large for one task is split by the further bands its members share; a pair
-   at the threshold shares three bands or more with a probability of 0.99999.
+   A bucket too large for one task is cut into blocks, those of its largest component and those of the rest: every block
+   of the rest meets every block in a task of its own. A pair is looked at in the first band it shares.
 
 Equal sets count once from the start, as the least document that has them.
 """
@@ -35,7 +35,7 @@ SKETCH_BITS = 512
 #: Sketches that put the similarity below this are dropped: five standard errors of 96 samples below 0.75.
 LEAST_ESTIMATE = 0.5
 MOST_ONES = int(SKETCH_BITS / 2 * (1 - np.exp(-4 * SAMPLES * (1 - LEAST_ESTIMATE) / SKETCH_BITS)))
-#: Members of a bucket that one task compares.
+#: Members of a bucket that one task compares: a whole bucket, or two blocks of about half of it.
 BUCKET = 2000
 _MULTIPLIERS = w.mixed(np.arange(1, SAMPLES + 1, dtype=np.uint64)) | np.uint64(1)
 
@@ -95,9 +95,12 @@ def _linked(shared, size, other):
 
 
 def _links_in_bucket(table: pa.Table) -> pa.Table:
-    """One link for each member and other component that it is linked with, over the pairs whose first shared bands are this bucket's."""
-    ids, labels = (table.column(c).to_numpy() for c in ("id", "label"))
-    path = np.array(table.column("path")[0].as_py())
+    """One link for each member and other component that it is linked with, over the pairs whose first shared band is this bucket's.
+
+    Of two blocks, only pairs across them are looked at; each block of the rest has a task of its own as well.
+    """
+    ids, labels, blocks = (table.column(c).to_numpy() for c in ("id", "label", "block"))
+    band, low, high = (table.column(c)[0].as_py() for c in ("band", "low", "high"))
     width = lambda name, n: table.column(name).combine_chunks().flatten().to_numpy().reshape(-1, n)
     bands, sketches = width("bands", BANDS), width("sketch", SKETCH_BITS // 64).view(np.uint64)
     shingles = table.column("shingles").combine_chunks()
@@ -105,10 +108,11 @@ def _links_in_bucket(table: pa.Table) -> pa.Table:
     sizes = np.diff(ends)
     found: list[tuple[int, int]] = []
     values, counts = np.unique(labels, return_counts=True)
-    for x in np.flatnonzero(labels != values[counts.argmax()]):  # pairs within the largest component need no look
-        others = np.flatnonzero((labels != labels[x]) & (100 * np.minimum(sizes, sizes[x]) >= PERCENT * np.maximum(sizes, sizes[x])))
+    # pairs within the largest component need no look
+    for x in np.flatnonzero(labels != values[counts.argmax()] if low == high else blocks == low):
+        others = np.flatnonzero((labels != labels[x]) & (blocks == high) & (100 * np.minimum(sizes, sizes[x]) >= PERCENT * np.maximum(sizes, sizes[x])))
         same = bands[others] == bands[x]
-        others = others[same[:, path].all(1) & (same[:, : path[-1]].sum(1) == len(path) - 1)]
+        others = others[same[:, band] & ~same[:, :band].any(1)]
         ones = np.bitwise_count(sketches[others] ^ sketches[x]).sum(1)
         others = others[np.argsort(ones, kind="stable")[: np.count_nonzero(ones <= MOST_ONES)]]
         own = flat[ends[x] : ends[x + 1]]
@@ -145,20 +149,32 @@ def _unresolved(members: DataFrame) -> DataFrame:
     return members.join(counts.where("low != high").select("key", "members"), "key")
 
 
-def _further_links(bucketed: DataFrame, named: DataFrame, single: DataFrame, sets: DataFrame, bucket: int) -> list[DataFrame]:
-    """Links across the components found so far, over every bucket of at most ``bucket`` members; larger ones are split first."""
-    labelled = bucketed.select("key", "id", "path").join(named, "id", "left").select("key", "id", "path", F.coalesce("component", "id").alias("label"))
-    found, todo = [], stored(_unresolved(labelled), "unresolved")
-    while True:
-        ready = todo.where(F.col("members") <= bucket).join(single.select("id", "bands", "sketch"), "id").join(sets, "id")
-        found.append(stored(ready.groupBy("key").applyInArrow(_links_in_bucket, "a long, b long"), "links"))
-        large = todo.where(F.col("members") > bucket)
-        if large.limit(1).count() == 0:
-            return found
-        further = large.select("key", "id", "path", "label").join(single.select("id", "bands"), "id").select("key", "id", "path", "label", F.posexplode("bands").alias("band", "next"))
-        further = further.where(F.col("band") > F.element_at("path", -1))
-        finer = further.select(F.xxhash64("key", "band", "next").alias("key"), "id", F.concat("path", F.array("band")).alias("path"), "label")
-        todo = stored(_unresolved(finer), "unresolved")
+def _cells(members: DataFrame, bucket: int) -> DataFrame:
+    """The members of each bucket by the pairs of blocks, ``low`` and ``high``, that a task compares; a bucket of at most ``bucket`` members is one block.
+
+    The blocks of the rest come first and those of the largest component, which need not meet each other, after them.
+    """
+    small = members.where(F.col("members") <= bucket).select("key", "id", "band", "label", F.lit(0).alias("block"), F.lit(1).alias("rest"), F.lit(1).alias("blocks"))
+    large = members.where(F.col("members") > bucket)
+    of_label = large.groupBy("key", "label", "members").agg(F.count("*").alias("n"))
+    main = of_label.groupBy("key", "members").agg(F.max(F.struct("n", "label")).alias("main"))
+    count = lambda n: F.ceil(n * 2 / bucket).cast("int")
+    rest = count(F.col("members") - F.col("main.n"))
+    main = main.select("key", F.col("main.label").alias("main"), rest.alias("rest"), (rest + count(F.col("main.n"))).alias("blocks"))
+    salt = F.xxhash64("id")
+    block = F.when(F.col("label") == F.col("main"), F.col("rest") + F.pmod(salt, F.col("blocks") - F.col("rest"))).otherwise(F.pmod(salt, F.col("rest")))
+    cut = large.join(main, "key").select("key", "id", "band", "label", block.cast("int").alias("block"), "rest", "blocks")
+    met = F.explode(F.sequence(F.lit(0), F.when(F.col("block") < F.col("rest"), F.col("blocks")).otherwise(F.col("rest")) - 1)).alias("met")
+    cells = small.unionByName(cut).select("key", "id", "band", "label", "block", met)
+    return cells.select("key", "id", "band", "label", "block", F.least("block", "met").alias("low"), F.greatest("block", "met").alias("high"))
+
+
+def _further_links(bucketed: DataFrame, named: DataFrame, single: DataFrame, sets: DataFrame, bucket: int) -> DataFrame:
+    """Links across the components found so far, over every bucket that holds several."""
+    labelled = bucketed.select("key", "id", "band").join(named, "id", "left").select("key", "id", "band", F.coalesce("component", "id").alias("label"))
+    todo = stored(_unresolved(labelled), "unresolved")
+    ready = _cells(todo, bucket).join(single.select("id", "bands", "sketch"), "id").join(sets, "id")
+    return stored(ready.groupBy("key", "low", "high").applyInArrow(_links_in_bucket, "a long, b long"), "links")
 
 
 def near_duplicates(docs: DataFrame, bucket: int = BUCKET) -> DataFrame:
@@ -175,7 +191,7 @@ def near_duplicates(docs: DataFrame, bucket: int = BUCKET) -> DataFrame:
     least = F.min(F.struct("doc_id", "bands", "sketch")).alias("least")
     single = signed.where("n_shingles > 0 and doc_id is not null").groupBy(*same).agg(least)
     single = stored(single.select(F.col("least.doc_id").alias("id"), *same, "least.bands", "least.sketch"), "sets")
-    banded = single.select("id", F.posexplode("bands").alias("band", "key")).select("key", "id", F.array("band").alias("path"))
+    banded = single.select("id", F.posexplode("bands").alias("band", "key"))
     sizes = banded.groupBy("key").agg(F.count("*").alias("members"), F.min("id").alias("least"))
     bucketed = stored(banded.join(sizes.where("members > 1").drop("members"), "key"), "buckets")
 
@@ -183,8 +199,7 @@ def near_duplicates(docs: DataFrame, bucket: int = BUCKET) -> DataFrame:
     sets = stored(candidates.mapInArrow(_full_sets, "id long, shingles array<long>"), "shingles")
     links = stored(_first_links(bucketed, single, sets), "links")
     named = components(links)
-    for more in _further_links(bucketed, named, single, sets, bucket):
-        links = links.unionByName(more)
+    links = links.unionByName(_further_links(bucketed, named, single, sets, bucket))
     named = components(links)
     drop_stored(sets)
     drop_stored(bucketed)

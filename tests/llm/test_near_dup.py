@@ -2,6 +2,7 @@
 
 import random
 
+import numpy as np
 import pytest
 
 from rxsieve.llm import near_dup
@@ -36,6 +37,31 @@ def test_components_of_groups_of_near_copies(spark, bucket):
     assert any(c != d for d, (_, c) in expected.items())
 
 
+def test_pairs_that_share_every_band_of_large_buckets(spark):
+    rng = random.Random(4)
+
+    def samples(words):
+        data = " ".join(words).encode()
+        (shingles,) = near_dup._shingles(np.frombuffer(data, np.uint8), np.array([0, len(data)]))
+        return (shingles[:, None] * near_dup._MULTIPLIERS).min(0)
+
+    def grown(words, n):
+        """More words that no sample falls on."""
+        least, words = samples(words), list(words)
+        for _ in range(n):
+            words.append(next(x for x in (str(rng.random()) for _ in range(9999)) if (samples([*words, x]) == least).all()))
+        return words
+
+    core = [str(rng.random()) for _ in range(40)]
+    ends = [grown(core, 20) for _ in range(8)]
+    chains = [[end, *(grown(end, n) for n in (1, 2, 3))] for end in ends]
+    texts = [" ".join(t) for t in [core, *(t for chain in chains for t in chain)]]
+    expected = near_components(dict(enumerate(texts)))
+    assert len({c for _, c in expected.values()}) == 9
+    for bucket in (4, 12):
+        assert {d: (n, c) for d, n, c, _ in found(spark, list(enumerate(texts)), bucket=bucket)} == expected
+
+
 def test_exact_copies_of_a_third_of_the_rows(spark):
     rng = random.Random(3)
     texts = [" ".join(str(rng.random()) for _ in range(30)) for _ in range(40)] + ["the same text of more than five words"] * 20
