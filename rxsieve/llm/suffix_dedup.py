@@ -108,8 +108,13 @@ def _pieces(batches):
         place = _place(starts - offsets[text], _ties(sums, offsets)[text], anchor[starts] - starts, ends - starts)
         key, digest = grams[anchor[starts]], w.slice_hashes(sums, starts, ends)
         order = np.lexsort((place, ids, digest, key))
-        known = np.zeros(len(order), bool)
-        known[order[1:]] = (key[order[1:]] == key[order[:-1]]) & (digest[order[1:]] == digest[order[:-1]])
+        key, digest, ids, place = key[order], digest[order], ids[order], place[order]
+        new = np.ones(len(order), bool)
+        new[1:] = (key[1:] != key[:-1]) | (digest[1:] != digest[:-1])
+        earliest = np.flatnonzero(new)[np.cumsum(new) - 1]
+        known = (ids != ids[earliest]) | (place != place[earliest])
+        own = new | known  # without what a row that occurs again repeats of itself
+        key, digest, ids, place, known = key[own], digest[own], ids[own], place[own], known[own]
         key = np.where(known, w.mixed(place.astype(np.uint64) + w.mixed(ids.astype(np.uint64))), key)
         yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(digest.view(np.int64)), pa.array(ids), pa.array(place), pa.array(known)], ["key", "digest", "id", "place", "known"])
 
@@ -117,9 +122,10 @@ def _pieces(batches):
 def _sorted_out(batches):
     """From the pieces in order of key, digest and place: repeats of equal pieces, and the different pieces of keys that have several.
 
-    A key may go on for many batches; all that is kept of it is the last digest, its first piece and their number.
+    A key may go on for many batches; all that is kept of it is the last digest with its first id and place, its first piece and their number.
+    A piece with that id and place is the same piece, of a row that occurs again.
     """
-    last_key, last_digest, count, held = None, None, 0, None
+    last_key, last_digest, last_id, last_place, count, held = None, None, 0, 0, 0, None
     for batch in batches:
         key, digest, ids, place = (batch.column(c).to_numpy() for c in ("key", "digest", "id", "place"))
         known = batch.column("known").to_numpy(zero_copy_only=False)
@@ -128,9 +134,11 @@ def _sorted_out(batches):
         if len(key):
             new_key = np.append(key[0] != last_key, key[1:] != key[:-1])
             new_piece = new_key | np.append(digest[0] != last_digest, digest[1:] != digest[:-1])
-            again = ~new_piece
-            out.append((REPEAT, ids[again], place[again], key[again], np.zeros(again.sum(), np.int64)))
             at = np.flatnonzero(new_piece)
+            piece = np.cumsum(new_piece)  # 0: the piece that the batch before ended with
+            first_id, first_place = np.append(last_id, ids[at])[piece], np.append(last_place, place[at])[piece]
+            again = (ids != first_id) | (place != first_place)
+            out.append((REPEAT, ids[again], place[again], key[again], np.zeros(again.sum(), np.int64)))
             own = np.cumsum(new_key)[at]  # 0: the key that the batch before ended with
             counts = np.bincount(own, minlength=int(new_key.sum()) + 1)
             earlier = np.zeros(len(counts), np.int64)
@@ -143,7 +151,7 @@ def _sorted_out(batches):
             out.append((PIECE, ids[told], place[told], key[told], number[several] // BLOCK))
             ends = len(counts) - 1
             count = int(counts[ends] + earlier[ends])
-            last_key, last_digest = key[-1], digest[-1]
+            last_key, last_digest, last_id, last_place = key[-1], digest[-1], first_id[-1], first_place[-1]
             if ends or counts[0]:
                 held = None
             if count == 1 and counts[ends] == 1:

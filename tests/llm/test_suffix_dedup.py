@@ -75,6 +75,20 @@ def test_odd_rows(spark):
     assert got == sorted([(None, 150, 0), (5, 150, 150), (5, 150, 150), (5, 151, 150), (6, 0, 0), (None, 0, 0)], key=repr)
 
 
+@pytest.mark.parametrize("batch", [1, 10_000])
+@pytest.mark.parametrize("parts", [1, 2])
+def test_a_row_that_occurs_again_is_no_earlier_copy(spark, parts, batch):
+    rng = random.Random(2)
+    long = "".join(rng.choice("abcdefgh") for _ in range(150))
+    rows = [(5, long), (5, long), (5, long), (None, long[::-1]), (None, long[::-1]), (7, long), (7, long)]
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(batch))
+    try:
+        got = sorted((tuple(r)[:3] for r in remove_repeats(spark.createDataFrame(rows, SCHEMA).repartition(parts)).collect()), key=repr)
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert got == sorted([(5, 150, 0)] * 3 + [(None, 150, 0)] * 2 + [(7, 150, 150)] * 2, key=repr)
+
+
 def test_empty_table_and_other_columns(spark):
     assert found(spark, []) == {}
     clash = "doc_id long, text string, id long, key long, place long, windows string"
