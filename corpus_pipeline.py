@@ -10,11 +10,10 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from rxsieve.llm.decontaminate import without_passages
 from rxsieve.llm.mixing import repeated
-from rxsieve.llm.near_dup import near_duplicates
+from rxsieve.llm.near_dup import without_copies
 from rxsieve.llm.store import stored
 from rxsieve.llm.token_files import token_file_rows
 from rxsieve.llm.toxicity import without_toxic
@@ -28,9 +27,8 @@ def not_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies, the least by doc_id; all rows that repeat it stay."""
-    kept = near_duplicates(docs).where("kept").select(F.col("doc_id").alias("kept_id")).distinct()
-    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("kept_id")), "left_semi")
+    """One row of each group of near copies, the least by doc_id."""
+    return without_copies(docs)
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

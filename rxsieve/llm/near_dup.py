@@ -20,7 +20,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from rxsieve.llm import words as w
@@ -60,6 +60,7 @@ def _ids(values) -> pa.Array:
 def _signatures(batches):
     position = np.arange(SAMPLES, dtype=np.uint64)
     for batch, data, offsets in w.chunks(batches):
+        others = [c for c in batch.schema.names if c != "text"]
         sets = list(_shingles(data, offsets))
         samples = np.zeros((len(sets), SAMPLES), np.uint64)
         for row, shingles in enumerate(sets):
@@ -76,10 +77,10 @@ def _signatures(batches):
         two = np.array([w.mixed(x).sum(dtype=np.uint64) for x in sets], np.uint64)
         count = len(sets)
         yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), pa.array([len(x) for x in sets], pa.int64()), _ids(one), _ids(two),
+            [*(batch.column(c) for c in others), pa.array([len(x) for x in sets], pa.int64()), _ids(one), _ids(two),
              pa.ListArray.from_arrays(pa.array(np.arange(count + 1) * BANDS, pa.int32()), _ids(bands.reshape(count * BANDS))),
              pa.ListArray.from_arrays(pa.array(np.arange(count + 1) * (SKETCH_BITS // 64), pa.int32()), pa.array(sketch))],
-            ["doc_id", "n_shingles", "sum_one", "sum_two", "bands", "sketch"],
+            [*others, "n_shingles", "sum_one", "sum_two", "bands", "sketch"],
         )
 
 
@@ -177,16 +178,11 @@ def _further_links(bucketed: DataFrame, named: DataFrame, single: DataFrame, set
     return stored(ready.groupBy("key", "low", "high").applyInArrow(_links_in_bucket, "a long, b long"), "links")
 
 
-def near_duplicates(docs: DataFrame, bucket: int = BUCKET) -> DataFrame:
-    """Per row ``doc_id``, ``n_shingles``, ``component_id`` (least document reachable by links), ``kept``.
-
-    A link joins documents whose shingle sets have a Jaccard similarity of 0.75 or more. NULL and empty
-    texts have no shingles and are linked with nothing. Rows that repeat a doc_id are one document, linked as
-    any of its texts is. A row without doc_id gets the component of its set, and names none: if no
-    other row has its set, its component is NULL and it is kept. Other columns are ignored; no rows give no rows.
-    """
-    docs = docs.select("doc_id", "text")
-    signed = stored(docs.mapInArrow(_signatures, "doc_id long, n_shingles long, sum_one long, sum_two long, bands array<long>, sketch array<long>"), "signatures")
+def _components_of_rows(docs: DataFrame, bucket: int) -> DataFrame:
+    """``docs`` (doc_id, text, and what else is carried along) with ``n_shingles`` and ``component_id`` instead of the text; no shingles, no component."""
+    others = [c for c in docs.columns if c != "text"]
+    carried = ", ".join(f"{c} {t}" for c, t in docs.dtypes if c != "text")
+    signed = stored(docs.mapInArrow(_signatures, f"{carried}, n_shingles long, sum_one long, sum_two long, bands array<long>, sketch array<long>"), "signatures")
     same = ["n_shingles", "sum_one", "sum_two"]
     least = F.min(F.struct("doc_id", "bands", "sketch")).alias("least")
     single = signed.where("n_shingles > 0 and doc_id is not null").groupBy(*same).agg(least)
@@ -205,6 +201,34 @@ def near_duplicates(docs: DataFrame, bucket: int = BUCKET) -> DataFrame:
     drop_stored(bucketed)
 
     members = single.select(*same, "id").join(named, "id", "left").select(*same, F.coalesce("component", "id").alias("component_id"))
-    of_set = signed.select("doc_id", *same).join(members, same, "left")
+    return signed.select(*others, *same).join(members, same, "left").select(*others, "n_shingles", "component_id")
+
+
+def near_duplicates(docs: DataFrame, bucket: int = BUCKET) -> DataFrame:
+    """Per row ``doc_id``, ``n_shingles``, ``component_id`` (least document reachable by links), ``kept``.
+
+    A link joins documents whose shingle sets have a Jaccard similarity of 0.75 or more. NULL and empty
+    texts have no shingles and are linked with nothing. Rows that repeat a doc_id are one document, linked as
+    any of its texts is. A row without doc_id gets the component of its set, and names none: if no
+    other row has its set, its component is NULL and it is kept. Other columns are ignored; no rows give no rows.
+    """
+    of_set = _components_of_rows(docs.select("doc_id", "text"), bucket)
     component = F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("component_id"))
     return of_set.select("doc_id", "n_shingles", component.alias("component_id")).withColumn("kept", F.col("component_id").isNull() | F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)) | (F.col("n_shingles") == 0))
+
+
+def without_copies(docs: DataFrame, bucket: int = BUCKET) -> DataFrame:
+    """One row of each group of near copies among the rows of ``docs``, whatever their columns: the least by doc_id, those without one last.
+
+    Unlike above, every row is a document under 64 bits of hash of its doc_id and text, so rows without doc_id are linked like all others and texts
+    of a repeated doc_id are told apart. Rows alike in doc_id and text are one document, also without words.
+    """
+    id_ = F.xxhash64(F.col("doc_id").isNull(), "doc_id", F.coalesce("text", F.lit(""))).alias("id")
+    named = docs.select(id_.alias("doc_id"), F.col("doc_id").alias("origin"), "text")
+    named = named.where("origin is not null").unionByName(named.where("origin is null").dropDuplicates(["doc_id"]))
+    alone = F.when(F.col("n_shingles") == 0, F.col("doc_id")).alias("alone")
+    least = F.min(F.struct(F.col("origin").isNull().alias("last"), "origin", "doc_id")).alias("least")
+    kept = _components_of_rows(named, bucket).groupBy(alone, "component_id").agg(least).select(F.col("least.doc_id").alias("id"))
+    number = F.row_number().over(Window.partitionBy("id").orderBy("id"))
+    rows = docs.select(F.struct("*").alias("row"), id_)
+    return rows.join(kept, "id", "left_semi").withColumn("number", number).where("number = 1").select("row.*")

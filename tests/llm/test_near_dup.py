@@ -1,13 +1,15 @@
 """Near copies against all pairs in plain Python."""
 
+import importlib
 import random
+from collections import Counter
 
 import numpy as np
 import pytest
 
 from rxsieve.llm import near_dup
 from rxsieve.llm.components import components
-from rxsieve.llm.near_dup import near_duplicates
+from rxsieve.llm.near_dup import near_duplicates, without_copies
 from tests.llm.brute import near_components
 
 SCHEMA = "doc_id long, text string"
@@ -83,6 +85,24 @@ def test_nulls_and_repeated_ids(spark):
     assert got == sorted([(None, 2, 4, False), (4, 2, 4, True), (4, 0, 4, True), (4, 2, 4, True), (None, 1, None, True), (None, 0, None, True)], key=repr)
 
 
+def test_one_row_of_each_group(spark):
+    base = " ".join(f"w{i}" for i in range(60))
+    rows = [(None, "only here"), (None, "only here"), (None, base), (None, base + " x"), (3, base + " y"), (3, base + " y"), (2, base + " z")]
+    rows += [(7, "a b"), (7, "a b"), (7, "c d"), (7, "e f"), (None, ""), (None, None), (8, ""), (8, ""), (9, None), (-1, "c d")]
+    rows += [(None, base[::-1]), (None, base[::-1] + " v")]
+    docs = spark.createDataFrame([(*r, k) for k, r in enumerate(rows)], SCHEMA + ", id long")
+    stage = importlib.import_module("corpus_pipeline").distinct
+    got = stage(spark, docs, "").collect()
+    assert stage(spark, docs, "").columns == docs.columns
+    kept = Counter((r.doc_id, r.text) for r in got)
+    reverse = [t for d, t in kept if d is None and t and t.startswith(base[::-1])]
+    assert len(reverse) == 1 and kept.pop((None, reverse[0])) == 1
+    empty = [t for d, t in kept if d is None and not t]
+    assert len(empty) == 1 and kept.pop((None, empty[0])) == 1
+    assert kept == Counter([(None, "only here"), (2, base + " z"), (7, "a b"), (7, "e f"), (-1, "c d"), (8, ""), (9, None)])
+    assert without_copies(docs.limit(0)).collect() == []
+
+
 def test_empty_table_and_other_columns(spark):
     assert found(spark, []) == []
     clash = "doc_id long, text string, id long, key long, bands string, label string, shingles int"
