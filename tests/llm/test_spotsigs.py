@@ -65,3 +65,11 @@ def test_odd_rows(spark):
     assert spot_fingerprints(spark.createDataFrame([], SCHEMA)).collect() == []
     alone = spot_fingerprints(spark.createDataFrame([(1, "the one text of all", "x", 2)], SCHEMA + ", next string, _range int")).first()
     assert alone.near_next == 1.0
+
+
+def test_likeness_of_a_short_text_within_a_long_one(spark):
+    rng = random.Random(2)
+    short = " ".join(f"the {rng.random()} {rng.random()}" for _ in range(5))
+    long = short + " " + " ".join(f"of {rng.random()} {rng.random()}" for _ in range(300))
+    got = {r.doc_id: r for r in spot_fingerprints(spark.createDataFrame([(2, short), (1, long)], SCHEMA)).collect()}
+    assert 0 < got[2].near_next < 0.05 and got[1].near_next == got[2].near_next
