@@ -78,7 +78,35 @@ kept as (
 select page_id, host, len(lines) as n_lines, len(lines) - len(rest) as n_dropped, array_to_string(rest, chr(10)) as text from kept"""
 
 
+def prefix_trie() -> str:
+    """Every prefix as a list of turns; sums over a subtree by handing each node's to all its prefixes. The checksum is made bit by bit."""
+    crc = f"list_reduce([{2**32 - 1}::ubigint] || list_transform(string_split(conv_id::varchar, ''), lambda ch: ascii(ch)::ubigint), lambda crc, byte: list_reduce([xor(crc, byte)] || list_transform(range(8), lambda i: i::ubigint), lambda x, i: xor(x >> 1, 3988292384::ubigint * (x & 1))))"
+    return f"""
+with own as (
+  select conv_id, list({{'role': coalesce(role, ''), 'text': coalesce(text, '')}} order by turn nulls first) as turns
+  from conversations where conv_id is not null group by conv_id
+), heads as (select conv_id, turns, (xor({crc}, {2**32 - 1}) % 4)::bigint as h from own),
+rebuilt as (
+  select a.conv_id, list_concat(coalesce(b.turns, [])[1:a.h], a.turns[a.h + 1:]) as path
+  from heads a left join own b on b.conv_id = a.conv_id - a.conv_id % 20
+), steps as (select conv_id, path, unnest(range(0, len(path) + 1)) as depth from rebuilt),
+nodes as (
+  select path[1:depth] as node, depth, min(conv_id) as conv_id, count(*) as n_convs,
+    sha256(coalesce(string_agg(conv_id::varchar, ',' order by conv_id) filter (where depth = len(path)), '')) as ends_sha256
+  from steps group by all
+), below as (select node[1:depth - 1] as node, depth - 1 as depth, count(*) as n_children from nodes where depth > 0 group by all),
+worth as (
+  select n.*, coalesce(b.n_children, 0) as n_children,
+    case when n.depth > 0 then (n.n_convs - 1) * len(regexp_extract_all(n.node[n.depth].text, '[^\\x20\\x09-\\x0D]+')) else 0 end as worth
+  from nodes n left join below b on b.node = n.node and b.depth = n.depth
+), handed as (select node, depth, n_children, worth, unnest(range(0, depth + 1)) as to_depth from worth),
+sums as (select node[1:to_depth] as node, to_depth as depth, sum((n_children = 0)::bigint)::bigint as n_leaves, sum(worth)::bigint as saved_tokens from handed group by all)
+select w.conv_id, w.depth, p.conv_id as parent_conv_id, w.n_convs, w.n_children, s.n_leaves, s.saved_tokens, w.ends_sha256
+from worth w join sums s on s.node = w.node and s.depth = w.depth left join nodes p on w.depth > 0 and p.depth = w.depth - 1 and p.node = w.node[1:w.depth - 1]"""
+
+
 ORACLES = {
+    "op11_prefix_trie": prefix_trie(),
     "op3_site_line_dedup": site_lines(),
     "op5_minhash_near_dup": near_copies(),
     "op8_fm_index_decontamination": passages(),

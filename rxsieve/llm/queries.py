@@ -10,6 +10,7 @@ from rxsieve.llm.line_dedup import site_lines
 from rxsieve.llm.mixing import mixture
 from rxsieve.llm.near_dup import near_duplicates
 from rxsieve.llm.oracles import ORACLES
+from rxsieve.llm.prefix_trie import prefix_trie
 from rxsieve.llm.sharding import shard_rows
 from rxsieve.llm.spotsigs import spot_fingerprints
 from rxsieve.llm.suffix_dedup import remove_repeats
@@ -64,10 +65,14 @@ def op10_re_pair_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_file_rows(table(spark, sf_dir, "documents"), TOKENIZER)
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie(table(spark, sf_dir, "conversations")).drop("entered", "left")
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_suffix_array_dedup, op2_pivotal_mixing, op3_site_line_dedup, op4_ftrl_toxicity, op5_minhash_near_dup, op6_spot_signatures, op7_two_pass_shuffle,
-        op8_fm_index_decontamination, op9_whole_token_counts, op10_re_pair_token_files,
+        op8_fm_index_decontamination, op9_whole_token_counts, op10_re_pair_token_files, op11_prefix_trie,
     )
 }
