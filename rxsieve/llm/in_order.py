@@ -6,7 +6,7 @@ is a row for each part, so it passes the driver in a size that depends on the nu
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -18,13 +18,12 @@ def in_order(rows: DataFrame, order: list[Column | str], work: Callable, schema:
     """``rows`` in their order, worked on part by part, written to the shared folder.
 
     ``work`` takes the batches of a part as ``mapInArrow`` does; their column ``part`` rises with the order. Rows alike in ``order`` are
-    dealt over parts as well, so they should be interchangeable.
+    dealt over parts as well, so they should be interchangeable. Parts without rows give none.
     """
     ranged = rows.withColumn("_tie", F.monotonically_increasing_id()).repartitionByRange(*order, "_tie").drop("_tie").sortWithinPartitions(*order)
     return stored(ranged.withColumn("part", F.spark_partition_id()).mapInArrow(work, schema), name)
 
 
-def edges(parts: DataFrame, first: Iterable[str] = (), last: Iterable[str] = ()) -> list:
-    """A row for each part that has rows, in order: ``part``, ``first`` and ``last`` with the named columns of its first and last row by ``seq``."""
-    ends = [F.min_by(F.struct(*first), "seq").alias("first"), F.max_by(F.struct(*last), "seq").alias("last")]
-    return sorted(parts.groupBy("part").agg(*ends).collect(), key=lambda r: r.part)
+def summaries(parts: DataFrame) -> list:
+    """The last row of each part, in order: its ``seq`` is -1, and it tells the others what they must know of the part."""
+    return sorted(parts.where("seq < 0").collect(), key=lambda r: r.part)

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from rxsieve.llm import list_rank
 from rxsieve.llm import words as w
-from rxsieve.llm.in_order import edges, in_order
+from rxsieve.llm.in_order import in_order, summaries
 from rxsieve.llm.mixing import n_words
 from rxsieve.llm.store import stored
 
@@ -69,7 +69,12 @@ TURNS = "part int, seq long, conv_id long, k long, one long, two long, words lon
 
 
 def _number_turns(batches):
-    """Each turn's number in its conversation and the sums up to it, both counted from where the part begins."""
+    """Each turn's number in its conversation and the sums up to it, both counted from where the part begins.
+
+    The summary has the first conversation, in ``one`` the last, with its turns and sums in the part.
+    """
+    names = [f.split()[0] for f in TURNS.split(", ")]
+    first, part = None, 0
     seq, last, count, carry = 0, None, 0, [np.zeros(1, np.uint64)] * 2
     for batch in batches:
         n = len(batch)
@@ -86,22 +91,25 @@ def _number_turns(batches):
             before = np.concatenate([-carry[side], total[starts] - values[starts]])
             sums.append(total - before[run])
             carry[side] = sums[-1][-1:]
-        last, count = conv[-1], int(k[-1]) + 1
-        yield pa.RecordBatch.from_arrays([batch.column("part"), pa.array(np.arange(seq, seq + n)), batch.column("conv_id"), pa.array(k), *(batch.column(c) for c in ("one", "two", "words")), *map(_signed, sums)], [f.split()[0] for f in TURNS.split(", ")])
+        first = conv[0] if first is None else first
+        last, count, part = conv[-1], int(k[-1]) + 1, batch.column("part")[0].as_py()
+        yield pa.RecordBatch.from_arrays([batch.column("part"), pa.array(np.arange(seq, seq + n)), batch.column("conv_id"), pa.array(k), *(batch.column(c) for c in ("one", "two", "words")), *map(_signed, sums)], names)
         seq += n
+    if seq:
+        yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), *(pa.array([x], pa.int64()) for x in (-1, first, count, last, 0, 0)), *map(_signed, carry)], names)
 
 
 def _carried_turns(parts: DataFrame) -> dict[int, tuple[int, int, int, int]]:
     """By part, the conversation that goes on there, with its turns so far and their sums."""
     out, now = {}, (None, 0, 0, 0)
     base, mask = int(w.BASE), (1 << 64) - 1
-    for row in edges(parts, ["conv_id"], ["conv_id", "k", "sum_one", "sum_two"]):
-        conv, k, one, two = row.last
-        if row.first.conv_id == now[0]:
+    for row in summaries(parts):
+        going = row.conv_id == now[0]
+        if going:
             out[row.part] = now
-        before = now if row.first.conv_id == now[0] == conv else (conv, 0, 0, 0)
+        before = now if going and row.one == now[0] else (row.one, 0, 0, 0)
         factor = pow(base, before[1], 1 << 64)
-        now = (conv, before[1] + k + 1, (before[2] + factor * one) & mask, (before[3] + factor * two) & mask)
+        now = (row.one, before[1] + row.k, (before[2] + factor * row.sum_one) & mask, (before[3] + factor * row.sum_two) & mask)
     return out
 
 
@@ -111,6 +119,8 @@ def turns_in_order(conversations: DataFrame) -> DataFrame:
     turns = conversations.where("conv_id is not null").select(
         F.col("conv_id").cast("long").alias("conv_id"), "turn", F.xxhash64(F.lit(1), role, text).alias("one"), F.xxhash64(F.lit(2), role, text).alias("two"), n_words(F.col("text")).alias("words")
     )
+    # hashed before the order is sampled, so that texts are read once
+    turns = stored(turns, "hashed")
     parts = in_order(turns, ["conv_id", F.col("turn").asc_nulls_first(), "one", "two"], _number_turns, TURNS, "turns")
     carried = conversations.sparkSession.sparkContext.broadcast(_carried_turns(parts))
 
@@ -129,7 +139,7 @@ def turns_in_order(conversations: DataFrame) -> DataFrame:
                         sums[side][at] = np.uint64(before[side]) + shifted(sums[side][at], np.array([count]))
             yield pa.RecordBatch.from_arrays([batch.column("conv_id"), pa.array(place), *(batch.column(c) for c in ("one", "two", "words")), *map(_signed, sums)], ["conv_id", "place", "one", "two", "words", "sum_one", "sum_two"])
 
-    return parts.drop("seq").mapInArrow(whole, "conv_id long, place long, one long, two long, words long, sum_one long, sum_two long")
+    return parts.where("seq >= 0").drop("seq").mapInArrow(whole, "conv_id long, place long, one long, two long, words long, sum_one long, sum_two long")
 
 
 NODE = ("depth", "one", "two")
@@ -270,13 +280,14 @@ LINKS = "part int, seq long, child boolean, conv long, depth long, saved long, p
 
 
 def _link(batches):
-    """Each row of the order with its parent and the row behind it, as far as the part tells."""
-    seq, parent, held = 0, None, None
+    """Each row of the order with its parent and the row behind it, as far as the part tells. The summary has the part's first row and its last parent."""
+    seq, parent, held, first = 0, None, None, None
     for batch in batches:
         if not len(batch):
             continue
         rows = pa.Table.from_batches([batch.select(["part", "child", "conv", "depth", "saved"])])
         rows = pa.concat_tables([held, rows]) if held is not None else rows
+        first = rows.slice(0, 1) if first is None else first
         child, conv = (_numbers(rows.column(c).combine_chunks()) for c in ("child", "conv"))
         at = np.maximum.accumulate(np.where(child, -1, np.arange(len(rows))))
         known = at >= 0
@@ -294,7 +305,9 @@ def _link(batches):
     if held is not None:
         child, conv = held.column("child")[0].as_py(), held.column("conv")[0].as_py()
         own = conv if not child else parent
-        yield _linked(held, seq, np.array([own or 0]), np.array([own is None]), pa.array([None], pa.bool_()), pa.array([None], pa.int64()))
+        nothing = pa.array([None], pa.bool_()), pa.array([None], pa.int64())
+        yield _linked(held, seq, np.array([own or 0]), np.array([own is None]), *nothing)
+        yield _linked(first, -1, np.array([own or 0]), np.array([own is None]), *nothing)
 
 
 def _linked(rows: pa.Table, seq: int, parents, unknown, then_child, then_conv) -> pa.RecordBatch:
@@ -310,17 +323,16 @@ def _tour(nodes: DataFrame) -> DataFrame:
     as_child = nodes.where("depth > 0").select((F.col("depth") - 1).alias("depth"), F.col("up_one").alias("one"), F.col("up_two").alias("two"), F.lit(True).alias("child"), F.col("conv_id").alias("conv"), F.lit(0).cast("long").alias("saved"))
     parts = in_order(as_parent.unionByName(as_child), [*NODE, "child", "conv"], _link, LINKS, "links")
 
-    parents = {r.part: r.parent for r in parts.where("not child").groupBy("part").agg(F.max_by("conv", "seq").alias("parent")).collect()}
     going, behind, parent = {}, {}, None
-    rows = edges(parts, ["child", "conv"], ["seq"])
+    rows = summaries(parts)
     for row, then in zip(rows, [*rows[1:], None], strict=False):
         going[row.part] = parent
-        behind[row.part] = (then.first.child, then.first.conv) if then else (False, None)
-        parent = parents.get(row.part, parent)
+        behind[row.part] = (then.child, then.conv) if then else (False, None)
+        parent = parent if row.parent is None else row.parent
     spark = nodes.sparkSession
     table = spark.createDataFrame([(p, going[p], *behind[p]) for p in going], "part int, going long, behind_child boolean, behind_conv long")
     # a row for each part
-    known = parts.join(F.broadcast(table), "part")
+    known = parts.where("seq >= 0").join(F.broadcast(table), "part")
     c = F.col
     known = known.select(
         "child", "conv", "depth", "saved", F.coalesce("parent", "going").alias("parent"),
@@ -354,20 +366,23 @@ def prefix_trie(conversations: DataFrame, chunk: int = list_rank.CHUNK, base: in
     """
     turns = turns_in_order(conversations)
     rebuilt = _rebuilt(turns)
-    nodes = _paths(turns, rebuilt).groupBy(*NODE).agg(F.min("conv_id").alias("conv_id"), F.count("*").alias("n_convs"), F.min("up_one").alias("up_one"), F.min("up_two").alias("up_two"), F.max("words").alias("words"))
+    zero, none, no_text = F.lit(0).cast("long"), F.lit(None).cast("long"), F.lit(None).cast("string")
+    members = _paths(turns, rebuilt).withColumns({"n_convs": F.lit(1).cast("long"), "ends_sha256": no_text})
+    ends = _ends(rebuilt).select(none.alias("conv_id"), *NODE, none.alias("up_one"), none.alias("up_two"), zero.alias("words"), zero.alias("n_convs"), "ends_sha256")
+    nodes = members.unionByName(ends).groupBy(*NODE).agg(F.min("conv_id").alias("conv_id"), F.sum("n_convs").alias("n_convs"), *(F.max(c).alias(c) for c in ("up_one", "up_two", "words", "ends_sha256")))
     nodes = stored(nodes, "nodes")
     ranks = stored(list_rank.ranked(_tour(nodes), chunk, base), "ranks")
-    facts = nodes.join(_ends(rebuilt), list(NODE), "left").select("conv_id", "depth", "n_convs", F.coalesce("ends_sha256", F.lit(hashlib.sha256(b"").hexdigest())).alias("ends_sha256"))
 
     depth, exits = F.shiftright("step", 1), F.col("step") % 2 == 1
-    zero, none = F.lit(0).cast("long"), F.lit(None).cast("long")
 
     def signed(column: str) -> Column:
         return F.when(exits, F.col(column)).otherwise(-F.col(column))
 
-    own = ranks.select(F.col("conv").alias("conv_id"), depth.alias("depth"), signed("leaves_before").alias("n_leaves"), signed("saved_before").alias("saved_tokens"), F.col("parent").alias("parent_conv_id"), "n_before", zero.alias("n_children"))
-    below = ranks.where(exits & (depth > 0)).select(F.col("parent").alias("conv_id"), (depth - 1).alias("depth"), zero.alias("n_leaves"), zero.alias("saved_tokens"), none.alias("parent_conv_id"), none.alias("n_before"), F.lit(1).cast("long").alias("n_children"))
-    sums = own.unionByName(below).groupBy("conv_id", "depth").agg(
-        F.max("parent_conv_id").alias("parent_conv_id"), *(F.sum(c).alias(c) for c in ("n_children", "n_leaves", "saved_tokens")), F.min("n_before").alias("entered"), F.max("n_before").alias("left")
-    )
-    return facts.join(sums, ["conv_id", "depth"]).select("conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256", "entered", "left")
+    own = ranks.select(F.col("conv").alias("conv_id"), depth.alias("depth"), F.col("parent").alias("parent_conv_id"), signed("leaves_before").alias("n_leaves"), signed("saved_before").alias("saved_tokens"), "n_before")
+    below = ranks.where(exits & (depth > 0)).select(F.col("parent").alias("conv_id"), (depth - 1).alias("depth"), F.lit(1).cast("long").alias("n_children"))
+    facts = nodes.select("conv_id", "depth", "n_convs", "ends_sha256")
+    every = own.unionByName(below, allowMissingColumns=True).unionByName(facts, allowMissingColumns=True)
+    return every.groupBy("conv_id", "depth").agg(
+        F.max("parent_conv_id").alias("parent_conv_id"), F.max("n_convs").alias("n_convs"), F.coalesce(F.sum("n_children"), F.lit(0)).alias("n_children"), F.sum("n_leaves").alias("n_leaves"), F.sum("saved_tokens").alias("saved_tokens"),
+        F.coalesce(F.max("ends_sha256"), F.lit(hashlib.sha256(b"").hexdigest())).alias("ends_sha256"), F.min("n_before").alias("entered"), F.max("n_before").alias("left"),
+    )
