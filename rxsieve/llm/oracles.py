@@ -105,7 +105,25 @@ select w.conv_id, w.depth, p.conv_id as parent_conv_id, w.n_convs, w.n_children,
 from worth w join sums s on s.node = w.node and s.depth = w.depth left join nodes p on w.depth > 0 and p.depth = w.depth - 1 and p.node = w.node[1:w.depth - 1]"""
 
 
+def near_vectors() -> str:
+    """All pairs; components by a recursive walk."""
+    return """
+with recursive good as (
+  select vec_id, embedding::double[] as v from embeddings
+  where len(embedding) > 0 and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0 and len(list_filter(embedding, lambda x: x <> 0)) > 0
+), links as (
+  select a.vec_id as a, b.vec_id as b from good a join good b on a.vec_id <> b.vec_id and len(a.v) = len(b.v) where list_cosine_similarity(a.v, b.v) >= 0.9
+), reached as (
+  select vec_id, vec_id as other from embeddings
+  union select r.vec_id, l.b from reached r join links l on l.a = r.other
+), least as (select vec_id, min(other) as component_id from reached group by vec_id),
+counted as (select a as vec_id, count(*) as n_links from links group by a)
+select vec_id, coalesce(n_links, 0) as n_links, component_id, vec_id = component_id as kept
+from embeddings join least using (vec_id) left join counted using (vec_id)"""
+
+
 ORACLES = {
+    "op12_cross_polytope": near_vectors(),
     "op11_prefix_trie": prefix_trie(),
     "op3_site_line_dedup": site_lines(),
     "op5_minhash_near_dup": near_copies(),
