@@ -3,7 +3,7 @@
 1. A rotation is three times random signs and a fast Hadamard transform. A vector's hash is the axis, with its sign, that it lies nearest to; a key joins the hashes of
    ``width`` rotations. In each table a vector has its own key and ``probes - 1`` more, those of the next nearest axes. Two vectors meet where the
    own key of one is any key of the other.
-2. In each bucket 64 sign bits tell which pairs can be links at all. Only vectors with such a pair are fetched.
+2. In each bucket 256 sign bits tell which pairs can be links at all. Only vectors with such a pair are fetched.
 3. Their cosines decide. A link is counted in the first bucket that finds it, so every link counts once though no pair leaves its task: a task
    returns for each vector its number of links and the least vector that it hangs together with.
 
@@ -25,17 +25,19 @@ from rxsieve.llm.store import stored
 
 COSINE = 0.9
 #: Chance to miss a pair at exactly the least cosine; the number of tables follows from it.
-MISS = 0.002
-#: Vectors for each own key, about; the number of rotations of a key follows from it.
+MISS = 0.005
+#: Vectors for each own key at most, on average; the number of rotations of a key follows from it.
 IN_BUCKET = 8
 #: Members of a bucket that a task compares, and numbers in their vectors.
 BUCKET, NUMBERS = 2000, 1 << 21
+#: Pairs that are compared at once.
+PAIRS = 1 << 18
 ROUNDS = 3
 SEED = 12
 #: Numbers that are rotated at once.
 ROTATED = 1 << 20
 #: Sign bits of a linked pair differ with the chance of their angle; five standard deviations more are let through.
-SKETCH = 64
+SKETCH = 256
 _CHANCE = math.acos(COSINE) / math.pi
 MOST_BITS = math.ceil(SKETCH * _CHANCE + 5 * math.sqrt(SKETCH * _CHANCE * (1 - _CHANCE)))
 
@@ -81,10 +83,10 @@ def table_keys(rows: np.ndarray, table: int, width: int, probes: int) -> np.ndar
 
 
 def sketches(rows: np.ndarray) -> np.ndarray:
-    """64 sign bits of each row."""
+    """Sign bits of each row, as numbers of 64 bits."""
     turns = math.ceil(SKETCH / rows.shape[1])
     bits = np.concatenate([rotated(rows, -k % (1 << 32)) for k in range(turns)], 1)[:, :SKETCH] > 0
-    return np.packbits(bits, 1).view(np.uint64)[:, 0]
+    return np.packbits(bits, 1).view(np.uint64)
 
 
 def layout(count: int, length: int) -> tuple[int, int, int]:
@@ -93,7 +95,7 @@ def layout(count: int, length: int) -> tuple[int, int, int]:
     The tables are as many as miss a pair at the least cosine with a chance of ``MISS``, by how often seeded random pairs of this length meet in one.
     """
     size = padded(length)
-    width = max(1, round(math.log(max(1, count / IN_BUCKET)) / math.log(2 * size)))
+    width = max(1, math.ceil(math.log(max(1, count / IN_BUCKET)) / math.log(2 * size)))
     probes = 2 ** (width + 1)
     draw = np.random.default_rng(SEED)
     pairs = max(64, min(2000, (1 << 21) // size))
@@ -127,12 +129,21 @@ def _units(vectors: np.ndarray) -> np.ndarray:
     return scaled / np.linalg.norm(scaled, axis=1, keepdims=True)
 
 
+def _lists(rows: np.ndarray) -> pa.Array:
+    ends = pa.array(np.arange(len(rows) + 1) * rows.shape[1], pa.int32())
+    return pa.ListArray.from_arrays(ends, pa.array(rows.ravel().view(np.int64)))
+
+
+def _wide(column, width: int) -> np.ndarray:
+    return column.flatten().to_numpy().view(np.uint64).reshape(-1, width)
+
+
 def _hash(width: int, probes: int, tables: int):
     def hashed(batches):
         for whole in batches:
             for at in range(0, len(whole), 1024):
                 batch = whole.slice(at, 1024)
-                keys, bits = np.zeros((len(batch), tables * probes), np.uint64), np.zeros(len(batch), np.uint64)
+                keys, bits = np.zeros((len(batch), tables * probes), np.uint64), np.zeros((len(batch), SKETCH // 64), np.uint64)
                 for rows, vectors in _vectors(batch.column("vector")):
                     size = padded(vectors.shape[1])
                     for some in np.array_split(np.arange(len(rows)), max(1, len(rows) * size // ROTATED)):
@@ -143,8 +154,7 @@ def _hash(width: int, probes: int, tables: int):
                             own = table_keys(units, t, width, probes)
                             # fewer axes than probes: the own key stands for the missing ones
                             keys[rows[some], t * probes : (t + 1) * probes] = np.concatenate([own, np.repeat(own[:, :1], probes - own.shape[1], 1)], 1)
-                ends = pa.array(np.arange(len(batch) + 1) * tables * probes, pa.int32())
-                yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(bits.view(np.int64)), pa.ListArray.from_arrays(ends, pa.array(keys.ravel().view(np.int64)))], ["id", "sketch", "keys"])
+                yield pa.RecordBatch.from_arrays([batch.column("id"), _lists(bits), _lists(keys)], ["id", "sketch", "keys"])
 
     return hashed
 
@@ -152,59 +162,59 @@ def _hash(width: int, probes: int, tables: int):
 CELL = ("key", "low", "high")
 
 
-def _cells(batches, columns: list[str]):
-    """Tables of the rows of each cell; they come in order of their cell."""
-    held: list[pa.Table] = []
-    for batch in batches:
-        table = pa.Table.from_batches([batch])
+def _cells(batches):
+    """Tables of whole cells, which come in order, and where each cell begins."""
+    held, size = [], 0
+
+    def begins(table):
         key = np.stack([table.column(c).combine_chunks().to_numpy() for c in CELL], 1)
-        starts = np.flatnonzero(np.append(True, (key[1:] != key[:-1]).any(1))) if len(key) else np.zeros(0, int)
-        for a, b in zip(starts, np.append(starts[1:], len(key)), strict=True):
-            cell = table.slice(a, b - a)
-            if held and not a and all(held[0].column(c)[0] == cell.column(c)[0] for c in CELL):
-                held.append(cell)
-                continue
-            if held:
-                yield pa.concat_tables(held).select(columns)
-            held = [cell]
-    if held:
-        yield pa.concat_tables(held).select(columns)
-
-
-def _parts(table: pa.Table) -> list[tuple[np.ndarray, np.ndarray]]:
-    """The pairs of rows sets that a cell compares: own keys with all, and between two blocks both ways."""
+        return np.flatnonzero(np.append(True, (key[1:] != key[:-1]).any(1)))
+
+    for batch in batches:
+        if not len(batch):
+            continue
+        held.append(pa.Table.from_batches([batch]))
+        size += len(batch)
+        if size >= 4 * BUCKET:
+            table = pa.concat_tables(held).combine_chunks()
+            starts = begins(table)
+            if starts[-1]:
+                yield table.slice(0, starts[-1]).combine_chunks(), starts[:-1]
+            held, size = [table.slice(starts[-1])], len(table) - starts[-1]
+    if size:
+        table = pa.concat_tables(held).combine_chunks()
+        yield table, begins(table)
+
+
+def _pairs(table: pa.Table, starts: np.ndarray):
+    """Pairs of a row with its own key and any other row of its cell, from different blocks if the cell has two."""
     own, block, low, high = (table.column(c).combine_chunks().to_numpy(zero_copy_only=False) for c in ("own", "block", "low", "high"))
-    if low[0] == high[0]:
-        return [(np.flatnonzero(own), np.arange(len(own)))]
-    one, other = block == low[0], block == high[0]
-    return [(np.flatnonzero(one & own), np.flatnonzero(other)), (np.flatnonzero(other & own), np.flatnonzero(one))]
+    sizes = np.diff(np.append(starts, len(table)))
+    cell = np.repeat(np.arange(len(starts)), sizes)
+    rows = np.flatnonzero(own)
+    counts = sizes[cell[rows]]
+    for some in np.split(np.arange(len(rows)), np.flatnonzero(np.diff(np.cumsum(counts) // PAIRS)) + 1):
+        count = counts[some]
+        one = np.repeat(rows[some], count)
+        other = starts[cell[one]] + np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+        met = (one != other) & ((low[one] == high[one]) | (block[one] != block[other]))
+        yield one[met], other[met]
 
 
 def _likely(batches):
     """Of each cell, the rows that have a pair within ``MOST_BITS``."""
     names = ["id", "own", "block", "table", *CELL]
-    out, size = [], 0
-    for cell in _cells(batches, [*names, "sketch"]):
-        if len(cell) < 2:
-            continue
-        bits = cell.column("sketch").combine_chunks().to_numpy().view(np.uint64)
-        found = np.zeros(len(cell), bool)
-        for own, others in _parts(cell):
-            near = np.bitwise_count(bits[own][:, None] ^ bits[others][None, :]) <= MOST_BITS
-            near &= own[:, None] != others[None, :]
-            found[own] |= near.any(1)
-            found[others] |= near.any(0)
+    for table, starts in _cells(batches):
+        bits = _wide(table.column("sketch").combine_chunks(), SKETCH // 64)
+        found = np.zeros(len(table), bool)
+        for one, other in _pairs(table, starts):
+            near = np.bitwise_count(bits[one] ^ bits[other]).sum(1) <= MOST_BITS
+            found[one[near]] = found[other[near]] = True
         if found.any():
-            out.append(cell.select(names).filter(pa.array(found)))
-            size += len(out[-1])
-        if size > 10_000:
-            yield from pa.concat_tables(out).combine_chunks().to_batches()
-            out, size = [], 0
-    if out:
-        yield from pa.concat_tables(out).combine_chunks().to_batches()
+            yield from table.select(names).filter(pa.array(found)).combine_chunks().to_batches()
 
 
-def _first(one: np.ndarray, other: np.ndarray, table: int, key: int, probes: int) -> np.ndarray:
+def _first(one: np.ndarray, other: np.ndarray, table: int, key: np.ndarray, probes: int) -> np.ndarray:
     """Whether each pair, given by the keys of its two vectors, meets in this bucket and in none before."""
     now = np.ones(len(one), bool)
     for t in range(table):
@@ -212,7 +222,7 @@ def _first(one: np.ndarray, other: np.ndarray, table: int, key: int, probes: int
         left = np.flatnonzero(now)
         now[left] = ~_meet(one[left, at], other[left, at])
     at = slice(table * probes, (table + 1) * probes)
-    one, other, key = one[:, at], other[:, at], np.uint64(key % (1 << 64))
+    one, other = one[:, at], other[:, at]
     most = np.uint64((1 << 64) - 1)
     least = np.minimum(np.where((one[:, :1] == other).any(1), one[:, 0], most), np.where((other[:, :1] == one).any(1), other[:, 0], most))
     return now & (least == key)
@@ -220,26 +230,30 @@ def _first(one: np.ndarray, other: np.ndarray, table: int, key: int, probes: int
 
 def _verify(probes: int):
     def verified(batches):
-        for cell in _cells(batches, ["id", "own", "block", "table", *CELL, "copies", "vector", "keys"]):
-            ids, copies = (cell.column(c).combine_chunks().to_numpy() for c in ("id", "copies"))
-            keys = cell.column("keys").combine_chunks().flatten().to_numpy().view(np.uint64).reshape(len(ids), -1)
-            key, table = cell.column("key")[0].as_py(), cell.column("table")[0].as_py()
-            links, root = np.zeros(len(ids), np.int64), np.arange(len(ids))
-            lengths = _vectors(cell.column("vector").combine_chunks())
-            linked = [np.zeros(0, np.int64)] * 2
+        for table, starts in _cells(batches):
+            ids, copies, key, number = (table.column(c).combine_chunks().to_numpy() for c in ("id", "copies", "key", "table"))
+            keys = table.column("keys").combine_chunks()
+            keys = keys.flatten().to_numpy().view(np.uint64).reshape(len(ids), -1)
+            sizes = np.zeros(len(ids), np.int64)
+            lengths = _vectors(table.column("vector").combine_chunks())
+            units = np.zeros((len(ids), max(v.shape[1] for _, v in lengths)))
             for rows, vectors in lengths:
-                units, place = _units(vectors), np.full(len(ids), -1)
-                place[rows] = np.arange(len(rows))
-                for own, others in _parts(cell):
-                    own, others = own[place[own] >= 0], others[place[others] >= 0]
-                    a, b = np.nonzero(units[place[own]] @ units[place[others]].T >= COSINE)
-                    a, b = own[a], others[b]
-                    a, b = np.minimum(a, b)[a != b], np.maximum(a, b)[a != b]
-                    linked = [np.concatenate(x) for x in zip(linked, (a, b), strict=True)]
-            pairs = np.unique(linked[0] * len(ids) + linked[1])
-            for some in np.array_split(pairs, max(1, len(pairs) >> 16)):
+                units[rows, : vectors.shape[1]] = _units(vectors)
+                sizes[rows] = vectors.shape[1]
+            links, root = np.zeros(len(ids), np.int64), np.arange(len(ids))
+            pairs = [np.zeros(0, np.int64)]
+            for one, other in _pairs(table, starts):
+                for a, b in zip(np.array_split(one, step := 1 + one.size * units.shape[1] // NUMBERS), np.array_split(other, step), strict=True):
+                    near = np.flatnonzero(((units[a] * units[b]).sum(1) >= COSINE) & (sizes[a] == sizes[b]))
+                    pairs.append(np.minimum(a, b)[near] * len(ids) + np.maximum(a, b)[near])
+            # two rows with own keys meet both ways
+            pairs = np.unique(np.concatenate(pairs))
+            for some in np.array_split(pairs, 1 + len(pairs) // PAIRS):
                 a, b = np.divmod(some, len(ids))
-                new = _first(keys[a], keys[b], table, key, probes)
+                new = np.zeros(len(some), bool)
+                for t in np.unique(number[a]):
+                    at = np.flatnonzero(number[a] == t)
+                    new[at] = _first(keys[a[at]], keys[b[at]], t, key[a[at]].view(np.uint64), probes)
                 a, b = a[new], b[new]
                 np.add.at(links, a, copies[b])
                 np.add.at(links, b, copies[a])
@@ -300,7 +314,7 @@ def near_vectors(vectors: DataFrame, column: str = "embedding", bucket: int = BU
     length = facts[1] or 1
     width, probes, tables = layout(facts[0], length)
     bucket = max(2, min(bucket, NUMBERS // padded(length)))
-    hashed = stored(single.mapInArrow(_hash(width, probes, tables), "id long, sketch long, keys array<long>"), "keys")
+    hashed = stored(single.mapInArrow(_hash(width, probes, tables), "id long, sketch array<long>, keys array<long>"), "keys")
     own = F.col("place") % probes == 0
     own_key = F.get("keys", F.col("place") - F.col("place") % probes)
     members = hashed.select("id", "sketch", "keys", F.posexplode("keys").alias("place", "key")).where(own | (F.col("key") != own_key))
