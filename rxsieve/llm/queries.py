@@ -18,6 +18,7 @@ from rxsieve.llm.token_counts import token_counts
 from rxsieve.llm.token_files import token_file_rows
 from rxsieve.llm.toxicity import toxicity
 from rxsieve.llm.vector_dup import near_vectors
+from rxsieve.llm.whitening import whitened
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -74,10 +75,14 @@ def op12_cross_polytope(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors(table(spark, sf_dir, "embeddings"))
 
 
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitened(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_suffix_array_dedup, op2_pivotal_mixing, op3_site_line_dedup, op4_ftrl_toxicity, op5_minhash_near_dup, op6_spot_signatures, op7_two_pass_shuffle,
-        op8_fm_index_decontamination, op9_whole_token_counts, op10_re_pair_token_files, op11_prefix_trie, op12_cross_polytope,
+        op8_fm_index_decontamination, op9_whole_token_counts, op10_re_pair_token_files, op11_prefix_trie, op12_cross_polytope, op13_whitening,
     )
 }
