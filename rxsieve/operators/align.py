@@ -90,3 +90,24 @@ def append_projection(frame: DataFrame, run: CampaignParams) -> DataFrame:
     """Columns as an append selects them: the row id is 1, the load time is the run's."""
     special = {ROW_ID: F.lit(1), LOAD_TIME: load_time(run)}
     return frame.select(*[special.get(c.lower(), cell(c)).alias(c.lower()) for c in frame.columns])
+
+
+def schema_difference(source: DataFrame, target: T.StructType) -> DataFrame:
+    """The columns of both schemas side by side, in the target's order, those only the source has behind.
+
+    ``name``, ``source_varnum`` and ``target_varnum`` (position), ``source_type`` and ``target_type`` (type class), ``match`` (``both``, ``source`` or ``target``)
+    and ``n_filled``: the source's rows with a value there, which an append carries over, drops, or fills in (0 for a column only the target has).
+    """
+    spark = source.sparkSession
+
+    def described(schema: T.StructType, side: str) -> DataFrame:
+        rows = [(c.name, c.varnum, c.type) for c in column_metadata(schema)]
+        return spark.createDataFrame(rows, f"name string, {side}_varnum int, {side}_type int")
+
+    ours, theirs = described(source.schema, "source"), described(target, "target")
+    counts = F.array(*[F.struct(F.lit(c.lower()).alias("name"), F.count(cell(c)).alias("n_filled")) for c in source.columns])
+    filled = source.agg(counts.alias("counts")).select(F.inline("counts"))
+    both = ours.join(filled, "name").join(theirs, "name", "full")
+    match = F.when(F.col("target_varnum").isNull(), "source").when(F.col("source_varnum").isNull(), "target").otherwise("both")
+    rows = both.select("name", "source_varnum", "target_varnum", "source_type", "target_type", match.alias("match"), F.coalesce("n_filled", F.lit(0)).alias("n_filled"))
+    return rows.orderBy(F.col("target_varnum").asc_nulls_last(), "source_varnum")

@@ -6,7 +6,7 @@ table to keep them in.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rxsieve.functions.cells import any_of, surely
@@ -20,8 +20,8 @@ REPORT_COLUMNS = [
 ]
 
 
-def prune_matches(validity: DataFrame, run: CampaignParams) -> DataFrame:
-    """Drops matches that contradict the drug row; an unknown indicator contradicts nothing."""
+def contradicts(run: CampaignParams) -> Column:
+    """Whether a match contradicts its drug row; an unknown indicator contradicts nothing."""
     # The codes of drug rows and catalogue.
     c = F.col
     if run.has_mony_switches:
@@ -41,7 +41,12 @@ def prune_matches(validity: DataFrame, run: CampaignParams) -> DataFrame:
                 )
             ]
         )
-    return validity.filter(~surely(gone))
+    return surely(gone)
+
+
+def prune_matches(validity: DataFrame, run: CampaignParams) -> DataFrame:
+    """Drops matches that contradict the drug row."""
+    return validity.filter(~contradicts(run))
 
 
 def duplicate_groups(validity: DataFrame) -> DataFrame:
@@ -91,3 +96,40 @@ def invalid_exclusions(validity: DataFrame) -> DataFrame:
     excluded = rows_of_type(validity, "E").select("drug_id", "rec_type")
     possible = excluded.filter(facts["none"] | (~facts["unknown"] & F.col("drug_id").isNotNull()))
     return possible.join(included.distinct(), "drug_id", "left_anti").select("drug_id", "rec_type")
+
+
+def duplicate_report_by_product(validity: DataFrame) -> DataFrame:
+    """The rows of ``duplicate_report``, joined by product alone.
+
+    For matches that lie bucketed by ``drug_id``: neither the groups nor the join need an exchange then. A product has at most as many groups as record types
+    times definitions, so what is gathered for it is small.
+    """
+    groups = duplicate_groups(validity).groupBy("drug_id").agg(F.collect_list("rec_type").alias("groups"))
+    same = F.filter("groups", lambda group: group == F.col("rec_type"))
+    return validity.join(groups, "drug_id").select(*REPORT_COLUMNS, F.explode(same).alias("group")).drop("group")
+
+
+def finding_counts(validity: DataFrame) -> DataFrame:
+    """One row: ``duplicates``, rows of the duplicate report, and ``exclusions``, exclusions without inclusion.
+
+    All from one pass over the matches: the rows of each product, record type and definition are counted, and the counts tell how many rows the joins of the
+    reports would give, by the same rules for NULL.
+    """
+    c = F.col
+    groups = validity.groupBy(*DUPLICATE_KEY).agg(F.count("*").alias("n"))
+    kinds = groups.groupBy("rec_type", "drug_id").agg(F.sum("n").alias("n"), F.count_if(c("n") > 1).alias("repeated"))
+    products = kinds.groupBy("drug_id").agg(
+        F.sum(F.when(c("rec_type").isNotNull() & c("drug_id").isNotNull(), c("n") * c("repeated"))).alias("reported"),
+        F.sum(F.when(c("rec_type") == "I", c("n"))).alias("included"),
+        F.sum(F.when(c("rec_type") == "E", c("n"))).alias("excluded"),
+    )
+    known = c("drug_id").isNotNull()
+    facts = products.agg(
+        F.coalesce(F.sum("reported"), F.lit(0)).alias("duplicates"),
+        F.count("included").alias("included"),
+        F.count(F.when(~known, c("included"))).alias("unknown"),
+        F.coalesce(F.sum("excluded"), F.lit(0)).alias("every"),
+        F.coalesce(F.sum(F.when(known & c("included").isNull(), c("excluded"))), F.lit(0)).alias("alone"),
+    )
+    exclusions = F.when(c("included") == 0, c("every")).when(c("unknown") > 0, 0).otherwise(c("alone"))
+    return facts.select("duplicates", exclusions.alias("exclusions"))

@@ -119,3 +119,17 @@ def run_text(disposed: DataFrame, run_id: int) -> DataFrame:
     first = F.array_position(F.transform("texts", lambda t: t != ""), True).cast("int")
     kept = F.when(first > 0, F.slice("texts", first, F.size("texts"))).otherwise(F.slice("texts", 1, 0))
     return said.agg(texts.alias("texts")).select(F.array_join(kept, "|").alias("msg_fail"))
+
+
+def run_texts(disposed: DataFrame) -> DataFrame:
+    """The failure text of every run that has failing issues: ``run_id``, ``msg_fail``.
+
+    Its texts in order of ``seq`` with bars between, from the first on that is not empty: what is empty so far is replaced, not continued. A run of empty texts
+    alone has the empty text. The text of a run is one cell, so it is as long as the run has failing issues.
+    """
+    said = run_messages(disposed)
+    begins = said.groupBy(F.col("run_id").alias("run")).agg(F.min(F.when(F.col("triage_text") != "", F.col("seq"))).alias("begin"))
+    begun = said.join(begins, F.col("run_id").eqNullSafe(F.col("run"))).drop("run")
+    spoken = F.when(F.col("seq") >= F.col("begin"), F.col("triage_text"))
+    joined = begun.select("run_id", "seq", spoken.alias("spoken")).groupBy("run_id")
+    return joined.agg(F.expr("coalesce(listagg(spoken, '|') within group (order by seq, spoken), '')").alias("msg_fail"))

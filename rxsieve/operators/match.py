@@ -3,7 +3,8 @@
 The match condition is a three-way OR with LIKE, which a planner can only run
 as a nested loop over all pairs. Here every code is reduced to an *anchor*, a
 literal piece any matching product must contain: the whole code, or its longest
-run without wildcard, which leads the code or lies inside. Products offer
+run without wildcard, which leads the code, ends it, or lies inside. A product has one piece of a length
+that leads and one that ends its code, but one for each place inside. Products offer
 their pieces of exactly the lengths some code asks for, so the match becomes one
 equi-join; what the piece leaves open is checked behind the join.
 
@@ -39,11 +40,11 @@ PBM, MDDB = "PBM ", "MDDB"
 NO_ESCAPE = "\u0001"
 
 # A piece is one of these letters and the text: which code of the product it comes from, and how.
-WHOLE_NDC9, WHOLE_NDC11, NDC11_HEAD, NDC11_INSIDE, GPI_HEAD, GPI_INSIDE = "9", "N", "H", "I", "G", "J"
+WHOLE_NDC9, WHOLE_NDC11, NDC11_HEAD, NDC11_INSIDE, NDC11_TAIL, GPI_HEAD, GPI_INSIDE = "9", "N", "H", "I", "T", "G", "J"
 PIECES = "array<string>"
 
-# What is left to check behind the join: nothing, the end of the product's code, a run at a fixed place, or a LIKE.
-DECIDED, ENDS, FIXED, OPEN = range(4)
+# What is left to check behind the join: nothing, a run at a fixed place, or a LIKE.
+DECIDED, FIXED, OPEN = range(3)
 
 
 def drug_columns(run: CampaignParams) -> list[str]:
@@ -73,8 +74,7 @@ def matched_codes(rows: DataFrame, products: DataFrame) -> DataFrame:
     subject = F.when(F.col("druglvl") == "GPI", F.trim("matched_gpi_cd")).otherwise(F.col("matched_drug_id"))
     size, place = F.length("anchor"), F.instr(F.col("pattern"), F.col("anchor"))
     fits = (
-        F.when(F.col("rest") == ENDS, F.endswith(subject, F.col("anchor")))
-        .when(F.col("rest") == FIXED, (F.length(subject) == F.length("pattern")) & (F.substring(subject, place, size) == F.col("anchor")))
+        F.when(F.col("rest") == FIXED, (F.length(subject) == F.length("pattern")) & (F.substring(subject, place, size) == F.col("anchor")))
         .when(F.col("rest") == OPEN, F.like(subject, F.col("pattern"), F.lit(NO_ESCAPE)))
         .otherwise(True)
     )
@@ -89,20 +89,23 @@ def _anchored(codes: DataFrame) -> DataFrame:
     head = F.regexp_extract(like, "^[^_%]*", 0)
     runs = F.transform(F.split(like, "[_%]+"), lambda run: F.struct(F.length(run).alias("size"), run.alias("run")))
     longest = F.array_max(runs)
+    tail = F.regexp_extract(like, "[^_%]*$", 0)
     leads = F.length(head) >= longest["size"]
+    # a run at either end has one piece a product, so it is taken before a longer one inside if that is not twice its length
+    ends = ~is_gpi & (F.length(tail) > 0) & (2 * F.length(tail) > longest["size"])
     is_ndc9 = level == "NDC9"
     whole = is_ndc9 | (~is_gpi & ~F.rlike(code, F.lit("[_%]")))
 
     origin = (
         F.when(whole, F.when(is_ndc9, WHOLE_NDC9).otherwise(WHOLE_NDC11))
         .when(leads, F.when(is_gpi, GPI_HEAD).otherwise(NDC11_HEAD))
+        .when(ends, NDC11_TAIL)
         .otherwise(F.when(is_gpi, GPI_INSIDE).otherwise(NDC11_INSIDE))
     )
-    anchor = F.when(whole, code).when(leads, head).otherwise(longest["run"])
-    decided = whole | (like == F.concat(head, F.lit("%")))
+    anchor = F.when(whole, code).when(leads, head).when(ends, tail).otherwise(longest["run"])
+    decided = whole | (like == F.concat(head, F.lit("%"))) | (ends & (like == F.concat(F.lit("%"), tail)))
     rest = (
         F.when(decided, DECIDED)
-        .when(like == F.concat(F.lit("%"), anchor), ENDS)
         .when(F.rlike(like, F.lit("^_*[^_%]+_*$")), FIXED)
         .otherwise(OPEN)
     )
@@ -116,9 +119,10 @@ def _pieces(products: DataFrame, wanted: Column) -> DataFrame:
     def pieces(want: Column) -> Column:
         origin, n = want["origin"], want["n"]
         subject = F.when(origin == WHOLE_NDC9, ndc9).when(origin.isin(GPI_HEAD, GPI_INSIDE), gpi).otherwise(ndc11)
-        last = F.when(origin.isin(NDC11_INSIDE, GPI_INSIDE), F.length(subject) - n + 1).otherwise(1)
+        first = F.when(origin == NDC11_TAIL, F.length(subject) - n + 1).otherwise(1)
+        last = F.when(origin.isin(NDC11_INSIDE, GPI_INSIDE, NDC11_TAIL), F.length(subject) - n + 1).otherwise(1)
         long_enough = F.when(origin.isin(WHOLE_NDC9, WHOLE_NDC11), F.length(subject) == n).otherwise(F.length(subject) >= n)
-        runs = F.transform(F.sequence(F.lit(1), last), lambda at: F.concat(origin, F.substring(subject, at, n)))
+        runs = F.transform(F.sequence(first, last), lambda at: F.concat(origin, F.substring(subject, at, n)))
         return F.when(long_enough, runs).otherwise(F.array().cast(PIECES))
 
     kinds = products.withColumn("want", F.explode(wanted))

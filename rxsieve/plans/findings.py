@@ -5,9 +5,10 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rxsieve.operators.checks import finding_counts
 from rxsieve.params import CampaignParams
 
 
@@ -28,19 +29,29 @@ QUALITY = Check("quality", 1, "quality", 21)
 TARGET_INDICATOR = Check("quality", 2, "target_indicator", 74)
 
 
-def check_counts(findings: dict[Check, DataFrame]) -> DataFrame:
-    """One row per check with its row count; all checks are counted in one job."""
-    counts = [
-        rows.agg(F.count("*").alias("n_rows")).select(
-            F.lit(check.job).alias("job"),
-            F.lit(check.seq).alias("check_seq"),
-            F.lit(check.name).alias("check_name"),
-            F.lit(check.message_id).alias("message_id"),
-            "n_rows",
-        )
-        for check, rows in findings.items()
-    ]
-    return reduce(DataFrame.unionByName, counts)
+COUNTS = "job string, check_seq int, check_name string, message_id int, n_rows long"
+
+
+def _count(check: Check, n_rows: Column) -> Column:
+    named = {"job": check.job, "check_seq": check.seq, "check_name": check.name, "message_id": check.message_id}
+    return F.struct(*[F.lit(v).alias(k) for k, v in named.items()], n_rows.cast("long").alias("n_rows"))
+
+
+def check_counts(findings: dict[Check, DataFrame], validity: DataFrame | None = None) -> DataFrame:
+    """One row per check with its row count; all checks are counted in one job.
+
+    With the pruned matches in ``validity`` the intake's checks are counted from them in one pass, and ``findings`` holds the others.
+    """
+    counts = [rows.agg(F.array(_count(check, F.count("*"))).alias("counts")) for check, rows in findings.items()]
+    if validity is not None:
+        both = F.array(_count(DUPLICATES, F.col("duplicates")), _count(EXCLUSIONS, F.col("exclusions")))
+        counts.append(finding_counts(validity).select(both.alias("counts")))
+    return reduce(DataFrame.unionByName, counts).select(F.inline("counts"))
+
+
+def observed_counts(spark: SparkSession, counts: dict[Check, int]) -> DataFrame:
+    """The rows of ``check_counts`` from counts that are known already."""
+    return spark.createDataFrame([(c.job, c.seq, c.name, c.message_id, n) for c, n in counts.items()], COUNTS)
 
 
 def first_failures(counts: DataFrame) -> DataFrame:

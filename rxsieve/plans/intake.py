@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from rxsieve.operators import checks, match
 from rxsieve.params import CampaignParams
@@ -17,6 +17,8 @@ class IntakeResult:
     validity: DataFrame
     duplicates: DataFrame
     exclusions: DataFrame
+    # whether the checks are those of ``validity``, so that they may be made again from a copy of it
+    derived: bool = False
 
     @property
     def inclusions_table(self) -> DataFrame:
@@ -36,14 +38,26 @@ def pruned_validity(drugs: DataFrame, catalog: DataFrame, run: CampaignParams) -
     return checks.prune_matches(match.drug_validity(drugs, catalog, run), run)
 
 
-def validate_intake(drugs: DataFrame, catalog: DataFrame, run: CampaignParams, table: str | None = None) -> IntakeResult:
+def checked(validity: DataFrame, bucketed: bool = False) -> IntakeResult:
+    """The checks of pruned matches; ``bucketed``: they lie in buckets of ``drug_id``."""
+    report = checks.duplicate_report_by_product if bucketed else checks.duplicate_report
+    return IntakeResult(validity, report(validity), checks.invalid_exclusions(validity), derived=True)
+
+
+def validate_intake(drugs: DataFrame, catalog: DataFrame, run: CampaignParams, table: str | None = None, buckets: int = 0) -> IntakeResult:
     """The checks of the pruned matches.
 
-    With ``table`` the matches are written to it, in place of an older one, and each check reads the table; the caller
-    owns it. Without, everything is lazy and nothing is left behind.
+    With ``table`` the matches are written to it, in place of an older one, and each check reads the table, which stays until ``discard_matches``. With
+    ``buckets`` it lies in so many buckets of ``drug_id``, and no check shuffles it again; without, hot products are spread.
+    Without a table everything is lazy and nothing is left behind.
     """
     validity = pruned_validity(drugs, catalog, run)
-    if table:
-        tables.replace_table(validity, table)
-        validity = tables.read_table(drugs.sparkSession, table)
-    return IntakeResult(validity, checks.duplicate_report(validity), checks.invalid_exclusions(validity))
+    if not table:
+        return checked(validity)
+    tables.replace_table(validity, table, ["drug_id"], buckets)
+    return checked(tables.read_table(drugs.sparkSession, table), buckets > 0)
+
+
+def discard_matches(spark: SparkSession, table: str) -> None:
+    """Drop the matches that ``validate_intake`` wrote, if they are there."""
+    tables.drop_table(spark, table)

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
+from pyspark.sql import functions as F
 
 from rxsieve.params import CampaignParams
 
@@ -25,9 +26,25 @@ def quality_report_name(run: CampaignParams) -> str:
 
 def write_report(rows: DataFrame, folder: str, name: str, fmt: str = "csv", order_by: list[str] | None = None) -> str:
     """Write a report in parallel, sorted if asked, and return its path."""
+    return _written(rows.orderBy(*order_by) if order_by else rows, folder, name, fmt)
+
+
+def write_counted_report(rows: DataFrame, folder: str, name: str, fmt: str = "csv", order_by: list[str] | None = None) -> tuple[str, int]:
+    """Write a report and count its rows while they are written; a report without rows is taken away again."""
+    counted = Observation()
+    # above the sort: what lies below it runs once more for its sample
+    ordered = rows.orderBy(*order_by) if order_by else rows
+    path = _written(ordered.observe(counted, F.count(F.lit(1)).alias("n")), folder, name, fmt)
+    count = counted.get["n"]
+    if not count:
+        file = rows.sparkSession._jvm.org.apache.hadoop.fs.Path(path)
+        file.getFileSystem(rows.sparkSession._jsc.hadoopConfiguration()).delete(file, True)
+    return path, count
+
+
+def _written(rows: DataFrame, folder: str, name: str, fmt: str) -> str:
     path = f"{folder.rstrip('/')}/{name}"
-    out = rows.orderBy(*order_by) if order_by else rows
-    writer = out.write.mode("overwrite")
+    writer = rows.write.mode("overwrite")
     if fmt == "csv":
         writer = writer.option("header", True)
     writer.format(fmt).save(path)

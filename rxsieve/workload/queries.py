@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,10 +16,11 @@ from rxsieve.operators.history import history_rows
 from rxsieve.operators.normalize import normalize_drug_rows
 from rxsieve.params import CampaignParams
 from rxsieve.plans import campaign, findings
-from rxsieve.plans.intake import pruned_validity, validate_intake
-from rxsieve.plans.load import prepare_load
+from rxsieve.plans.intake import IntakeResult, pruned_validity, validate_intake
+from rxsieve.plans.load import append_history, prepare_load
 from rxsieve.plans.quality import validate_drugs
 from rxsieve.session import tuned
+from rxsieve.sources import tables
 from rxsieve.workload import inputs
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -143,7 +145,52 @@ def check_counts(spark: SparkSession, sf: str) -> DataFrame:
     run = CampaignParams(campaign_id=64, run_type="CF")
     drugs = validate_drugs(raw_rows("common")(spark, sf), run, formulary(spark, sf))
     codes = validate_intake(intake(spark, sf), catalog(spark, sf), run)
-    return findings.check_counts(codes.findings | drugs.findings)
+    return findings.check_counts(drugs.findings, codes.validity)
+
+
+def _own(name: str) -> str:
+    """A name for a table or schema of this call alone: results are read from it later."""
+    return f"{name}_{uuid.uuid4().hex}"
+
+
+def _stored_intake(spark: SparkSession, sf: str) -> IntakeResult:
+    return validate_intake(intake(spark, sf), catalog(spark, sf), GENERIC, _own("drug_validity"), buckets=8)
+
+
+def prune_stored(spark: SparkSession, sf: str) -> DataFrame:
+    """Contradictory matches deleted from a stored table, by level."""
+    name, rows = _own("drug_validity"), _validity(GENERIC, pruned=False)(spark, sf)
+    tables.replace_table(rows, name, partitions=["druglvl"])
+    tables.delete_rows(spark, name, checks.contradicts(GENERIC), ["druglvl"])
+    return tables.read_table(spark, name).select(rows.columns)
+
+
+def _recorded(spark: SparkSession, sf: str) -> str:
+    """The history table after a run was recorded twice beside another run."""
+    schema = _own("history")
+    spark.sql(f"CREATE SCHEMA {schema}")
+    variables = inputs.read_input(spark, sf, inputs.RUN_VARIABLES)
+    for key in ("run 1", "run 2", "run 1"):
+        name = append_history(variables, LOAD, key, schema, logged_at=F.col("run_ts"))
+    return name
+
+
+def history_append(spark: SparkSession, sf: str) -> DataFrame:
+    rows = tables.read_table(spark, _recorded(spark, sf))
+    return rows.withColumn("dqi_ts", F.col("dqi_ts").cast("timestamp_ntz"))
+
+
+def history_statistics(spark: SparkSession, sf: str) -> DataFrame:
+    found = tables.read_statistics(spark, _recorded(spark, sf), align.ROW_ID)
+    return spark.createDataFrame([found], "row_count long, distinct_count long, null_count long")
+
+
+def schema_difference(spark: SparkSession, sf: str) -> DataFrame:
+    return align.schema_difference(spark.read.parquet(f"{sf}/customer.parquet"), LOAD_TARGET)
+
+
+def disposition_texts(spark: SparkSession, sf: str) -> DataFrame:
+    return disposition.run_texts(_disposed(RUN)(spark, sf))
 
 
 def raised_issues(spark: SparkSession, sf: str) -> DataFrame:
@@ -260,6 +307,13 @@ QUERIES: dict[str, Query] = {
     "target_indicator": _target_indicator(CampaignParams(campaign_id=561)),
     "target_indicator_cf": _target_indicator(CampaignParams(campaign_id=64, run_type="CF")),
     "check_counts": check_counts,
+    "prune_stored": prune_stored,
+    "dup_report_stored": lambda spark, sf: _stored_intake(spark, sf).duplicates,
+    "exclusions_stored": lambda spark, sf: _stored_intake(spark, sf).exclusions,
+    "history_append": history_append,
+    "history_statistics": history_statistics,
+    "schema_difference": schema_difference,
+    "disposition_texts": disposition_texts,
     "raised_issues": raised_issues,
     "exclusions": exclusions,
     "duplicate_report_rows": duplicate_report_rows,

@@ -1,11 +1,13 @@
 """The chain from checks to decision, and the reports it writes."""
 
 import pytest
+from pyspark.sql import functions as F
 
+from rxsieve.operators import checks
 from rxsieve.params import CampaignParams
 from rxsieve.plans import findings
 from rxsieve.plans.campaign import conclude, report_name
-from rxsieve.plans.intake import IntakeResult
+from rxsieve.plans.intake import IntakeResult, checked
 from rxsieve.plans.quality import QualityResult
 
 
@@ -40,6 +42,29 @@ def test_chain_ends_in_the_flags_of_the_run(found, records):
     assert result.reports == []
 
 
+def test_matches_are_written_once_and_counted_on_the_way(spark, records, tmp_path):
+    """The reports, the issues and the flags read the written matches; the counts are those of the frames."""
+    columns = ["rec_type", "drug_defn", *checks.REPORT_COLUMNS[1:]]
+    data = [("I", "PBM ", "1", "a"), ("I", "PBM ", "1", "b"), ("E", "MDDB", "2", "c"), ("E", "PBM ", None, "d")]
+    drugs = spark.createDataFrame(data, "rec_type string, drug_defn string, drug_id string, drug_desc string")
+    times = spark.sparkContext.accumulator(0)
+
+    def seen(batches):
+        for batch in batches:
+            times.add(batch.num_rows)
+            yield batch
+
+    validity = drugs.mapInArrow(seen, drugs.schema).select(*[c if c in drugs.columns else F.lit(None).cast("string").alias(c) for c in columns])
+    quality = QualityResult(spark.createDataFrame([], "validation_msg string"), None)
+    result = conclude(checked(validity), quality, *records, CampaignParams(campaign_id=30, main_dir="/jobs"), 3, str(tmp_path))
+    found = {(r.job, r.check_seq): r.n_rows for r in result.counts.collect()}
+    assert found == {("intake", 1): 2, ("intake", 2): 1, ("quality", 1): 0}
+    assert [p.rsplit("/", 1)[1] for p in result.reports] == ["validate_drug_duplicates", "validate_drug_exclusions"]
+    assert sorted(p.name for p in tmp_path.iterdir()) == ["drug_validity", "validate_drug_duplicates", "validate_drug_exclusions"]
+    assert [tuple(r) for r in result.flags.collect()] == [(3, 2, 0, True, True)]
+    assert result.intake.duplicates.count() == 2 and times.value == len(data)
+
+
 def test_report_names():
     run = CampaignParams(campaign_id=562, formulary_run_type="F")
     checks = (findings.DUPLICATES, findings.EXCLUSIONS, findings.QUALITY, findings.TARGET_INDICATOR)

@@ -1,11 +1,13 @@
+import random
 from collections import Counter
 from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 
 from rxsieve.operators import checks
 from rxsieve.params import CampaignParams
-from rxsieve.plans.intake import validate_intake
+from rxsieve.plans.intake import checked, discard_matches, validate_intake
 from rxsieve.sources import tables
 from tests.conftest import rows_of
 
@@ -154,3 +156,57 @@ def test_intake_plan(spark):
     assert result.inclusions_table.count() == 6 and result.exclusions_table.count() == 2
     tables.drop_table(spark, "drug_validity")
     assert not tables.table_exists(spark, "drug_validity")
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_counts_in_one_pass(spark, seed):
+    """As many as the reports have rows, with NULLs, without inclusions, and without rows."""
+    rng = random.Random(seed)
+    ids = ["1", "2", "3", None] if seed % 2 else ["1", "2", "3", "4"]
+    kinds = ["E", None] if seed == 4 else ["I", "E", "E", None]
+    rows = [row(rng.choice(kinds), rng.choice(["PBM ", "MDDB"]), rng.choice(ids), str(k)) for k in range(0 if seed == 5 else 14)]
+    frame = validity(spark, *rows)
+    counts = checks.finding_counts(frame).first()
+    assert tuple(counts) == (checks.duplicate_report(frame).count(), checks.invalid_exclusions(frame).count())
+    assert rows_of(checks.duplicate_report_by_product(frame)) == rows_of(checks.duplicate_report(frame))
+
+
+def test_bucketed_matches_are_not_shuffled_again(spark):
+    rows = [row("I" if k % 3 else "E", "PBM ", str(k % 40), str(k)) for k in range(200)]
+    tables.replace_table(validity(spark, *rows), "bucketed_matches", ["drug_id"], 4)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = checked(tables.read_table(spark, "bucketed_matches"), bucketed=True)
+        for frame in (found.duplicates, found.exclusions):
+            plan = frame._jdf.queryExecution().executedPlan().toString()
+            assert "SortMergeJoin" in plan
+            # the facts about all inclusions are one row
+            assert [line for line in plan.splitlines() if "Exchange" in line and "SinglePartition" not in line] == []
+        assert rows_of(found.duplicates) == rows_of(checks.duplicate_report(validity(spark, *rows)))
+        assert rows_of(found.exclusions) == rows_of(checks.invalid_exclusions(validity(spark, *rows)))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        discard_matches(spark, "bucketed_matches")
+    assert not tables.table_exists(spark, "bucketed_matches")
+    discard_matches(spark, "bucketed_matches")
+
+
+def test_delete_writes_only_what_loses_rows(spark):
+    """MONY switches delete GPI rows alone: the files of the other levels stay, a level that loses all rows goes, unknown conditions keep."""
+    run = CampaignParams(campaign_id=66)
+    gone = {"mony_m": "E", "pbm_drug_multi_src_cd": "M"}
+    rows = [row("I", "PBM ", str(k), "d", druglvl=level, **(gone if k % 2 else {})) for k, level in enumerate(["GPI", "GPI", "NDC9", "NDC9", "NDC11", None, None])]
+    rows.append(row("I", "PBM ", "9", "d", druglvl="GPI", mony_m="E", rx="I"))
+    frame = validity(spark, *rows)
+    tables.replace_table(frame, "stored_matches", partitions=["druglvl"])
+    try:
+        before = set(spark.table("stored_matches").inputFiles())
+        assert tables.delete_rows(spark, "stored_matches", checks.contradicts(run), ["druglvl"]) == 1
+        after = set(spark.table("stored_matches").inputFiles())
+        assert {f for f in before if "druglvl=GPI" not in f} == {f for f in after if "druglvl=GPI" not in f} != after
+        assert rows_of(spark.table("stored_matches").select(COLUMNS)) == rows_of(checks.prune_matches(frame, run).select(COLUMNS))
+        assert tables.delete_rows(spark, "stored_matches", checks.contradicts(run), ["druglvl"]) == 0
+        assert tables.delete_rows(spark, "stored_matches", F.col("drug_id") == "4", ["druglvl"]) == 1
+        assert rows_of(spark.table("stored_matches").select("druglvl").distinct()) == [("GPI",), ("NDC9",), (None,)]
+    finally:
+        tables.drop_table(spark, "stored_matches")

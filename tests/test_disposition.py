@@ -164,3 +164,15 @@ def test_drug_counts(spark):
     assert rows_of(summary.drug_counts(ids, spark.range(4), spark.range(6))) == [
         (26, 4), (30, 6), (52, 6), (566, 4), (63, 4), (67, 4),
     ]
+
+
+def test_texts_of_all_runs(spark):
+    """Empty texts are dropped until one is not; later ones stay; a bar of the text's own stays too."""
+    said = {1: ["", "", "a", "", "b"], 2: ["", ""], 3: ["|x", "y"], 4: ["only"], None: ["", "n"]}
+    rows = [(run, 10 - k, t) for run, texts in said.items() for k, t in enumerate(reversed(texts))] + [(5, 1, None)]
+    disposed = spark.createDataFrame(rows, "run_id long, seq long, triage_text string")
+    got = {r.run_id: r.msg_fail for r in disposition.run_texts(disposed).collect()}
+    assert got == {1: "a||b", 2: "", 3: "|x|y", 4: "only", None: "n"}
+    for run, text in got.items():
+        if run is not None:
+            assert disposition.run_text(disposed, run).first().msg_fail == text

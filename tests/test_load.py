@@ -7,7 +7,7 @@ from pyspark.sql import types as T
 from rxsieve.operators import align
 from rxsieve.operators.history import VARIABLE_COLUMNS, history_rows
 from rxsieve.params import CampaignParams
-from rxsieve.plans.load import load_table, prepare_load, record_variables
+from rxsieve.plans.load import append_history, load_table, prepare_load, record_variables
 from rxsieve.sources import reports, tables
 
 RUN = CampaignParams(campaign_id=30, run_ts=dt.datetime(2024, 3, 4, 5, 6, 7, 890000))
@@ -135,3 +135,32 @@ def test_prepared_load_needs_no_job(spark):
         "row_gid",
         "c_custkey",
     ]
+
+
+def test_history_is_appended_once_for_each_run(spark, variables):
+    run = CampaignParams(production="Y", run_ts=RUN.run_ts)
+    spark.sql("create schema runs")
+    try:
+        name = append_history(variables, run, "it's 1", "runs")
+        assert name == "runs.dqi_process_macros"
+        append_history(variables.limit(1), run, "2", "runs")
+        files = set(spark.table(name).where("run_key = '2'").inputFiles())
+        append_history(variables, run, "it's 1", "runs")
+        assert {r.run_key: r["count"] for r in spark.table(name).groupBy("run_key").count().collect()} == {"it's 1": 3, "2": 1}
+        assert files <= set(spark.table(name).inputFiles())
+        assert tables.read_statistics(spark, name, "row_gid") == (4, 1, 0)
+        # a run that is recorded again without rows leaves none
+        append_history(variables.limit(0), run, "it's 1", "runs")
+        assert [r.run_key for r in spark.table(name).select("run_key").collect()] == ["2"]
+        assert spark.conf.get("spark.sql.sources.partitionOverwriteMode").lower() == "static"
+    finally:
+        spark.sql("drop schema runs cascade")
+
+
+def test_schema_difference(spark):
+    source = spark.createDataFrame([(1, None, "x"), (2, "a", None)], "KEY long, Name string, extra string")
+    target = T._parse_datatype_string("name string, opened date, key long")
+    assert [tuple(r) for r in align.schema_difference(source, target).collect()] == [
+        ("name", 1, 0, 2, 2, "both", 1), ("opened", None, 1, None, 2, "target", 0), ("key", 0, 2, 1, 1, "both", 2), ("extra", 2, None, 2, None, "source", 1),
+    ]
+    assert align.schema_difference(source.limit(0), source.schema).count() == 3

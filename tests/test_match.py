@@ -4,7 +4,9 @@ import random
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
+from rxsieve.operators import match
 from rxsieve.operators.match import DRUG_COLUMNS, MDDB, MONY_COLUMNS, PBM, PRODUCT_COLUMNS, drug_validity, match_products
 from rxsieve.params import CampaignParams
 from tests.conftest import rows_of
@@ -200,3 +202,17 @@ def test_switch_columns_only_for_their_campaigns(spark):
     plain = drug_validity(with_switches, products, CampaignParams(campaign_id=30))
     mony = drug_validity(with_switches, products, CampaignParams(campaign_id=554))
     assert mony.columns == plain.columns + MONY_COLUMNS
+
+
+def test_codes_that_begin_with_a_wildcard_ask_for_one_piece_a_product(spark):
+    """Whatever ends a code is looked up among the ends of the products, which are one a product and length."""
+    products = [product(k, f"{k * 7919 % 10**11:011d}", None) for k in range(1, 200)]
+    codes = ["%" + p["drug_id"][-4:] for p in products[::5]] + ["%" + p["drug_id"][3:5] + "%" + p["drug_id"][-3:] for p in products[::9]] + ["__" + products[3]["drug_id"][2:], "%9", "_%", "%_1"]
+    drugs = [drug("NDC11", c) for c in codes]
+    d, p = frames(spark, drugs, products)
+    assert rows_of(match_products(d, p)) == expected_pairs(drugs, products)
+    offered = match._pieces(p.select("drug_id", "gpi_cd").distinct(), F.array(F.struct(F.lit("T").alias("origin"), F.lit(4).alias("n"))))
+    assert offered.count() == len(products)
+    anchored = match._anchored(d.select("druglvl", "drug_code").distinct())
+    assert {r.piece[0] for r in anchored.where("drug_code rlike '^%[0-9]+$'").collect()} == {"T"}
+    assert {r.rest for r in anchored.where("drug_code rlike '^%[0-9]+$'").collect()} == {match.DECIDED}
