@@ -26,6 +26,7 @@ from rxsieve.llm.pretokens import CHUNK_BYTES, classes, shared_encoder
 from rxsieve.llm.store import new_path, stored
 
 END = 0
+PREFIX = 256
 SCHEMA = "shard int, block int, first long, n_ids long, doc_ids array<long>, ids_before array<long>, symbol_ends array<int>, first_rule int, rules binary, lengths binary, symbols binary"
 
 
@@ -39,7 +40,8 @@ def write_token_files(docs: DataFrame, tokenizer_file: str, path: str, shards: i
     There are ``shards`` ranges of doc_ids, or else as many as Spark's settings make of the size
     (``spark.sql.shuffle.partitions``, which adaptive execution joins to its advisory size).
 
-    NULL and empty texts are the end id alone. Rows without doc_id come first; rows that repeat a doc_id follow each other.
+    NULL and empty texts are the end id alone. Rows without doc_id come first; rows that repeat a doc_id follow each other by the first ``PREFIX`` characters of
+    their texts and then a hash of them.
     No documents leave a dataset without rows.
     """
     spark = docs.sparkSession
@@ -52,9 +54,10 @@ def write_token_files(docs: DataFrame, tokenizer_file: str, path: str, shards: i
         for batch, data, offsets in w.chunks(batches, limit=CHUNK_BYTES):
             ids, before = encoder.encode(data, offsets)
             count = len(batch)
-            with_end = np.full(len(ids) + count, END, np.uint32)
-            with_end[np.arange(len(ids)) + np.repeat(np.arange(count), np.diff(before))] = ids
             before = before + np.arange(count + 1)
+            with_end, own = np.full(before[-1], END, np.uint32), np.ones(before[-1], bool)
+            own[before[1:] - 1] = False
+            with_end[own] = ids
             made = g.compress(with_end, before[1:])
             binary = lambda x: pa.array([x.astype("<u4").tobytes()], pa.binary())
             yield pa.RecordBatch.from_arrays(
@@ -65,10 +68,11 @@ def write_token_files(docs: DataFrame, tokenizer_file: str, path: str, shards: i
             )
             block, first = block + 1, first + len(with_end)
 
-    texts = docs.select("doc_id", "text")
-    ranged = texts.repartitionByRange(shards, "doc_id") if shards else texts.repartitionByRange("doc_id")
-    ranged = ranged.sortWithinPartitions("doc_id", "text")
-    ranged.withColumn("shard", F.spark_partition_id()).mapInArrow(encode, SCHEMA).write.option("compression", "zstd").parquet(path)
+    texts = docs.select("doc_id", "text").withColumn("tie", F.monotonically_increasing_id())
+    order = [F.col("doc_id"), F.substring("text", 1, PREFIX), F.xxhash64("text")]
+    # rows of one id, or without one, are dealt over shards by their texts, and rows alike by the tie
+    ranged = texts.repartitionByRange(*([shards] if shards else []), *order, "tie").drop("tie")
+    ranged.sortWithinPartitions(*order).withColumn("shard", F.spark_partition_id()).mapInArrow(encode, SCHEMA).write.option("compression", "zstd").parquet(path)
 
 
 def _shard_starts(blocks: DataFrame) -> DataFrame:

@@ -1,3 +1,4 @@
+import collections
 import random
 import zlib
 
@@ -70,11 +71,15 @@ def test_counts(spark, library):
 
 
 @settings(max_examples=150, deadline=None)
-@given(st.lists(st.lists(st.integers(0, 4), max_size=40), max_size=20), st.integers(0, 6))
-def test_grammar_gives_the_ids_back(texts, rounds):
+@given(st.lists(st.lists(st.integers(0, 4), max_size=40), max_size=20), st.integers(1, 8))
+def test_grammar_gives_the_ids_back(texts, frequent):
     ids = np.array([x for t in texts * 3 for x in t], np.uint32)
     ends = np.cumsum([len(t) for t in texts * 3]) if texts else np.zeros(0, np.int64)
-    made = grammar.compress(ids, ends, rounds)
+    before, grammar.FREQUENT = grammar.FREQUENT, frequent
+    try:
+        made = grammar.compress(ids, ends)
+    finally:
+        grammar.FREQUENT = before
     assert grammar.expand(made.symbols, made.first_rule, made.rules, made.lengths).tolist() == ids.tolist()
     for k, t in enumerate(texts * 3):
         assert grammar.text_ids(made, k).tolist() == t
@@ -87,6 +92,70 @@ def test_grammar_is_shorter():
     assert len(made.symbols) <= 500 and made.lengths.max() >= 4
 
 
+def pair_counts(symbols, ends):
+    """Neighbours within a text, those of a run of one symbol without overlaps."""
+    counts, at = collections.Counter(), 0
+    for end in ends:
+        text, k = symbols[at:end], 0
+        while k + 1 < len(text):
+            counts[text[k], text[k + 1]] += 1
+            k += 1 + (k + 2 < len(text) and text[k] == text[k + 1] == text[k + 2])
+        at = end
+    return counts
+
+
+def plain_re_pair(ids, ends, frequent):
+    """The size of the textbook's result: the most frequent pair first, one pair at a time."""
+    texts, at, fresh, rules = [], 0, max(ids) + 1, 0
+    for end in ends:
+        texts.append(list(ids[at:end]))
+        at = end
+    while True:
+        flat, sizes = [x for t in texts for x in t], np.cumsum([len(t) for t in texts]).tolist()
+        pair, n = max(pair_counts(flat, sizes).items(), key=lambda c: c[1], default=(None, 0))
+        if n < frequent:
+            return len(flat) + 2 * rules
+        for t in texts:
+            k, out = 0, []
+            while k < len(t):
+                whole = tuple(t[k : k + 2]) == pair
+                out.append(fresh if whole else t[k])
+                k += 1 + whole
+            t[:] = out
+        fresh, rules = fresh + 1, rules + 1
+
+
+def test_no_pair_stays_frequent_and_the_size_is_that_of_re_pair():
+    draw = random.Random(3)
+    words = [[draw.randrange(30) for _ in range(draw.randrange(2, 6))] for _ in range(40)]
+    texts = [[x for _ in range(draw.randrange(1, 30)) for x in draw.choice(words)] for _ in range(60)]
+    ids = [x for t in texts for x in t]
+    ends = np.cumsum([len(t) for t in texts])
+    made = grammar.compress(np.array(ids, np.uint32), ends)
+    assert max(pair_counts(made.symbols.tolist(), made.ends.tolist()).values()) < 2 * grammar.FREQUENT
+    assert len(made.symbols) + 2 * len(made.rules) < 1.15 * plain_re_pair(ids, ends.tolist(), grammar.FREQUENT)
+
+
+def test_repeated_passage_shrinks_to_almost_nothing():
+    draw = np.random.default_rng(0)
+    passage = np.append(draw.integers(1, 40_000, 1000), 0)
+    for ids, ends in ((np.tile(passage, 500), np.arange(1, 501) * 1001), (np.tile(passage, 500), np.array([500_500])), (np.ones(100_000), np.array([100_000]))):
+        made = grammar.compress(ids.astype(np.uint32), ends)
+        assert len(made.symbols) + 2 * len(made.rules) < 0.01 * len(ids)
+        assert (grammar.expand(made.symbols, made.first_rule, made.rules, made.lengths) == ids).all()
+        assert (grammar.text_ids(made, len(ends) - 1, 100, 300) == ids[ends[-1] - np.diff(ends, prepend=0)[-1] :][100:300]).all()
+
+
+def test_rows_of_one_id_are_dealt_over_shards(spark, library, tmp_path):
+    path = f"file://{tmp_path}/files"
+    texts = [f"text {k % 97} of nobody" for k in range(600)] + ["copy"] * 400
+    write_token_files(spark.createDataFrame([(None, t) for t in texts], SCHEMA), FILE, path, shards=6)
+    sizes = [r.n for r in spark.read.parquet(path).selectExpr("shard", "size(doc_ids) n").collect()]
+    assert max(sizes) < 400 and sum(sizes) == 1000
+    got = read_token_files(spark, path).collect()
+    assert sum(r.n_tokens for r in got) == sum(len(library.encode(t).ids) + 1 for t in texts)
+
+
 def expected_rows(library, rows):
     at, out = 0, []
     for doc_id, text in sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1] is not None, r[1] or "")):
