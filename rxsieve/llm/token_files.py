@@ -26,7 +26,8 @@ from rxsieve.llm.pretokens import CHUNK_BYTES, classes, shared_encoder
 from rxsieve.llm.store import new_path, stored
 
 END = 0
-PREFIX = 256
+#: Short, for the bounds of the shards pass the driver.
+PREFIX = 16
 SCHEMA = "shard int, block int, first long, n_ids long, doc_ids array<long>, ids_before array<long>, symbol_ends array<int>, first_rule int, rules binary, lengths binary, symbols binary"
 
 
