@@ -41,17 +41,13 @@ NO_ID = -(1 << 63)
 REPEAT, PIECE = 0, 1
 
 
-def _place(start, tie, before, length):
-    """A piece's place as one number, in order of its start: 31 bits of start, 18 that tell texts with the same id apart, the anchor's distance, the length."""
-    return start << 32 | tie << 14 | before << 7 | length - WINDOW
+def _place(start, before, length):
+    """A piece's place as one number, in order of its start, with the anchor's distance and the length."""
+    return start << 14 | before << 7 | length - WINDOW
 
 
 def _start(place):
-    return place >> 32
-
-
-def _tie(place):
-    return place >> 14 & 0x3FFFF
+    return place >> 14
 
 
 def _before(place):
@@ -62,10 +58,6 @@ def _length(place):
     return (place & 0x7F) + WINDOW
 
 
-def _ties(sums: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    return (w.slice_hashes(sums, offsets[:-1], offsets[1:]) >> np.uint64(46)).astype(np.int64)
-
-
 def _anchors(sums: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
     """Hash of the gram at each byte, and the place of each window's anchor."""
     at = np.arange(n - GRAM + 1)
@@ -81,7 +73,7 @@ def _anchors(sums: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _pieces(batches):
-    """``key`` (hash of the anchor), ``digest``, ``id``, ``place``, ``known``: a repeat already, with a key that only scatters it."""
+    """``key`` (hash of the anchor), ``digest``, ``id``, ``tie``, ``place``, ``known``: a repeat already, with a key that only scatters it."""
     for batch, data, offsets in w.chunks(batches, limit=CHUNK_BYTES):
         n = len(data)
         if n < WINDOW:
@@ -104,41 +96,43 @@ def _pieces(batches):
         if not len(starts):
             continue
         text = np.searchsorted(offsets, starts, "right") - 1
-        ids = batch.column("id").to_numpy()[text]
-        place = _place(starts - offsets[text], _ties(sums, offsets)[text], anchor[starts] - starts, ends - starts)
+        ids, tie = batch.column("id").to_numpy()[text], batch.column("tie").to_numpy()[text]
+        place = _place(starts - offsets[text], anchor[starts] - starts, ends - starts)
         key, digest = grams[anchor[starts]], w.slice_hashes(sums, starts, ends)
-        order = np.lexsort((place, ids, digest, key))
-        key, digest, ids, place = key[order], digest[order], ids[order], place[order]
+        order = np.lexsort((tie, place, ids, digest, key))
+        key, digest, ids, tie, place = key[order], digest[order], ids[order], tie[order], place[order]
         new = np.ones(len(order), bool)
         new[1:] = (key[1:] != key[:-1]) | (digest[1:] != digest[:-1])
         earliest = np.flatnonzero(new)[np.cumsum(new) - 1]
-        known = (ids != ids[earliest]) | (place != place[earliest])
+        known = (ids != ids[earliest]) | (tie != tie[earliest]) | (place != place[earliest])
         own = new | known  # without what a row that occurs again repeats of itself
-        key, digest, ids, place, known = key[own], digest[own], ids[own], place[own], known[own]
-        key = np.where(known, w.mixed(place.astype(np.uint64) + w.mixed(ids.astype(np.uint64))), key)
-        yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(digest.view(np.int64)), pa.array(ids), pa.array(place), pa.array(known)], ["key", "digest", "id", "place", "known"])
+        key, digest, ids, tie, place, known = key[own], digest[own], ids[own], tie[own], place[own], known[own]
+        key = np.where(known, w.mixed(place.astype(np.uint64) + w.mixed(ids.astype(np.uint64) ^ tie.astype(np.uint64))), key)
+        yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(digest.view(np.int64)), pa.array(ids), pa.array(tie), pa.array(place), pa.array(known)], ["key", "digest", "id", "tie", "place", "known"])
 
 
 def _sorted_out(batches):
     """From the pieces in order of key, digest and place: repeats of equal pieces, and the different pieces of keys that have several.
 
-    A key may go on for many batches; all that is kept of it is the last digest with its first id and place, its first piece and their number.
-    A piece with that id and place is the same piece, of a row that occurs again.
+    A key may go on for many batches; all that is kept of it is the last digest with its first id, text and place, its first piece and their number.
+    A piece with that id, text and place is the same piece, of a row that occurs again.
     """
-    last_key, last_digest, last_id, last_place, count, held = None, None, 0, 0, 0, None
+    last_key, last_digest, first, count, held = None, None, (0, 0, 0), 0, None
+    names = ("id", "tie", "place")
     for batch in batches:
-        key, digest, ids, place = (batch.column(c).to_numpy() for c in ("key", "digest", "id", "place"))
+        key, digest = (batch.column(c).to_numpy() for c in ("key", "digest"))
+        piece_of = [batch.column(c).to_numpy() for c in names]
         known = batch.column("known").to_numpy(zero_copy_only=False)
-        out = [(REPEAT, ids[known], place[known], key[known], np.zeros(known.sum(), np.int64))]
-        key, digest, ids, place = key[~known], digest[~known], ids[~known], place[~known]
+        out = [(REPEAT, *(c[known] for c in piece_of), key[known], np.zeros(known.sum(), np.int64))]
+        key, digest, piece_of = key[~known], digest[~known], [c[~known] for c in piece_of]
         if len(key):
             new_key = np.append(key[0] != last_key, key[1:] != key[:-1])
             new_piece = new_key | np.append(digest[0] != last_digest, digest[1:] != digest[:-1])
             at = np.flatnonzero(new_piece)
             piece = np.cumsum(new_piece)  # 0: the piece that the batch before ended with
-            first_id, first_place = np.append(last_id, ids[at])[piece], np.append(last_place, place[at])[piece]
-            again = (ids != first_id) | (place != first_place)
-            out.append((REPEAT, ids[again], place[again], key[again], np.zeros(again.sum(), np.int64)))
+            firsts = [np.append(f, c[at])[piece] for f, c in zip(first, piece_of, strict=True)]
+            again = np.any([c != f for c, f in zip(piece_of, firsts, strict=True)], 0)
+            out.append((REPEAT, *(c[again] for c in piece_of), key[again], np.zeros(again.sum(), np.int64)))
             own = np.cumsum(new_key)[at]  # 0: the key that the batch before ended with
             counts = np.bincount(own, minlength=int(new_key.sum()) + 1)
             earlier = np.zeros(len(counts), np.int64)
@@ -148,32 +142,33 @@ def _sorted_out(batches):
             if held and counts[0] and count == 1:
                 out.append((PIECE, *(np.array([x], np.int64) for x in held), np.zeros(1, np.int64)))
             told = at[several]
-            out.append((PIECE, ids[told], place[told], key[told], number[several] // BLOCK))
+            out.append((PIECE, *(c[told] for c in piece_of), key[told], number[several] // BLOCK))
             ends = len(counts) - 1
             count = int(counts[ends] + earlier[ends])
-            last_key, last_digest, last_id, last_place = key[-1], digest[-1], first_id[-1], first_place[-1]
+            last_key, last_digest, first = key[-1], digest[-1], tuple(f[-1] for f in firsts)
             if ends or counts[0]:
                 held = None
             if count == 1 and counts[ends] == 1:
-                held = (ids[at[-1]], place[at[-1]], key[at[-1]])
+                held = (*(c[at[-1]] for c in piece_of), key[at[-1]])
         kind = np.concatenate([np.full(len(o[1]), o[0], np.int32) for o in out])
-        columns = [np.concatenate([o[k] for o in out]) for k in (1, 2, 3, 4)]
-        yield pa.RecordBatch.from_arrays([pa.array(kind), *map(pa.array, columns)], ["kind", "id", "place", "key", "block"])
+        columns = [np.concatenate([o[k] for o in out]) for k in range(1, 6)]
+        yield pa.RecordBatch.from_arrays([pa.array(kind), *map(pa.array, columns)], ["kind", *names, "key", "block"])
 
 
 def _cut(batches):
-    """The texts of the pieces of each document."""
+    """The texts of the pieces of each document; a row that occurs again in the task has been cut already."""
+    done = set()
     for batch in batches:
         for row in range(len(batch)):
+            name = batch.column("id")[row].as_py(), batch.column("tie")[row].as_py()
+            if name in done:
+                continue
+            done.add(name)
             text = batch.column("text")[row].as_py().encode() if batch.column("text")[row].is_valid else b""
-            data = np.frombuffer(text, np.uint8)
-            tie = int(_ties(w.prefix_sums(w.BYTE_VALUES[data]), np.array([0, len(data)]))[0])
             wanted = batch.column("wanted")[row].values
             place, key, block = (wanted.field(c).to_numpy() for c in ("place", "key", "block"))
-            own = _tie(place) == tie
-            place, key, block = place[own], key[own], block[own]
             texts = [text[a : a + n] for a, n in zip(_start(place).tolist(), _length(place).tolist(), strict=True)]
-            yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(block), pa.array(np.full(len(place), batch.column("id")[row].as_py())), pa.array(place), pa.array(texts, pa.binary())], ["key", "block", "id", "place", "piece"])
+            yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(block), *(pa.array(np.full(len(place), x)) for x in name), pa.array(place), pa.array(texts, pa.binary())], ["key", "block", "id", "tie", "place", "piece"])
 
 
 def _common(one: bytes, two: bytes) -> int:
@@ -191,16 +186,16 @@ def _shared_lengths(sides: list[bytes]) -> list[int]:
     return out
 
 
-def _repeats(pieces: list[tuple[int, int, bytes]]) -> list[tuple[int, int]]:
-    """Of different pieces (id, place, text) around one anchor, the windows that an earlier one has: the piece's number and the window's distance before the anchor."""
-    before = [_before(p) for _, p, _ in pieces]
-    left = _shared_lengths([t[:b][::-1] for b, (_, _, t) in zip(before, pieces, strict=True)])
-    right = _shared_lengths([t[b:] for b, (_, _, t) in zip(before, pieces, strict=True)])
+def _repeats(pieces: list[tuple[int, int, int, bytes]]) -> list[tuple[int, int]]:
+    """Of different pieces (id, place, tie, text) around one anchor, the windows that an earlier one has: the piece's number and the window's distance before the anchor."""
+    before = [_before(p) for _, p, _, _ in pieces]
+    left = _shared_lengths([t[:b][::-1] for b, (*_, t) in zip(before, pieces, strict=True)])
+    right = _shared_lengths([t[b:] for b, (*_, t) in zip(before, pieces, strict=True)])
     # a window that begins d bytes before the anchor needs d shared bytes before it and 100 - d from it on
     earliest: dict[tuple[int, bytes], int] = {}
     found = []
-    rank = [(i, _start(p) + b, p) for b, (i, p, _) in zip(before, pieces, strict=True)]
-    for k, (_, _, text) in enumerate(pieces):
+    rank = [(i, _start(p) + b, tie) for b, (i, p, tie, _) in zip(before, pieces, strict=True)]
+    for k, (*_, text) in enumerate(pieces):
         most, least = left[k], max(before[k] - (len(text) - WINDOW), WINDOW - right[k], 0)
         if most < least:
             continue
@@ -240,7 +235,7 @@ def _indexed(batches):
 
     def rows():
         for batch in batches:
-            yield from zip(*(batch.column(c).to_pylist() for c in ("key", "block", "id", "place", "piece")), strict=True)
+            yield from zip(*(batch.column(c).to_pylist() for c in ("key", "block", "id", "place", "tie", "piece")), strict=True)
 
     def flushed():
         kinds = np.concatenate([np.full(len(spans), 0, np.int32), np.full(len(alone), 1, np.int32)])
@@ -254,17 +249,17 @@ def _indexed(batches):
         pieces = sorted({r[2:] for r in group})
         found = _repeats(pieces)
         for k, d in found:
-            number, place, _ = pieces[k]
+            number, place, tie, _ = pieces[k]
             start = _start(place) + _before(place) - d
-            spans.append((number, _tie(place), start, start + WINDOW))
+            spans.append((number, tie, start, start + WINDOW))
         if block or len(pieces) >= BLOCK:
             repeated = set(found)
-            for k, (number, place, text) in enumerate(pieces):
+            for k, (number, place, tie, text) in enumerate(pieces):
                 for at in range(len(text) - WINDOW + 1):
                     if (k, _before(place) - at) not in repeated:
                         digest = hashlib.blake2b(text[at : at + WINDOW], digest_size=16).digest()
                         one, two = (int.from_bytes(digest[h : h + 8], "little", signed=True) for h in (0, 8))
-                        alone.append((number, _tie(place), _start(place) + at, _start(place) + at + WINDOW, one, two))
+                        alone.append((number, tie, _start(place) + at, _start(place) + at + WINDOW, one, two))
         if len(spans) + len(alone) > 20_000:
             yield flushed()
     if spans or alone:
@@ -280,20 +275,23 @@ def _across_blocks(windows: DataFrame) -> DataFrame:
 
 
 def repeated_spans(texts: DataFrame) -> DataFrame:
-    """``id`` and ``windows`` (tie, start, end; unordered) of the documents ``id``, ``text`` that have repeated windows."""
-    pieces = texts.mapInArrow(_pieces, "key long, digest long, id long, place long, known boolean")
-    ordered = pieces.repartition("key").sortWithinPartitions("key", "digest", "id", "place")
-    sorted_out = stored(ordered.mapInArrow(_sorted_out, "kind int, id long, place long, key long, block long"), "pieces")
+    """``id``, ``tie`` and ``windows`` (start, end; unordered) of the documents that have repeated windows.
+
+    A document is an ``id`` and the hash ``tie`` of its ``text``; nothing is gathered beyond the pieces and windows of one text.
+    """
+    pieces = texts.mapInArrow(_pieces, "key long, digest long, id long, tie long, place long, known boolean")
+    ordered = pieces.repartition("key").sortWithinPartitions("key", "digest", "id", "place", "tie")
+    sorted_out = stored(ordered.mapInArrow(_sorted_out, "kind int, id long, tie long, place long, key long, block long"), "pieces")
 
-    wanted = sorted_out.where(F.col("kind") == PIECE).groupBy("id").agg(F.collect_list(F.struct("place", "key", "block")).alias("wanted"))
-    cut = texts.join(wanted, "id").mapInArrow(_cut, "key long, block long, id long, place long, piece binary")
+    wanted = sorted_out.where(F.col("kind") == PIECE).groupBy("id", "tie").agg(F.collect_list(F.struct("place", "key", "block")).alias("wanted"))
+    cut = texts.join(wanted, ["id", "tie"]).mapInArrow(_cut, "key long, block long, id long, tie long, place long, piece binary")
     grouped = cut.repartition("key", "block").sortWithinPartitions("key", "block")
     indexed = stored(grouped.mapInArrow(_indexed, "kind int, id long, tie long, start long, end long, one long, two long"), "windows")
 
-    start, tie, length = F.shiftright("place", 32), F.shiftright("place", 14).bitwiseAND(F.lit(0x3FFFF)), F.col("place").bitwiseAND(F.lit(0x7F)) + WINDOW
-    whole = sorted_out.where(F.col("kind") == REPEAT).select("id", tie.alias("tie"), start.alias("start"), (start + length).alias("end"))
+    start, length = F.shiftright("place", 14), F.col("place").bitwiseAND(F.lit(0x7F)) + WINDOW
+    whole = sorted_out.where(F.col("kind") == REPEAT).select("id", "tie", start.alias("start"), (start + length).alias("end"))
     every = whole.unionByName(indexed.where("kind = 0").select("id", "tie", "start", "end")).unionByName(_across_blocks(indexed.where("kind = 1")))
-    return every.groupBy("id").agg(F.collect_list(F.struct("tie", "start", "end")).alias("windows"))
+    return every.groupBy("id", "tie").agg(F.collect_list(F.struct("start", "end")).alias("windows"))
 
 
 def _kept(batches):
@@ -304,11 +302,9 @@ def _kept(batches):
             found = batch.column("windows")[row]
             hit = np.zeros(len(text) + 1, np.int64)
             if found.is_valid:
-                tie, start, end = (found.values.field(c).to_numpy() for c in ("tie", "start", "end"))
-                data = np.frombuffer(text, np.uint8)
-                own = tie == _ties(w.prefix_sums(w.BYTE_VALUES[data]), np.array([0, len(data)]))[0]
-                np.add.at(hit, start[own], 1)
-                np.add.at(hit, end[own], -1)
+                start, end = (found.values.field(c).to_numpy() for c in ("start", "end"))
+                np.add.at(hit, start, 1)
+                np.add.at(hit, end, -1)
             removed = np.concatenate([[0], np.cumsum(hit[:-1]) > 0, [0]]).astype(np.int8)
             edges = np.flatnonzero(np.diff(removed)).tolist()
             kept = [text[a:b] for a, b in zip([0, *edges[1::2]], [*edges[::2], len(text)], strict=True)]
@@ -325,9 +321,9 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
 
     Every byte covered by a window of 100 bytes that also starts earlier, in a document with a smaller doc_id or at a smaller
     start in the same, is removed; all windows are judged on the input. ``spans`` are the starts and ends, in turn, of the removed runs.
-    NULL is the empty text. Rows without doc_id count as the least id; different texts with one doc_id are compared by start; rows alike in
-    id and text are one document. No rows give no rows.
+    NULL is the empty text. Rows without doc_id count as the least id; different texts with one doc_id, told apart by 64 bits of hash, are compared
+    by start; rows alike in id and text are one document. No rows give no rows.
     """
-    texts = docs.select("doc_id", "text", F.coalesce("doc_id", F.lit(NO_ID)).alias("id"))
-    spans = repeated_spans(texts.select("id", "text"))
-    return texts.join(spans, "id", "left").select("doc_id", "text", "windows").mapInArrow(_kept, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, spans array<long>")
+    texts = docs.select("doc_id", "text", F.coalesce("doc_id", F.lit(NO_ID)).alias("id"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("tie"))
+    spans = repeated_spans(texts.select("id", "tie", "text"))
+    return texts.join(spans, ["id", "tie"], "left").select("doc_id", "text", "windows").mapInArrow(_kept, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, spans array<long>")

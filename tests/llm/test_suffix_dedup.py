@@ -1,6 +1,7 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -93,3 +94,19 @@ def test_empty_table_and_other_columns(spark):
     assert found(spark, []) == {}
     clash = "doc_id long, text string, id long, key long, place long, windows string"
     assert found(spark, [(1, "a", 1, 1, 1, "w")], clash)[1][:3] == (1, 0, 0)
+
+
+def test_rows_of_one_id_lose_nothing_that_is_not_repeated(spark):
+    """Thousands of texts without an id: those of random letters keep all their bytes, the others lose what starts earlier in another row."""
+    rng = random.Random(8)
+    letters = ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=300)) for _ in range(2000)]
+    passage = "".join(rng.choices("ABCDEFGH", k=150))
+    others = [str(k) * (k % 9 + 1) + "." + passage for k in range(2000)]
+    frame = spark.createDataFrame([(None, t) for t in letters + others] + [(None, letters[0])] * 50, SCHEMA).repartition(7)
+    got = remove_repeats(frame.withColumn("text", F.col("text"))).collect()
+    clean = [r for r in got if r.n_bytes == 300]
+    assert len(clean) == 2050 and {r.n_removed for r in clean} == {0}
+    first = min(t.index(".") for t in others)
+    kept = [r for r in got if r.n_bytes != 300 and not r.n_removed]
+    assert 1 <= len(kept) <= sum(t.index(".") == first for t in others)
+    assert all(r.n_removed >= 150 for r in got if r.n_bytes != 300 and r.n_removed)
