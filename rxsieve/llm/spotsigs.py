@@ -9,6 +9,8 @@ sorted set of the signatures after their number; the likeness of two is their Ja
 from __future__ import annotations
 
 import math
+from collections import Counter
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -17,8 +19,8 @@ from rxsieve.llm.store import stored
 
 CHAIN = 2
 SPARSE = 8
-#: Rows of neighbouring ids that are put in order together, on average.
-NEIGHBOURS = 256
+#: Rows of neighbouring ids that are put in order together, on average, and parts of the ids by quantiles.
+NEIGHBOURS, SEGMENTS = 256, 128
 FEW = 100_000
 #: Frequent function words of English, German, French and Spanish.
 COMMON = (
@@ -91,24 +93,52 @@ def _next_lower(keys: DataFrame) -> DataFrame:
     return within.join(below, "parent").select("key", F.coalesce("lag", "end").alias("lower"))
 
 
-def with_next(rows: DataFrame, columns: list[str]) -> DataFrame:
+def _segments(rows: DataFrame) -> tuple[list[int], list[int], int, int]:
+    """Ids that cut all rows into about ``SEGMENTS`` equal parts, how many parts each stands for, ranges in a part, and ranges of the rows without id."""
+    steps = [k / SEGMENTS for k in range(1, SEGMENTS)]
+    n, known, low, found = rows.agg(F.count("*"), F.count("doc_id"), F.min("doc_id"), F.percentile_approx("doc_id", steps, 100 * SEGMENTS)).first()
+    cuts = Counter([low or 0, *(found or [])])
+    return sorted(cuts), [cuts[c] for c in sorted(cuts)], max(1, math.ceil(known / SEGMENTS / NEIGHBOURS)), max(1, math.ceil((n - known) / NEIGHBOURS))
+
+
+def _range(rows: DataFrame, tie: Column) -> Column:
+    """The range of a row, rising with its doc_id, rows without one first, and with ``tie`` where one id has many rows."""
+    cuts, weights, per, unknown = _segments(rows)
+
+    def spread(count: Column) -> Column:
+        return F.least(F.floor((tie.cast("double") / 2.0**64 + 0.5) * count), count - 1)
+
+    number = F.size(F.filter(F.array(*map(F.lit, cuts)), lambda cut: cut <= F.col("doc_id")))
+    at = lambda values, k: F.get(F.array(*map(F.lit, values)), k)
+    low, high, many = at([float(c) for c in cuts], number - 1), at([float(c) for c in [*cuts[1:], cuts[-1]]], number - 1), at(weights, number - 1) * per
+    # an id that is a cut several times has several parts by itself
+    heavy = (F.col("doc_id") == at(cuts, number - 1)) & (many > per)
+    part = F.when(high > low, (F.col("doc_id").cast("double") - low) / (high - low)).otherwise(0.0)
+    inside = F.when(heavy, spread(many)).otherwise(many + F.least(F.floor(part * per), F.lit(per - 1)))
+    return F.when(F.col("doc_id").isNull(), spread(F.lit(unknown))).otherwise(number.cast("long") * F.lit(1 << 40) + inside).cast("long")
+
+
+def with_next(rows: DataFrame, columns: list[str], prepare: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """``rows`` (doc_id, text and others) with ``next``, the ``columns`` of the next row in descending order of doc_id.
 
-    After the last row comes the first. Rows without doc_id are last; rows that repeat a doc_id follow each other by text. The ids are cut
-    into ranges of about ``NEIGHBOURS`` rows, each ordered by itself, and a copy of each range's first row stands behind the range above it.
+    After the last row comes the first. Rows without doc_id are last; rows that repeat a doc_id follow each other by a hash of their text. The rows are cut
+    into ranges of about ``NEIGHBOURS``, by quantiles of the ids and evenly between these, each ordered by itself, and a copy of each range's first row stands behind the
+    range above it. ``prepare`` adds columns once it is known which rows are copied.
     """
-    n, low, high = rows.agg(F.count("*"), F.min("doc_id"), F.max("doc_id")).first()
-    low, high = (low or 0) - 1, high or 0
-    width = max(1, (high - low + 1) * NEIGHBOURS // max(1, n))
-    placed = rows.withColumn("_place", F.coalesce("doc_id", F.lit(low)))
-    placed = placed.withColumn("_range", F.floor((F.col("_place") - low) / width))
-    heads = stored(placed.groupBy("_range").agg(F.max("_place").alias("head")), "heads")
+    placed = rows.withColumn("_tie", F.xxhash64("text"))
+    placed = placed.withColumn("_range", _range(rows, F.col("_tie")))
+    place = F.struct(F.col("doc_id").isNotNull().alias("named"), F.coalesce("doc_id", F.lit(0)).alias("id"), F.col("_tie").alias("tie"))
+    heads = stored(placed.groupBy("_range").agg(F.max(place).alias("head")), "heads")
     lower = _next_lower(heads.select(F.col("_range").alias("key")))
-    behind = stored(lower.join(heads.withColumnsRenamed({"_range": "lower", "head": "_place"}), "lower").select("_place", F.col("key").alias("_above")), "behind")
-    copies = placed.join(behind, "_place").withColumn("_range", F.col("_above")).drop("_above").withColumn("_copy", F.lit(1))
-    order = Window.partitionBy("_range").orderBy("_copy", F.col("_place").desc(), "text")
+    behind = lower.join(heads.withColumnRenamed("_range", "lower"), "lower").select(F.col("key").alias("_above"), F.col("lower").alias("_range"), "head")
+    behind = stored(behind, "behind")
+    copies = placed.join(behind, "_range").where(place == F.col("head")).drop("head").withColumn("_range", F.col("_above")).drop("_above")
+    # of rows alike at the head of a range one is enough
+    copies = copies.dropDuplicates(["_range"]).withColumn("_copy", F.lit(1))
+    order = Window.partitionBy("_range").orderBy("_copy", F.col("doc_id").desc_nulls_last(), F.col("_tie").desc())
     both = placed.withColumn("_copy", F.lit(0)).unionByName(copies)
-    return both.withColumn("next", F.lead(F.struct(*columns)).over(order)).where("_copy = 0").drop("_copy", "_place", "_range")
+    both = prepare(both) if prepare else both
+    return both.withColumn("next", F.lead(F.struct(*columns)).over(order)).where("_copy = 0").drop("_copy", "_tie", "_range")
 
 
 def spot_fingerprints(docs: DataFrame) -> DataFrame:
@@ -116,10 +146,10 @@ def spot_fingerprints(docs: DataFrame) -> DataFrame:
 
     The edited text has the last third of the code points replaced by the first as many of the next document's, or all of them.
     Columns: ``doc_id``, ``n_chars``, ``edited_sha256``, ``fingerprint``, ``edited_fingerprint``, ``near_edited``, ``near_next``. NULL is
-    the empty text.
+    the empty text. Any long is an id; ids need not be evenly spread. Rows without doc_id come last and, like those that repeat one, in an order by hash.
     """
     texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    beside = with_next(with_signatures(texts, "text", "own"), ["text", "own"])
+    beside = with_next(texts, ["text", "own"], lambda rows: with_signatures(rows, "text", "own"))
     third = F.floor(F.length("text") / 3).cast("int")
     kept = F.substring("text", F.lit(1), F.length("text") - third)
     edited = beside.withColumn("edited", F.concat(kept, F.substring("next.text", F.lit(1), third)))

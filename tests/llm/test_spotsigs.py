@@ -1,6 +1,8 @@
 import hashlib
 import random
+import re
 
+import pytest
 from pyspark.sql import functions as F
 
 from rxsieve.llm import spotsigs
@@ -73,3 +75,57 @@ def test_likeness_of_a_short_text_within_a_long_one(spark):
     long = short + " " + " ".join(f"of {rng.random()} {rng.random()}" for _ in range(300))
     got = {r.doc_id: r for r in spot_fingerprints(spark.createDataFrame([(2, short), (1, long)], SCHEMA)).collect()}
     assert 0 < got[2].near_next < 0.05 and got[1].near_next == got[2].near_next
+
+
+WORD = re.compile(r"[^\W_]+")
+
+
+def brute_signatures(text):
+    """Chains as tuples: a spot and the next two content words; words of one hash class are spots too."""
+    words = [x for x in re.split(r"[^\w]|_", text.lower()) if x]
+    common = set(spotsigs.COMMON)
+    found = set()
+    for k, word in enumerate(words):
+        after = [x for x in words[k + 1 :] if x not in common][:2]
+        if word in common:
+            found.add((word, *after))
+        else:
+            found.add(("?", word, *after))
+    return found
+
+
+def test_signatures_and_likeness_equal_brute_force(spark):
+    """Chains made in plain Python and hashed by Spark; likeness of sets in plain Python."""
+    rng = random.Random(5)
+    texts = [prose(rng, rng.randrange(3, 80)) + rng.choice(["", " Der Hund, und die Katze!", " über_uns: 12 x-y", "\tla casa\nde"]) for _ in range(40)]
+    frame = spark.createDataFrame(list(enumerate(texts)), SCHEMA)
+    chains = [(w, (*c, None, None, None)[: 3]) for w in sorted({c for t in texts for c in brute_signatures(t)}) for c in [w[1:] if w[0] == "?" else w]]
+    hashed = spark.createDataFrame([(i, *c) for i, (_, c) in enumerate(chains)], "i int, a string, b string, c string").select("i", F.hash("a", "b", "c").alias("h"), (F.pmod(F.hash("a"), F.lit(spotsigs.SPARSE)) == 0).alias("sparse")).collect()
+    value = {chains[r.i][0]: r.h for r in hashed if chains[r.i][0][0] != "?" or r.sparse}
+    sets = [{value[c] for c in brute_signatures(t) if c in value} for t in texts]
+    assert all(sets)
+    assert [set(r.own) for r in with_signatures(frame, "text", "own").orderBy("doc_id").collect()] == sets
+    for r in spot_fingerprints(frame).collect():
+        own, after = sets[r.doc_id], sets[r.doc_id - 1]
+        assert r.fingerprint == f"{len(own)}:" + "".join(f"{h & 0xFFFFFFFF:08x}" for h in sorted(own))
+        assert abs(r.near_next - len(own & after) / len(own | after)) < 1e-12
+
+
+@pytest.mark.parametrize("ids", [[-(1 << 62), 3, 7, 1 << 62], [-(1 << 63), (1 << 63) - 1], [*range(1, 3000), 10**15], [*range(500), *(1 << k for k in range(10, 62))]])
+def test_any_ids_and_one_far_away(spark, monkeypatch, ids):
+    monkeypatch.setattr(spotsigs, "NEIGHBOURS", 16)
+    rows = with_next(spark.createDataFrame([(i, str(i)) for i in ids], SCHEMA), ["text"]).collect()
+    order = sorted(ids, reverse=True)
+    assert {r.doc_id: r.next.text for r in rows} == dict(zip(order, map(str, order[1:] + order[:1]), strict=True))
+
+
+def test_ranges_are_even_whatever_the_ids(spark, monkeypatch):
+    """No range holds much more than its share: one far id, half of the rows with one id, a third without an id."""
+    monkeypatch.setattr(spotsigs, "NEIGHBOURS", 20)
+    ids = [*range(1, 4000), 10**15, *[77] * 4000, *[None] * 4000]
+    frame = spark.createDataFrame([(i, f"text {k}") for k, i in enumerate(ids)], SCHEMA)
+    ranged = frame.withColumn("r", spotsigs._range(frame, F.xxhash64("text")))
+    sizes = [r["count"] for r in ranged.groupBy("r").count().collect()]
+    assert sum(sizes) == len(ids) and max(sizes) < 200 and len(sizes) > 200
+    rows = with_next(frame, ["text"]).collect()
+    assert sorted(r.next.text for r in rows) == sorted(f"text {k}" for k in range(len(ids)))
