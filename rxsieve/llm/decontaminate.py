@@ -28,34 +28,60 @@ WINDOW = 10
 SHARD_BYTES = 8 << 20
 #: Text of the benchmark that is sent to the tasks at once.
 BLOCK_BYTES = 16 << 20
+#: Windows that are searched at once.
+PATTERNS = 1 << 17
 FILTER_BITS = 20
 
 
 class Windows(NamedTuple):
-    """Distinct windows of a block of items as word numbers, by length, and the items that have them."""
+    """Distinct windows of a block of items, and the items that have them, all as arrays."""
 
     vocabulary: np.ndarray  # sorted hashes; a word's number is its place, from 1
-    patterns: dict[int, np.ndarray]
-    items: dict[int, list[list[str]]]
-
-
-def windows(items: list[tuple[str, str]]) -> Windows:
-    hashes = []
-    for _, text in items:
-        data = np.frombuffer(text.encode(), np.uint8)
-        hashes.append(w.word_hashes(data, np.array([0, len(data)]), w.ALPHANUMERIC)[0])
-    vocabulary = np.unique(np.concatenate([*hashes, np.zeros(0, np.uint64)]))
-    found: dict[tuple[int, ...], set[str]] = {}
-    for (item, _), own in zip(items, hashes, strict=True):
-        numbers = np.searchsorted(vocabulary, own) + 1
-        width = min(WINDOW, len(numbers))
-        for k in range(len(numbers) - width + 1 if width else 0):
-            found.setdefault(tuple(numbers[k : k + width].tolist()), set()).add(item)
-    patterns, owners = {}, {}
-    for width in sorted({len(p) for p in found}):
-        same = sorted(p for p in found if len(p) == width)
-        patterns[width], owners[width] = np.array(same), [sorted(found[p]) for p in same]
-    return Windows(vocabulary, patterns, owners)
+    words: np.ndarray  # the items' words as numbers, one item after the other
+    starts: dict[int, np.ndarray]  # by length of the windows: where each begins in words
+    owners: dict[int, tuple[np.ndarray, np.ndarray]]  # and the numbers of the items that have it, with where they begin
+    names: pa.Array  # of the items' numbers, sorted
+
+    def patterns(self, width: int, first: int) -> np.ndarray:
+        """The words of ``PATTERNS`` windows from the ``first`` on."""
+        return self.words[self.starts[width][first : first + PATTERNS, None] + np.arange(width)]
+
+    def items(self, width: int, windows: np.ndarray) -> np.ndarray:
+        """Numbers of the items that have any of the windows."""
+        numbers, begin = self.owners[width]
+        first, count = begin[windows], begin[windows + 1] - begin[windows]
+        return np.unique(numbers[np.repeat(first - np.cumsum(count) + count, count) + np.arange(count.sum())])
+
+
+def windows(items: pa.Table) -> Windows:
+    """``items``: ``item_id``, which may be NULL, and ``words``, hashes. An item without an id has windows without a name."""
+    words = items.column("words").combine_chunks()
+    sizes = words.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+    hashes, ends = words.flatten().to_numpy().view(np.uint64), np.cumsum(sizes)
+    names, number = np.unique(items.column("item_id").to_numpy().astype(object)[items.column("item_id").is_valid().to_numpy()].astype(str), return_inverse=True)
+    name = np.full(len(sizes), -1, np.int32)
+    name[items.column("item_id").is_valid().to_numpy()] = number
+    vocabulary = np.unique(hashes)
+    numbers = (np.searchsorted(vocabulary, hashes) + 1).astype(np.int32)
+    sums = w.prefix_sums(hashes)
+    starts, owners = {}, {}
+    for width in np.unique(np.minimum(sizes[sizes > 0], WINDOW)).tolist():
+        of_width = np.flatnonzero(np.minimum(sizes, WINDOW) == width)
+        count = sizes[of_width] - width + 1
+        at = np.repeat((ends - sizes)[of_width] - np.cumsum(count) + count, count) + np.arange(count.sum())
+        _, first, window = np.unique(w.slice_hashes(sums, at, at + width), return_index=True, return_inverse=True)
+        starts[width] = at[first].astype(np.int32)
+        owner = np.repeat(name[of_width], count)
+        named = np.unique(window[owner >= 0] * len(names) + owner[owner >= 0]) if len(names) else np.zeros(0, np.int64)
+        begin = np.searchsorted(named, np.arange(len(first) + 1) * max(1, len(names)))
+        owners[width] = (named % max(1, len(names))).astype(np.int32), begin.astype(np.int32)
+    return Windows(vocabulary, numbers, starts, owners, pa.array(names.tolist(), pa.string()))
+
+
+def _words(batches):
+    for batch, data, offsets in w.chunks(batches):
+        hashes, before = w.word_hashes(data, offsets, w.ALPHANUMERIC)
+        yield pa.RecordBatch.from_arrays([batch.column("item_id"), pa.ListArray.from_arrays(pa.array(before, pa.int32()), pa.array(hashes.view(np.int64)))], ["item_id", "words"])
 
 
 def _sequence(hashes: np.ndarray, before: np.ndarray, block: Windows, seen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -71,7 +97,7 @@ def _sequence(hashes: np.ndarray, before: np.ndarray, block: Windows, seen: np.n
     starts[text_starts] |= known[text_starts]
     run = np.cumsum(starts) - 1
     length = np.bincount(run[known], minlength=int(starts.sum()))
-    kept = known & (length[np.maximum(run, 0)] >= min(block.patterns)) if len(length) else known
+    kept = known & (length[np.maximum(run, 0)] >= min(block.starts)) if len(length) else known
     at = np.flatnonzero(kept)
     # a separator after the last word of each run
     ends = np.append(run[at][1:] != run[at][:-1], True) if len(at) else np.zeros(0, bool)
@@ -81,24 +107,27 @@ def _sequence(hashes: np.ndarray, before: np.ndarray, block: Windows, seen: np.n
     return symbols, word
 
 
-def _search(hashes: np.ndarray, before: np.ndarray, block: Windows, seen: np.ndarray) -> tuple[np.ndarray, list[set[str]]]:
-    """For the words of a shard, how many windows cover each; for its texts, the items that occur."""
+def _search(hashes: np.ndarray, before: np.ndarray, block: Windows, seen: np.ndarray) -> tuple[np.ndarray, dict[int, set[int]]]:
+    """For the words of a shard, how many windows cover each; for its texts that have any, the numbers of the items that occur."""
     covered = np.zeros(len(hashes) + 1, np.int64)
-    items: list[set[str]] = [set() for _ in before[1:]]
+    items: dict[int, set[int]] = {}
     symbols, word = _sequence(hashes, before, block, seen)
     if len(symbols):
         index = FMIndex(symbols)
-        for width, patterns in block.patterns.items():
-            first, end = index.search(patterns)
-            count = end - first
-            pattern = np.repeat(np.arange(len(patterns)), count)
-            rows = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count) + np.repeat(first, count)
-            start = word[index.locate(rows)]
-            np.add.at(covered, start, 1)
-            np.add.at(covered, start + width, -1)
-            text = np.searchsorted(before, start, "right") - 1
-            for key in np.unique(text * len(patterns) + pattern).tolist():
-                items[key // len(patterns)].update(block.items[width][key % len(patterns)])
+        for width, starts in block.starts.items():
+            for some in range(0, len(starts), PATTERNS):
+                first, end = index.search(block.patterns(width, some))
+                count = end - first
+                pattern = np.repeat(np.arange(len(count)), count)
+                rows = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count) + np.repeat(first, count)
+                start = word[index.locate(rows)]
+                np.add.at(covered, start, 1)
+                np.add.at(covered, start + width, -1)
+                text = np.searchsorted(before, start, "right") - 1
+                found = np.unique(text * PATTERNS + pattern)
+                texts, begin = np.unique(found // PATTERNS, return_index=True)
+                for k, own in zip(texts.tolist(), np.split(found % PATTERNS + some, begin[1:]), strict=False):
+                    items.setdefault(k, set()).update(block.items(width, own).tolist())
     return np.cumsum(covered[:-1]), items
 
 
@@ -107,7 +136,7 @@ def _spans(hit: np.ndarray) -> list[int]:
     return np.flatnonzero(np.diff(np.concatenate([[0], hit, [0]]))).tolist()
 
 
-def _pass(rows: DataFrame, items: list[tuple[str, str]]) -> DataFrame:
+def _pass(rows: DataFrame, items: pa.Table) -> DataFrame:
     """``rows`` (row, text, n_words, spans, items) with what one block of the benchmark adds."""
     shared = rows.sparkSession.sparkContext.broadcast(tuple(windows(items)))
 
@@ -120,10 +149,10 @@ def _pass(rows: DataFrame, items: list[tuple[str, str]]) -> DataFrame:
             parts = [w.word_hashes(d, o, w.ALPHANUMERIC) for _, d, o in w.chunks([batch])]
             hashes = np.concatenate([h for h, _ in parts])
             before = np.concatenate([[0], np.cumsum(np.concatenate([np.diff(b) for _, b in parts]))])
-            covered, found = _search(hashes, before, block, seen) if block.patterns else (np.zeros(len(hashes), np.int64), [set() for _ in before[1:]])
+            covered, found = _search(hashes, before, block, seen) if block.starts else (np.zeros(len(hashes), np.int64), {})
             spans, names = [], []
             for k, (old, known) in enumerate(zip(batch.column("spans").to_pylist(), batch.column("items").to_pylist(), strict=True)):
-                if not found[k]:
+                if k not in found:
                     spans.append(old)
                     names.append(known)
                     continue
@@ -131,7 +160,7 @@ def _pass(rows: DataFrame, items: list[tuple[str, str]]) -> DataFrame:
                 for a, b in zip(old[::2], old[1::2], strict=True):
                     hit[a:b] = True
                 spans.append(_spans(hit.astype(np.int8)))
-                names.append(sorted(found[k].union(known)))
+                names.append(sorted({*block.names.take(pa.array(sorted(found[k]), pa.int32())).to_pylist(), *known}))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("row"), batch.column("text"), pa.array(np.diff(before)), pa.array(spans, pa.list_(pa.int32())), pa.array(names, pa.list_(pa.string()))],
                 ["row", "text", "n_words", "spans", "items"],
@@ -146,16 +175,19 @@ def find_passages(docs: DataFrame, benchmark: DataFrame, block_bytes: int = BLOC
     ``spans`` are the starts and ends, in turn, of the runs of words inside an occurrence of a window of ten
     consecutive words of an item, or of a whole shorter item; ``items`` are the ids, as strings and sorted, of the items
     that have such an occurrence. Words are runs of ASCII letters, digits and non-ASCII characters, A-Z lower-cased.
-    NULL texts have no words; items without id or words have no windows; texts of a repeated id all count for it.
+    NULL texts have no words; items without words have no windows; an item without id hits words and has no name; texts of a repeated id all count for it.
     An empty benchmark finds nothing.
     """
-    items = benchmark.select(F.col("item_id").cast("string").alias("item_id"), "text").where("item_id is not null and text is not null")
+    items = benchmark.select(F.col("item_id").cast("string").alias("item_id"), "text").where("text is not null").distinct()
     total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = max(1, math.ceil(total / block_bytes))
     rows = docs.select(F.struct("*").alias("row"), "text", F.lit(0).cast("long").alias("n_words"), F.array().cast("array<int>").alias("spans"), F.array().cast("array<string>").alias("items"))
+    if blocks > 1:
+        items = stored(items.withColumn("block", F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks))), "items")
     for k in range(blocks):
-        block = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == k).collect()
-        rows = _pass(rows if k == 0 else stored(rows, "passages"), [tuple(r) for r in block])
+        block = items.where(F.col("block") == k) if blocks > 1 else items
+        found = block.select("item_id", "text").mapInArrow(_words, "item_id string, words array<long>").toArrow()
+        rows = _pass(rows if k == 0 else stored(rows, "passages"), found)
     return rows.drop("text")
 
 

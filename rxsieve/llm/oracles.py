@@ -38,7 +38,7 @@ def passages() -> str:
     words = "regexp_extract_all(translate(text, '{}', '{}'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')".format(UPPER, LOWER)
     return f"""
 with texts as (select doc_id, coalesce({words}, []) as words from documents),
-items as (select cast(item_id as varchar) as item_id, {words} as words from benchmark where item_id is not null),
+items as (select cast(item_id as varchar) as item_id, {words} as words from benchmark),
 windows as (
   select distinct item_id, least(len(words), 10) as width, unnest([array_to_string(words[i:i + 9], ' ') for i in range(1, greatest(len(words) - 9, 1) + 1)]) as passage
   from items where len(words) > 0

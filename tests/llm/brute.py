@@ -43,7 +43,7 @@ def passages(texts, items):
         words = ALPHANUMERIC.findall((text or "").translate(LOWER))
         width = min(10, len(words))
         for k in range(len(words) - width + 1 if width else 0):
-            windows[tuple(words[k : k + width])].add(str(item))
+            windows[tuple(words[k : k + width])].update([] if item is None else [str(item)])
     widths = {len(x) for x in windows}
     out = []
     for text in texts:
@@ -52,7 +52,7 @@ def passages(texts, items):
         for width in widths:
             for k in range(len(words) - width + 1):
                 owners = windows.get(tuple(words[k : k + width]))
-                if owners:
+                if owners is not None:
                     hit.update(range(k, k + width))
                     found |= owners
         out.append((len(words), hit, found))

@@ -1,13 +1,15 @@
 import hashlib
 import random
+import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from rxsieve.llm import fm_index
-from rxsieve.llm.decontaminate import decontaminate, find_passages, without_passages
+from rxsieve.llm.decontaminate import decontaminate, find_passages, windows, without_passages
 from tests.llm import brute
 
 
@@ -46,7 +48,7 @@ def test_equals_search_at_every_place(spark, seed, block):
     texts, items = inputs(seed)
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     benchmark = spark.createDataFrame(items, "item_id long, text string")
-    expected = brute.passages(texts, [x for x in items if x[0] is not None])
+    expected = brute.passages(texts, items)
     for r in find_passages(docs, benchmark, block).collect():
         n, hit, found = expected[r.row.doc_id]
         spans = {w for a, b in zip(r.spans[::2], r.spans[1::2], strict=True) for w in range(a, b)}
@@ -56,7 +58,7 @@ def test_equals_search_at_every_place(spark, seed, block):
 def test_contract_columns(spark):
     texts, items = inputs(3)
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    expected = brute.passages(texts, [x for x in items if x[0] is not None])
+    expected = brute.passages(texts, items)
     for r in decontaminate(docs, spark.createDataFrame(items, "item_id long, text string")).collect():
         n, hit, found = expected[r.doc_id]
         digest = hashlib.sha256(",".join(sorted(found)).encode()).hexdigest()
@@ -80,3 +82,40 @@ def test_one_passage_in_many_documents_and_a_long_text(spark):
     benchmark = spark.createDataFrame([(1, passage)], "item_id long, text string")
     got = {r.doc_id: r.n_hit for r in decontaminate(spark.createDataFrame(rows, "doc_id long, text string"), benchmark).collect()}
     assert got == {**dict.fromkeys(range(200), 30), 900: 90_000}
+
+
+def test_items_without_an_id_hit_words(spark):
+    passage = " ".join(f"p{i}" for i in range(12))
+    docs = spark.createDataFrame([(1, f"x {passage} y"), (2, "x y"), (3, None)], "doc_id long, text string")
+    benchmark = spark.createDataFrame([(None, passage), (None, passage), (None, None)], "item_id long, text string")
+    got = {r.doc_id: (r.n_hit, r.n_items, r.items_sha256, r.contaminated) for r in decontaminate(docs, benchmark).collect()}
+    nothing = hashlib.sha256(b"").hexdigest()
+    assert got == {1: (12, 0, nothing, True), 2: (0, 0, nothing, False), 3: (0, 0, nothing, False)}
+    assert [r.doc_id for r in without_passages(docs, benchmark).orderBy("doc_id").collect()] == [2, 3]
+
+
+def test_repeated_items_are_one(spark):
+    """A benchmark that is one row many times is as large as the row, so it takes one pass."""
+    passage = " ".join(f"p{i}" for i in range(60))
+    docs = spark.createDataFrame([(k, f"{k} {passage}") for k in range(20)], "doc_id long, text string")
+    benchmark = spark.createDataFrame([("a", passage)] * 500 + [("b", passage + " more")], "item_id string, text string")
+    found = find_passages(docs, benchmark, 1000)
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow") == 1
+    assert {tuple(r["items"]) for r in found.collect()} == {("a", "b")}
+
+
+def test_windows_of_a_large_benchmark_stay_small():
+    """16 MB of words, by tracemalloc; a peak of tuples and sets was over 2 GB."""
+    draw = np.random.default_rng(0)
+    items, words = 3000, 900
+    lists = pa.ListArray.from_arrays(pa.array(np.arange(items + 1) * words, pa.int32()), pa.array(draw.integers(-(1 << 62), 1 << 62, 40_000)[draw.integers(0, 40_000, items * words)]))
+    table = pa.table({"item_id": pa.array([f"i{k // 2}" for k in range(items)]), "words": lists})
+    tracemalloc.start()
+    try:
+        block = windows(table)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < 300 << 20
+    assert len(block.starts[10]) == items * (words - 9) and sum(x.nbytes for x in (block.vocabulary, block.words, block.starts[10], *block.owners[10])) < 64 << 20
+    assert block.items(10, np.flatnonzero(block.starts[10] < 2 * words)).tolist() == [0]
