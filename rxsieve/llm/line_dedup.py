@@ -9,9 +9,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: A line on a larger share of its host's pages is boilerplate, if it stands on this many pages.
+#: A line on a larger share of its host's pages is boilerplate. It must stand on more than one page: on a host of less than five each line's share is above the ratio.
 RATIO = 0.2
-LEAST_PAGES = 3
+LEAST_PAGES = 2
 
 HOST = r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)"
 HIDDEN = r"(?is)<script\b.*?</script\s*>|<style\b.*?</style\s*>|<!--.*?-->"

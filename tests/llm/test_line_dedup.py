@@ -21,7 +21,9 @@ def test_frequency_is_within_the_site(spark):
     got = {r.page_id: r for r in site_lines(spark.createDataFrame(pages, SCHEMA)).collect()}
     assert got[5].n_dropped == 2 and got[5].text == "page 5\n5" and got[5].n_lines == 4
     assert got[0].text == "page 0\nrare"  # on 3 of 30 pages: below the ratio
-    assert got[100].text == "menu\nown 0"  # too few pages to tell
+    assert got[100].text == "own 0"  # on both pages of its host
+    alone = site_lines(spark.createDataFrame([(1, "http://one.example/", "<p>menu</p><p>menu</p>")], SCHEMA)).first()
+    assert (alone.n_dropped, alone.text) == (0, "menu\nmenu")  # a single page tells nothing
 
 
 def test_odd_rows(spark):
