@@ -20,6 +20,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from rxsieve.llm.copies import with_copy
 from rxsieve.llm.store import stored
 
 #: Weights of the sources in their order, repeating.
@@ -132,11 +133,14 @@ def mix(docs: DataFrame, carried: list[str] | None = None, seed: int = 1) -> Dat
     """Per row ``row`` (its ``carried`` columns, all unless they are named), ``size``, ``source_size``, ``target``, ``copies``.
 
     ``docs`` has ``doc_id``, ``text`` and ``source``. Texts without words are never taken. A NULL source is a source, the last; a
-    NULL doc_id is an id like others. Rows alike in id and text are documents of their own; they share a group of the tree, which
-    then is larger. No rows give no rows.
+    NULL doc_id is an id like others. Rows alike in id and text are documents of their own, told apart by where they stand in the table. No rows
+    give no rows.
     """
     row = F.struct(*(carried or docs.columns)).alias("row")
-    rows = stored(docs.select(row, F.col("doc_id").alias("id"), F.xxhash64("text").alias("tie"), "source", n_words(F.col("text")).alias("size")), "sized")
+    sized = docs.select(row, F.col("doc_id").alias("id"), F.xxhash64("text").alias("tie"), "source", n_words(F.col("text")).alias("size"))
+    # rows alike in id and text get ties of their own, or all of them would share a group on every level
+    numbered = with_copy(sized, ["id", "tie"])
+    rows = stored(numbered.withColumn("tie", F.when(F.col("copy") > 0, F.xxhash64("tie", "copy")).otherwise(F.col("tie"))).drop("copy"), "sized")
     wanted = stored(targets(rows), "targets")
     worded = rows.where("size > 0")
     means = worded.groupBy(F.col("source").alias("of")).agg(F.avg("size").alias("mean"))

@@ -1,9 +1,11 @@
 import random
+import time
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
-from rxsieve.llm.mixing import mix, mixture, n_words, repeated, targets
+from rxsieve.llm.mixing import _pair, mix, mixture, n_words, repeated, targets
 from tests.llm import brute
 
 SCHEMA = "doc_id long, text string, source string"
@@ -74,3 +76,32 @@ def test_rows_stay_whole(spark):
     got = repeated(frame)
     assert got.columns == frame.columns
     assert Counter(r.doc_id for r in got.collect()) == Counter({d: c for d, c in copies.items() if c})
+
+
+def test_many_equal_rows_spread_over_the_tree(spark):
+    """30,000 rows alike: none of the groups is large, and the targets are met."""
+    frame = spark.range(30_000).selectExpr("cast(null as long) doc_id", "'a b c' text", "'x' source")
+    frame = frame.unionByName(spark.range(1000).selectExpr("id doc_id", "'a b' text", "'y' source"))
+    begun = time.monotonic()
+    rows = mix(frame, ["source"]).groupBy("row.source").agg(F.count("*").alias("n"), F.sum(F.col("copies") * F.col("size")).alias("taken"), F.max("target").alias("target")).collect()
+    assert time.monotonic() - begun < 60
+    assert {r.source: r.n for r in rows} == {"x": 30_000, "y": 1000}
+    assert all(abs(r.taken - r.target) <= 0.02 * r.target + 30 for r in rows)
+
+
+def test_pivotal_rounding_of_a_pair(spark):
+    """Words stay the same, one document becomes whole, and the draw keeps the expected copies."""
+    rng = random.Random(1)
+    rows = [(rng.randrange(1, 50), rng.random(), rng.randrange(1, 50), rng.random(), k) for k in range(4000)]
+    frame = spark.createDataFrame(rows, "a long, p double, b long, q double, id long").select(
+        "a", "p", "b", "q", F.struct(F.col("a").alias("size"), F.col("id"), F.lit(0).alias("tie"), F.col("p").alias("part")).alias("x"),
+        F.struct(F.col("b").alias("size"), (F.col("id") + 10_000).alias("id"), F.lit(0).alias("tie"), F.col("q").alias("part")).alias("y"),
+    )
+    off = {"x": 0.0, "y": 0.0}
+    for r in frame.select("a", "p", "b", "q", _pair(F.col("x"), F.col("y"), 7).alias("o")).collect():
+        one, two = (r.o.done, r.o.left) if r.o.done.id < 10_000 else (r.o.left, r.o.done)
+        assert abs(one.part * r.a + two.part * r.b - r.p * r.a - r.q * r.b) < 1e-6
+        assert min(abs(r.o.done.part - v) for v in (0, 1)) < 1e-9 and -1e-9 <= r.o.left.part <= 1 + 1e-9
+        off["x"] += one.part - r.p
+        off["y"] += two.part - r.q
+    assert all(abs(v) < 80 for v in off.values())
