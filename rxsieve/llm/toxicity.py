@@ -23,6 +23,8 @@ from rxsieve.llm import words as w
 BITS = 22
 #: Labelled rows that the classifier is fitted on, at most; every row is scored.
 SAMPLE_ROWS = 12_000
+#: And their features in all, from which on further texts of the sample are left out.
+SAMPLE_FEATURES = 1 << 25
 EPOCHS = 3
 ALPHA, BETA, L2 = 3.0, 1.0, 0.01
 #: The L1 penalty, times the root of the number of texts: chance leaves gradients of that order.
@@ -57,13 +59,16 @@ def _features(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nda
 
 
 def _train(batches):
-    texts, labels = [], []
+    texts, labels, size = [], [], 0
     for batch, data, offsets in w.chunks(batches):
+        if size >= SAMPLE_FEATURES:
+            continue
         index, row = _features(data, offsets)
         keys = np.unique(row << BITS | index)
         parts = np.searchsorted(keys, np.arange(1, len(batch)) << BITS)
         texts += [(part & ((1 << BITS) - 1)).astype(np.int32) for part in np.split(keys, parts)]
         labels += batch.column("label").to_pylist()
+        size += len(keys)
     if not texts:
         return
     z, n = np.zeros((1 << BITS) + 1), np.zeros((1 << BITS) + 1)
