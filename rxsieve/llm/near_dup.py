@@ -37,6 +37,8 @@ LEAST_ESTIMATE = 0.5
 MOST_ONES = int(SKETCH_BITS / 2 * (1 - np.exp(-4 * SAMPLES * (1 - LEAST_ESTIMATE) / SKETCH_BITS)))
 #: Members of a bucket that one task compares: a whole bucket, or two blocks of about half of it.
 BUCKET = 2000
+#: And their shingles in all, 64 MB of hashes, beyond which it is cut likewise.
+SHINGLES = 8 << 20
 _MULTIPLIERS = w.mixed(np.arange(1, SAMPLES + 1, dtype=np.uint64)) | np.uint64(1)
 
 
@@ -145,23 +147,25 @@ def _first_links(bucketed: DataFrame, single: DataFrame, sets: DataFrame) -> Dat
 
 
 def _unresolved(members: DataFrame) -> DataFrame:
-    """Members of the buckets that hold several components, with the bucket's size."""
-    counts = members.groupBy("key").agg(F.count("*").alias("members"), F.min("label").alias("low"), F.max("label").alias("high"))
-    return members.join(counts.where("low != high").select("key", "members"), "key")
+    """Members of the buckets that hold several components, with the bucket's members and shingles."""
+    counts = members.groupBy("key").agg(F.count("*").alias("members"), F.sum("size").alias("shingles"), F.min("label").alias("low"), F.max("label").alias("high"))
+    return members.join(counts.where("low != high").select("key", "members", "shingles"), "key")
 
 
-def _cells(members: DataFrame, bucket: int) -> DataFrame:
-    """The members of each bucket by the pairs of blocks, ``low`` and ``high``, that a task compares; a bucket of at most ``bucket`` members is one block.
+def _cells(members: DataFrame, bucket: int, shingles: int = SHINGLES) -> DataFrame:
+    """The members of each bucket by the pairs of blocks, ``low`` and ``high``, that a task compares; a bucket of at most ``bucket`` members with ``shingles`` in all is one block.
 
     The blocks of the rest come first and those of the largest component, which need not meet each other, after them.
     """
-    small = members.where(F.col("members") <= bucket).select("key", "id", "band", "label", F.lit(0).alias("block"), F.lit(1).alias("rest"), F.lit(1).alias("blocks"))
-    large = members.where(F.col("members") > bucket)
-    of_label = large.groupBy("key", "label", "members").agg(F.count("*").alias("n"))
-    main = of_label.groupBy("key", "members").agg(F.max(F.struct("n", "label")).alias("main"))
-    count = lambda n: F.ceil(n * 2 / bucket).cast("int")
-    rest = count(F.col("members") - F.col("main.n"))
-    main = main.select("key", F.col("main.label").alias("main"), rest.alias("rest"), (rest + count(F.col("main.n"))).alias("blocks"))
+    tasks = lambda n, size: F.greatest(n / bucket, size / shingles)
+    load = tasks(F.col("members"), F.col("shingles"))
+    small = members.where(load <= 1).select("key", "id", "band", "label", F.lit(0).alias("block"), F.lit(1).alias("rest"), F.lit(1).alias("blocks"))
+    large = members.where(load > 1)
+    of_label = large.groupBy("key", "label", "members", "shingles").agg(F.count("*").alias("n"), F.sum("size").alias("size"))
+    main = of_label.groupBy("key", "members", "shingles").agg(F.max(F.struct("n", "size", "label")).alias("main"))
+    count = lambda n, size: F.ceil(2 * tasks(n, size)).cast("int")
+    rest = F.greatest(F.lit(1), count(F.col("members") - F.col("main.n"), F.col("shingles") - F.col("main.size")))
+    main = main.select("key", F.col("main.label").alias("main"), rest.alias("rest"), (rest + F.greatest(F.lit(1), count(F.col("main.n"), F.col("main.size")))).alias("blocks"))
     salt = F.xxhash64("id")
     block = F.when(F.col("label") == F.col("main"), F.col("rest") + F.pmod(salt, F.col("blocks") - F.col("rest"))).otherwise(F.pmod(salt, F.col("rest")))
     cut = large.join(main, "key").select("key", "id", "band", "label", block.cast("int").alias("block"), "rest", "blocks")
@@ -172,7 +176,7 @@ def _cells(members: DataFrame, bucket: int) -> DataFrame:
 
 def _further_links(bucketed: DataFrame, named: DataFrame, single: DataFrame, sets: DataFrame, bucket: int) -> DataFrame:
     """Links across the components found so far, over every bucket that holds several."""
-    labelled = bucketed.select("key", "id", "band").join(named, "id", "left").select("key", "id", "band", F.coalesce("component", "id").alias("label"))
+    labelled = bucketed.select("key", "id", "band", "size").join(named, "id", "left").select("key", "id", "band", "size", F.coalesce("component", "id").alias("label"))
     todo = stored(_unresolved(labelled), "unresolved")
     ready = _cells(todo, bucket).join(single.select("id", "bands", "sketch"), "id").join(sets, "id")
     return stored(ready.groupBy("key", "low", "high").applyInArrow(_links_in_bucket, "a long, b long"), "links")
@@ -187,7 +191,7 @@ def _components_of_rows(docs: DataFrame, bucket: int) -> DataFrame:
     least = F.min(F.struct("doc_id", "bands", "sketch")).alias("least")
     single = signed.where("n_shingles > 0 and doc_id is not null").groupBy(*same).agg(least)
     single = stored(single.select(F.col("least.doc_id").alias("id"), *same, "least.bands", "least.sketch"), "sets")
-    banded = single.select("id", F.posexplode("bands").alias("band", "key"))
+    banded = single.select("id", F.col("n_shingles").cast("int").alias("size"), F.posexplode("bands").alias("band", "key"))
     sizes = banded.groupBy("key").agg(F.count("*").alias("members"), F.min("id").alias("least"))
     bucketed = stored(banded.join(sizes.where("members > 1").drop("members"), "key"), "buckets")
 
