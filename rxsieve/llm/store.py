@@ -6,6 +6,7 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -61,7 +62,12 @@ def drop_stored(frame: DataFrame) -> None:
         _delete(frame.sparkSession, path)
 
 
-def release(spark: SparkSession) -> None:
-    """Delete every intermediate table of this process, once all results that read them are written."""
-    for path in list(_written):
+def stored_paths() -> list[str]:
+    """Paths of the intermediate tables of this process, the latest last."""
+    return list(_written)
+
+
+def release(spark: SparkSession, kept: Iterable[str] = ()) -> None:
+    """Delete the intermediate tables of this process other than ``kept``, once all results that read them are written."""
+    for path in set(_written) - set(kept):
         _delete(spark, path)
