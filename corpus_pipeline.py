@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from rxsieve.llm.decontaminate import without_passages
 from rxsieve.llm.mixing import repeated
 from rxsieve.llm.near_dup import without_copies
-from rxsieve.llm.store import stored
+from rxsieve.llm.store import release, stored, stored_paths
 from rxsieve.llm.token_files import token_file_rows
 from rxsieve.llm.toxicity import without_toxic
 
@@ -59,8 +59,10 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The last stage's rows over the table ``documents``."""
+    """The last stage's rows over the table ``documents``. What a stage wrote on its way, and what it read, goes once its rows are written."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    others = stored_paths()
     for name, stage in STAGES[:-1]:
         docs = stored(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        release(spark, [*others, stored_paths()[-1]])
     return STAGES[-1][1](spark, docs, sf_dir)
