@@ -20,7 +20,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rxsieve.llm.copies import with_copy
+from rxsieve.llm.copies import repeated_kinds, with_copy
 from rxsieve.llm.store import stored
 
 #: Weights of the sources in their order, repeating.
@@ -138,9 +138,11 @@ def mix(docs: DataFrame, carried: list[str] | None = None, seed: int = 1) -> Dat
     """
     row = F.struct(*(carried or docs.columns)).alias("row")
     sized = docs.select(row, F.col("doc_id").alias("id"), F.xxhash64("text").alias("tie"), "source", n_words(F.col("text")).alias("size"))
-    # rows alike in id and text get ties of their own, or all of them would share a group on every level
-    numbered = with_copy(sized, ["id", "tie"])
-    rows = stored(numbered.withColumn("tie", F.when(F.col("copy") > 0, F.xxhash64("tie", "copy")).otherwise(F.col("tie"))).drop("copy"), "sized")
+    if repeated_kinds(sized, ["id", "tie"]).limit(1).count():
+        # rows alike in id and text get ties of their own, or all of them would share a group on every level
+        numbered = with_copy(sized, ["id", "tie"])
+        sized = numbered.withColumn("tie", F.when(F.col("copy") > 0, F.xxhash64("tie", "copy")).otherwise(F.col("tie"))).drop("copy")
+    rows = stored(sized, "sized")
     wanted = stored(targets(rows), "targets")
     worded = rows.where("size > 0")
     means = worded.groupBy(F.col("source").alias("of")).agg(F.avg("size").alias("mean"))
