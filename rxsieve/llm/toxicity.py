@@ -112,36 +112,35 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> W
     return Weights(np.array([i for i, _ in table[:-1]], np.int64), np.array([v for _, v in table[:-1]]), table[-1][1])
 
 
-def scored(rows: DataFrame, weights: Weights) -> DataFrame:
-    """``rows`` (any columns, ``text`` among them) with ``score``, 0 to 1.
+def scored(docs: DataFrame, weights: Weights, carried: list[str] | None = None) -> DataFrame:
+    """Per row of ``docs`` (any columns, ``text`` among them) its ``row``, the ``carried`` columns or all, and ``score``, 0 to 1.
 
     NULL and empty texts get the score of the intercept; where nothing could be learned every score is 0.
     """
-    shared = rows.sparkSession.sparkContext.broadcast(tuple(weights))
-    names = [*rows.columns, "score"]
+    shared = docs.sparkSession.sparkContext.broadcast(tuple(weights))
+    rows, text = w.rows_of(docs, carried)
 
     def score(batches):
         index, value, intercept = shared.value
         table = np.zeros(1 << BITS, np.float32)
         table[index] = value
-        for batch, data, offsets in w.chunks(batches):
+        for batch, data, offsets in w.chunks(batches, text):
             at, row = _features(data, offsets)
             told = table[at] != 0
             keys = np.unique(row[told] << BITS | at[told])
             sums = np.bincount(keys >> BITS, table[keys & ((1 << BITS) - 1)], len(batch))
             total = np.zeros(len(batch)) if intercept is None else 1 / (1 + np.exp(-np.clip(sums + intercept, -30, 30)))
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(total)], names)
+            yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(total)], ["row", "score"])
 
-    return rows.mapInArrow(score, T.StructType([*rows.schema.fields, T.StructField("score", T.DoubleType())]))
+    return rows.mapInArrow(score, T.StructType([rows.schema["row"], T.StructField("score", T.DoubleType())]))
 
 
 def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """Per row ``doc_id``, ``held_out``, ``score``, ``predicted`` (1 from a score of 0.5 on); other columns are ignored."""
-    scores = scored(docs.select("doc_id", "text"), fit(docs, labels))
+    scores = scored(docs, fit(docs, labels), ["doc_id"]).select("row.doc_id", "score")
     return scores.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
 def without_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of ``docs``, whatever their columns, whose text is not predicted to be toxic."""
-    whole = docs.select(F.struct("*").alias("row"), "text")
-    return scored(whole, fit(docs, labels)).where("score < 0.5").select("row.*")
+    return scored(docs, fit(docs, labels)).where("score < 0.5").select("row.*")

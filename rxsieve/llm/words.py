@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 CHUNK_BYTES = 1 << 20
 BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -68,10 +70,26 @@ def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
-def chunks(batches, column: str = "text", limit: int = CHUNK_BYTES) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
+def text_of(batch: pa.RecordBatch) -> pa.Array:
+    return batch.column("text")
+
+
+def rows_of(docs: DataFrame, carried: list[str] | None = None) -> tuple[DataFrame, Callable[[pa.RecordBatch], pa.Array]]:
+    """``row`` (the ``carried`` columns of ``docs``, all unless they are named), and how a batch of it gives the texts.
+
+    A whole row holds its text, so that texts travel once; beside others stands the column ``text``.
+    """
+    if carried is not None:
+        return docs.select(F.struct(*carried).alias("row"), "text"), text_of
+    names = docs.columns
+    at = names.index("text") if "text" in names else [c.lower() for c in names].index("text")
+    return docs.select(F.struct("*").alias("row")), lambda batch: batch.column("row").field(at)
+
+
+def chunks(batches, text: Callable[[pa.RecordBatch], pa.Array] = text_of, limit: int = CHUNK_BYTES) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
     """Slices of whole rows of about ``limit`` bytes, so that memory does not depend on the batch size."""
     for batch in batches:
-        data, offsets = utf8(batch.column(column))
+        data, offsets = utf8(text(batch))
         at = 0
         while at < len(batch):
             end = max(at + 1, int(np.searchsorted(offsets, offsets[at] + limit, "right")) - 1)
