@@ -13,12 +13,14 @@ Words are compared by 64-bit hashes.
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from rxsieve.llm import words as w
 from rxsieve.llm.fm_index import FMIndex
@@ -136,41 +138,39 @@ def _spans(hit: np.ndarray) -> list[int]:
     return np.flatnonzero(np.diff(np.concatenate([[0], hit, [0]]))).tolist()
 
 
-def _pass(rows: DataFrame, items: pa.Table) -> DataFrame:
-    """``rows`` (row, text, n_words, spans, items) with what one block of the benchmark adds."""
+def _pass(rows: DataFrame, items: pa.Table, text: Callable[[pa.RecordBatch], pa.Array], names: list[str]) -> DataFrame:
+    """``rows`` (row, n_words, spans, items and perhaps text) with what one block of the benchmark adds; they go on with the columns ``names``."""
     shared = rows.sparkSession.sparkContext.broadcast(tuple(windows(items)))
 
     def find(batches):
         block = Windows(*shared.value)
         seen = np.zeros(1 << FILTER_BITS, bool)
         seen[(block.vocabulary >> np.uint64(64 - FILTER_BITS)).astype(np.int64)] = True
-        for batch, data, offsets in w.chunks(batches, limit=SHARD_BYTES):
+        for batch, data, offsets in w.chunks(batches, text, SHARD_BYTES):
             # hashes in smaller pieces, to keep the working arrays small
-            parts = [w.word_hashes(d, o, w.ALPHANUMERIC) for _, d, o in w.chunks([batch])]
+            parts = [w.word_hashes(d, o, w.ALPHANUMERIC) for _, d, o in w.chunks([batch], text)]
             hashes = np.concatenate([h for h, _ in parts])
             before = np.concatenate([[0], np.cumsum(np.concatenate([np.diff(b) for _, b in parts]))])
             covered, found = _search(hashes, before, block, seen) if block.starts else (np.zeros(len(hashes), np.int64), {})
-            spans, names = [], []
+            spans, known_items = [], []
             for k, (old, known) in enumerate(zip(batch.column("spans").to_pylist(), batch.column("items").to_pylist(), strict=True)):
                 if k not in found:
                     spans.append(old)
-                    names.append(known)
+                    known_items.append(known)
                     continue
                 hit = covered[before[k] : before[k + 1]] > 0
                 for a, b in zip(old[::2], old[1::2], strict=True):
                     hit[a:b] = True
                 spans.append(_spans(hit.astype(np.int8)))
-                names.append(sorted({*block.names.take(pa.array(sorted(found[k]), pa.int32())).to_pylist(), *known}))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("row"), batch.column("text"), pa.array(np.diff(before)), pa.array(spans, pa.list_(pa.int32())), pa.array(names, pa.list_(pa.string()))],
-                ["row", "text", "n_words", "spans", "items"],
-            )
+                known_items.append(sorted({*block.names.take(pa.array(sorted(found[k]), pa.int32())).to_pylist(), *known}))
+            new = {"n_words": pa.array(np.diff(before)), "spans": pa.array(spans, pa.list_(pa.int32())), "items": pa.array(known_items, pa.list_(pa.string()))}
+            yield pa.RecordBatch.from_arrays([new[c] if c in new else batch.column(c) for c in names], names)
 
-    return rows.mapInArrow(find, rows.schema)
+    return rows.mapInArrow(find, T.StructType([rows.schema[c] for c in names]))
 
 
-def find_passages(docs: DataFrame, benchmark: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """Per row of ``docs``: ``row`` (all its columns), ``n_words``, ``spans``, ``items``.
+def find_passages(docs: DataFrame, benchmark: DataFrame, block_bytes: int = BLOCK_BYTES, carried: list[str] | None = None) -> DataFrame:
+    """Per row of ``docs``: ``row`` (its ``carried`` columns, all unless they are named), ``n_words``, ``spans``, ``items``.
 
     ``spans`` are the starts and ends, in turn, of the runs of words inside an occurrence of a window of ten
     consecutive words of an item, or of a whole shorter item; ``items`` are the ids, as strings and sorted, of the items
@@ -181,14 +181,17 @@ def find_passages(docs: DataFrame, benchmark: DataFrame, block_bytes: int = BLOC
     items = benchmark.select(F.col("item_id").cast("string").alias("item_id"), "text").where("text is not null").distinct()
     total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = max(1, math.ceil(total / block_bytes))
-    rows = docs.select(F.struct("*").alias("row"), "text", F.lit(0).cast("long").alias("n_words"), F.array().cast("array<int>").alias("spans"), F.array().cast("array<string>").alias("items"))
+    rows, text = w.rows_of(docs, carried)
+    rows = rows.withColumns({"n_words": F.lit(0).cast("long"), "spans": F.array().cast("array<int>"), "items": F.array().cast("array<string>")})
     if blocks > 1:
         items = stored(items.withColumn("block", F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks))), "items")
     for k in range(blocks):
         block = items.where(F.col("block") == k) if blocks > 1 else items
         found = block.select("item_id", "text").mapInArrow(_words, "item_id string, words array<long>").toArrow()
-        rows = _pass(rows if k == 0 else stored(rows, "passages"), found)
-    return rows.drop("text")
+        # the last pass has no use for the texts
+        names = [c for c in rows.columns if c != "text" or k < blocks - 1]
+        rows = _pass(rows if k == 0 else stored(rows, "passages"), found, text, names)
+    return rows
 
 
 def n_hit(spans: Column) -> Column:
@@ -198,7 +201,7 @@ def n_hit(spans: Column) -> Column:
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """Per row ``doc_id``, ``n_words``, ``n_hit``, ``n_items``, ``items_sha256``, ``contaminated``; other columns are ignored."""
-    found = find_passages(docs.select("doc_id", "text"), benchmark)
+    found = find_passages(docs, benchmark, carried=["doc_id"])
     return found.select("row.doc_id", "n_words", n_hit(F.col("spans")).alias("n_hit"), F.size("items").cast("long").alias("n_items"), F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"), (F.size("spans") > 0).alias("contaminated"))
 
 

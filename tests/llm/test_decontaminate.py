@@ -119,3 +119,18 @@ def test_windows_of_a_large_benchmark_stay_small():
     assert peak < 300 << 20
     assert len(block.starts[10]) == items * (words - 9) and sum(x.nbytes for x in (block.vocabulary, block.words, block.starts[10], *block.owners[10])) < 64 << 20
     assert block.items(10, np.flatnonzero(block.starts[10] < 2 * words)).tolist() == [0]
+
+
+def test_texts_are_found_in_whole_rows_and_beside_others(spark):
+    """Whatever stands before the text, however its column is written, with one block and several; NULL texts stay NULL."""
+    passage = " ".join(f"p{i}" for i in range(12))
+    rows = [(None, k, t) for k, t in enumerate([f"a {passage} b", "a b c", None, "", "x " * 3000, f"{passage}"])]
+    docs = spark.createDataFrame(rows, "text2 string, doc_id long, Text string")
+    benchmark = spark.createDataFrame([(f"i{k}", passage if k == 0 else f"q{k} " * 12) for k in range(40)], "item_id string, text string")
+    for block in (1 << 20, 200):
+        found = find_passages(docs, benchmark, block)
+        assert {r.row.doc_id: (r.n_words, r.spans) for r in found.collect()} == {0: (14, [1, 13]), 1: (3, []), 2: (0, []), 3: (0, []), 4: (3000, []), 5: (12, [0, 12])}
+        assert {r.row.doc_id: r.row.Text for r in found.collect()} == {k: t for _, k, t in rows}
+        some = find_passages(docs, benchmark, block, ["doc_id"])
+        assert some.columns == ["row", "n_words", "spans", "items"] and {r.row.doc_id for r in some.where("size(spans) > 0").collect()} == {0, 5}
+    assert {r.doc_id for r in without_passages(docs, benchmark).collect()} == {1, 2, 3, 4}
