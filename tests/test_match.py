@@ -216,3 +216,15 @@ def test_codes_that_begin_with_a_wildcard_ask_for_one_piece_a_product(spark):
     anchored = match._anchored(d.select("druglvl", "drug_code").distinct())
     assert {r.piece[0] for r in anchored.where("drug_code rlike '^%[0-9]+$'").collect()} == {"T"}
     assert {r.rest for r in anchored.where("drug_code rlike '^%[0-9]+$'").collect()} == {match.DECIDED}
+
+
+def test_tables_are_never_broadcast(spark, tmp_path):
+    """Packed files look small; their rows must not pass through the driver for it."""
+    drugs = [drug("GPI", f"{k:04d}") for k in range(50)]
+    d, p = frames(spark, drugs, [product(k, f"{k:011d}", f"{k:06d}") for k in range(5000)])
+    d.write.parquet(str(tmp_path / "drugs"))
+    p.write.parquet(str(tmp_path / "products"))
+    found = drug_validity(spark.read.parquet(str(tmp_path / "drugs")), spark.read.parquet(str(tmp_path / "products")), CampaignParams(campaign_id=30))
+    assert len(found.collect()) == 2 * 5000
+    plan = found._jdf.queryExecution().executedPlan()
+    assert "BroadcastExchange" not in plan.toString() and "SortMergeJoin" in plan.toString()
