@@ -59,11 +59,13 @@ def shuffled(docs: DataFrame, carried: list[str] | None = None, shards: int = SH
 
 
 def shard_rows(docs: DataFrame) -> DataFrame:
-    """Per row ``doc_id``, ``size``, ``text_crc32``, ``law``, ``shard``, ``slot``, ``grown_shard``."""
-    text = F.coalesce(F.col("text"), F.lit(""))
-    facts = docs.select("doc_id", "text", (F.octet_length(text) + 8).cast("long").alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"))
-    placed = shuffled(facts, ["doc_id", "size", "text_crc32"])
-    return placed.select("row.*", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+    """Per row ``doc_id``, ``size``, ``text_crc32``, ``law``, ``shard``, ``slot``, ``grown_shard``.
+
+    Whole records go through both passes, as in ``write_shards``; size and checksum are those of the text that comes out of them.
+    """
+    placed = shuffled(docs).select("row.doc_id", F.coalesce("row.text", F.lit("")).alias("text"), "shard", "slot")
+    size, crc = (F.octet_length("text") + 8).cast("long"), F.crc32(F.col("text").cast("binary"))
+    return placed.select("doc_id", size.alias("size"), crc.alias("text_crc32"), F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
 def write_shards(docs: DataFrame, path: str, shards: int = SHARDS) -> None:

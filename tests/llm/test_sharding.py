@@ -1,6 +1,7 @@
 import zlib
 from collections import Counter
 
+from rxsieve.llm import sharding
 from rxsieve.llm.sharding import shard_rows, shuffled, write_shards
 
 SCHEMA = "doc_id long, text string"
@@ -76,3 +77,16 @@ def test_equal_rows_are_dealt_over_the_buckets(spark):
     # more than one bucket's worth of equal rows: each shard holds its share
     named = [r for r in rows.collect() if r.row.doc_id is not None]
     assert min(Counter(r.shard for r in named).values()) > 10
+
+
+def test_whole_records_go_through_both_passes(spark, monkeypatch):
+    """What the buckets gather and shuffle are the records with their texts, not their ids beside facts known before."""
+    seen, passes = [], sharding.shuffled
+    monkeypatch.setattr(sharding, "shuffled", lambda *a, **k: seen.append(passes(*a, **k)) or seen[-1])
+    frame = documents(spark).selectExpr("*", "concat('source ', doc_id) as source")
+    placed = shard_rows(frame)
+    assert [f.schema["row"].dataType.names for f in seen] == [frame.columns]
+    plan = placed._jdf.queryExecution().optimizedPlan().toString()
+    assert "crc32" not in plan[plan.index("collect_list") :]
+    text = {r.doc_id: r.text for r in frame.collect()}
+    assert all(r.text_crc32 == zlib.crc32(text[r.doc_id].encode()) for r in placed.collect())
