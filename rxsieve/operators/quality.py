@@ -1,7 +1,9 @@
 """Evaluates the active rules and reports faulty rows.
 
 All rules are plain columns of one projection, evaluated once per row. Removing
-repeated rows is the single shuffle.
+repeated rows is the single shuffle. It comes before the first aggregate: rows are
+wide and mostly differ, so combining them where they are read would gather all
+rows of a file in one task and save nothing.
 """
 
 from __future__ import annotations
@@ -12,6 +14,7 @@ from pyspark.sql import functions as F
 from rxsieve.functions.cells import blank, cell, one_of
 from rxsieve.params import INTAKE, CampaignParams
 from rxsieve.rules.gates import rules_for
+from rxsieve.session import partitions
 
 MESSAGE = "validation_msg"
 SEPARATOR = "; "
@@ -34,7 +37,9 @@ def validate_quality(drugs: DataFrame, run: CampaignParams) -> DataFrame:
     # Exploding the one-element array keeps faulty rows only. A filter would do the same, but Spark
     # pushes it below the projection, repeating every rule in it.
     faulty = F.filter(F.array(MESSAGE), lambda given: given != "")
-    return judged.select(*kept, F.explode(faulty).alias(MESSAGE)).distinct()
+    report = judged.select(*kept, F.explode(faulty).alias(MESSAGE))
+    # A number of partitions is given, or Spark joins them by their packed size, a tenth of what they take in memory.
+    return report.repartition(partitions(drugs.sparkSession), *[cell(c) for c in report.columns]).distinct()
 
 
 def issues_per_row(drugs: DataFrame, run: CampaignParams, keys: list[str]) -> DataFrame:

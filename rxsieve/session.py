@@ -15,3 +15,8 @@ def tuned(spark: SparkSession) -> SparkSession:
         if key not in spark.conf.getAll:
             spark.conf.set(key, value)
     return spark
+
+
+def partitions(spark: SparkSession) -> int:
+    """How many parts the session deals rows to."""
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))

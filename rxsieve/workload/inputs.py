@@ -9,6 +9,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from rxsieve.session import partitions
+
 NDC = "lpad(cast(p_partkey * 37 as varchar(20)), 11, '0')"
 GPI = (
     "lpad(substr(p_brand, 7), 2, '0') || lpad(cast(p_size as varchar(20)), 2, '0')"
@@ -316,8 +318,14 @@ from {documents}
 """
 
 
-def read_input(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
-    """Run an input's SELECT over the Parquet tables it names."""
+def read_input(spark: SparkSession, sf_dir: str, sql: str, spread: bool = False) -> DataFrame:
+    """Run an input's SELECT over the Parquet tables it names.
+
+    ``spread``: the rows are dealt to the session's partitions first. For inputs far wider than their table, of which a task
+    would otherwise read a million rows.
+    """
     names = [t for t in ("part", "nation", "customer", "events", "documents", "conversations") if f"{{{t}}}" in sql]
     tables = {t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in names}
+    if spread:
+        tables = {t: rows.repartition(partitions(spark), *rows.columns) for t, rows in tables.items()}
     return spark.sql(sql.replace('"', "`"), **tables)

@@ -81,12 +81,12 @@ campaigns, messages, issues = _input(inputs.CAMPAIGNS), _input(inputs.MESSAGES),
 projects, runs = _input(inputs.PROJECTS), _input(inputs.RUNS)
 
 
-def raw_rows(family: str) -> Query:
-    return lambda spark, sf: inputs.read_input(tuned(spark), sf, inputs.family_rows(family))
+def raw_rows(family: str, spread: bool = True) -> Query:
+    return lambda spark, sf: inputs.read_input(tuned(spark), sf, inputs.family_rows(family), spread)
 
 
 def _normalized(run: CampaignParams, columns: list[str]) -> Query:
-    return lambda spark, sf: normalize_drug_rows(raw_rows("common")(spark, sf), run).select(*columns)
+    return lambda spark, sf: normalize_drug_rows(raw_rows("common", spread=False)(spark, sf), run).select(*columns)
 
 
 def _matched(level: str) -> Query:

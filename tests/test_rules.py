@@ -201,3 +201,19 @@ FORMULARY = [(v, f, t) for v in ("N", "t", "T", "X", None, "", "e") for f, t in
 def test_target_indicator(spark, run, expected):
     rows = spark.createDataFrame(FORMULARY + FORMULARY, "drug_tgt_ind string, tier_from string, tier_to string")
     assert Counter(r.drug_tgt_ind for r in validate_target_indicator(rows, run).collect()) == expected
+
+
+def test_wide_rows_are_dealt_out_before_they_are_gathered(spark):
+    """A task that reads a whole file must not hold its rows to find repeated ones."""
+    report = validate_quality(frame(spark, *[CLEAN | {"rec_type": "Z", "ndc9": f"{k % 70:09d}"} for k in range(200)]), PLAIN)
+    assert report.count() == len(report.collect()) == 70
+    executed = report._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" in executed[: executed.index("Exchange")] and "HashAggregate" not in executed[executed.index("Exchange") :].split("Initial Plan")[0]
+    assert executed.split("Initial Plan")[-1].count("Exchange") == 1
+
+
+def test_rows_far_wider_than_their_table_are_dealt_out_first(spark, tmp_path):
+    spark.range(1000).selectExpr("id as p_partkey", "'Brand#12' p_brand", "1 p_size", "'name' p_name", "'type' p_type").coalesce(1).write.parquet(str(tmp_path / "part.parquet"))
+    read = lambda spread: inputs.read_input(spark, str(tmp_path), inputs.family_rows("vf"), spread)
+    assert read(False).rdd.getNumPartitions() == 1 < read(True).rdd.getNumPartitions()
+    assert sorted(map(repr, read(True).collect())) == sorted(map(repr, read(False).collect()))
