@@ -1,7 +1,8 @@
 """Prunes contradictory matches, then finds duplicates and exclusions without inclusion.
 
 Each check reads the pruned matches more than once; ``plans.intake.validate_intake`` takes the name of a
-table to keep them in.
+table to keep them in. What a check joins them with grows with them, so these joins are merged
+and never broadcast (``joins.merged``).
 """
 
 from __future__ import annotations
@@ -10,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rxsieve.functions.cells import any_of, surely
+from rxsieve.operators.joins import merged
 from rxsieve.params import CampaignParams
 
 # What makes a duplicate, and the columns of its report.
@@ -62,7 +64,7 @@ def duplicate_report(validity: DataFrame) -> DataFrame:
     its clean definition appear as well.
     """
     groups = duplicate_groups(validity).select("rec_type", "drug_id")
-    return validity.join(groups, ["rec_type", "drug_id"]).select(*REPORT_COLUMNS)
+    return validity.join(merged(groups), ["rec_type", "drug_id"]).select(*REPORT_COLUMNS)
 
 
 def duplicate_rows(validity: DataFrame) -> DataFrame:
@@ -74,7 +76,7 @@ def duplicate_rows(validity: DataFrame) -> DataFrame:
     """
     groups = duplicate_groups(validity).select(*[F.col(k).alias(f"group_{k}") for k in DUPLICATE_KEY])
     same = [F.col(k).eqNullSafe(F.col(f"group_{k}")) for k in DUPLICATE_KEY]
-    return validity.join(groups, same, "left_semi").select("rec_type", "drug_defn", *REPORT_COLUMNS[1:])
+    return validity.join(merged(groups), same, "left_semi").select("rec_type", "drug_defn", *REPORT_COLUMNS[1:])
 
 
 def rows_of_type(validity: DataFrame, rec_type: str) -> DataFrame:
@@ -95,7 +97,7 @@ def invalid_exclusions(validity: DataFrame) -> DataFrame:
     ).scalar()
     excluded = rows_of_type(validity, "E").select("drug_id", "rec_type")
     possible = excluded.filter(facts["none"] | (~facts["unknown"] & F.col("drug_id").isNotNull()))
-    return possible.join(included.distinct(), "drug_id", "left_anti").select("drug_id", "rec_type")
+    return possible.join(merged(included.distinct()), "drug_id", "left_anti").select("drug_id", "rec_type")
 
 
 def duplicate_report_by_product(validity: DataFrame) -> DataFrame:
@@ -106,7 +108,7 @@ def duplicate_report_by_product(validity: DataFrame) -> DataFrame:
     """
     groups = duplicate_groups(validity).groupBy("drug_id").agg(F.collect_list("rec_type").alias("groups"))
     same = F.filter("groups", lambda group: group == F.col("rec_type"))
-    return validity.join(groups, "drug_id").select(*REPORT_COLUMNS, F.explode(same).alias("group")).drop("group")
+    return validity.join(merged(groups), "drug_id").select(*REPORT_COLUMNS, F.explode(same).alias("group")).drop("group")
 
 
 def finding_counts(validity: DataFrame) -> DataFrame:

@@ -13,7 +13,7 @@ Scale notes
    columns and catalogue columns are joined to the matches that were found, by equality.
  * The lengths asked for are a scalar subquery, so building the plan starts no job.
  * There is one plan for all sizes. Both sides of every join grow with the tables and packed files
-   are estimated far too small, so the joins are merged and never broadcast (``_merged``); AQE splits hot pieces.
+   are estimated far too small, so the joins are merged and never broadcast (``joins.merged``); AQE splits hot pieces.
 """
 
 from __future__ import annotations
@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rxsieve.functions.cells import cell, filled
+from rxsieve.operators.joins import merged
 from rxsieve.params import CampaignParams
 
 # Columns of the three tables, in table order.
@@ -57,10 +58,10 @@ def match_products(drugs: DataFrame, catalog: DataFrame, columns: list[str] = DR
     products = catalog.select(*PRODUCT_COLUMNS).filter(F.col("drug_prod_gid").isNotNull())
     matches = matched_codes(rows, products)
     # copies of matched products and of drug rows go here, so that they never multiply
-    known = products.join(_merged(matches), [F.col(c).eqNullSafe(F.col(f"matched_{c}")) for c in PRODUCT_CODES])
+    known = products.join(merged(matches), [F.col(c).eqNullSafe(F.col(f"matched_{c}")) for c in PRODUCT_CODES])
     known = known.select(*PRODUCT_COLUMNS, *ASKED).distinct()
     asked = rows.distinct().withColumnsRenamed({c: f"asked_{c}" for c in ASKED})
-    both = known.join(_merged(asked), [F.col(c) == F.col(f"asked_{c}") for c in ASKED])
+    both = known.join(merged(asked), [F.col(c) == F.col(f"asked_{c}") for c in ASKED])
     return both.select(*PRODUCT_COLUMNS, *columns)
 
 
@@ -70,7 +71,7 @@ def matched_codes(rows: DataFrame, products: DataFrame) -> DataFrame:
     kind = F.struct(F.substring("piece", 1, 1).alias("origin"), (F.length("piece") - 1).alias("n"))
     wanted = codes.agg(F.collect_set(kind).alias("wanted")).scalar()
     offered = _pieces(products.select(*PRODUCT_CODES).distinct(), wanted)
-    pairs = offered.withColumnsRenamed({c: f"matched_{c}" for c in PRODUCT_CODES}).join(_merged(codes), "piece")
+    pairs = offered.withColumnsRenamed({c: f"matched_{c}" for c in PRODUCT_CODES}).join(merged(codes), "piece")
     subject = F.when(F.col("druglvl") == "GPI", F.trim("matched_gpi_cd")).otherwise(F.col("matched_drug_id"))
     size, place = F.length("anchor"), F.instr(F.col("pattern"), F.col("anchor"))
     fits = (
@@ -81,11 +82,6 @@ def matched_codes(rows: DataFrame, products: DataFrame) -> DataFrame:
     return pairs.filter(fits).select(*[f"matched_{c}" for c in PRODUCT_CODES], *ASKED)
 
 
-def _merged(side: DataFrame) -> DataFrame:
-    """A side of a join that must not pass through the driver, however small its files look."""
-    return side.hint("merge")
-
-
 def _anchored(codes: DataFrame) -> DataFrame:
     """Codes with the piece of product code they ask for, and what the piece leaves open."""
     level, code = F.col("druglvl"), F.col("drug_code")

@@ -210,3 +210,16 @@ def test_delete_writes_only_what_loses_rows(spark):
         assert rows_of(spark.table("stored_matches").select("druglvl").distinct()) == [("GPI",), ("NDC9",), (None,)]
     finally:
         tables.drop_table(spark, "stored_matches")
+
+
+def test_checks_broadcast_nothing(spark, tmp_path):
+    """What the checks join with grows with the matches, so it must not pass through the driver for looking small."""
+    rows = [row(("I", "E")[k % 3 == 0], "PBM ", str(k % 400), "x" if k < 400 else "y") for k in range(600)]
+    validity(spark, *rows).write.parquet(str(tmp_path / "matches"))
+    stored = spark.read.parquet(str(tmp_path / "matches"))
+    gathered = stored.distinct()
+    found = {f"{check.__name__} {kind}": check(frame) for check in (checks.duplicate_report, checks.duplicate_rows, checks.invalid_exclusions, checks.duplicate_report_by_product) for kind, frame in (("stored", stored), ("gathered", gathered))}
+    for name, frame in found.items():
+        assert frame.collect(), name
+        plan = frame._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastExchange" not in plan and "SortMergeJoin" in plan, name
