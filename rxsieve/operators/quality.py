@@ -18,6 +18,7 @@ from rxsieve.session import partitions
 
 MESSAGE = "validation_msg"
 SEPARATOR = "; "
+ROW_HASH = "validation_row_hash"
 
 # Campaigns with a target-indicator check, and the one that also checks tiers.
 TARGET_INDICATOR_CAMPAIGNS = (64, 561)
@@ -38,8 +39,10 @@ def validate_quality(drugs: DataFrame, run: CampaignParams) -> DataFrame:
     # pushes it below the projection, repeating every rule in it.
     faulty = F.filter(F.array(MESSAGE), lambda given: given != "")
     report = judged.select(*kept, F.explode(faulty).alias(MESSAGE))
-    # A number of partitions is given, or Spark joins them by their packed size, a tenth of what they take in memory.
-    return report.repartition(partitions(drugs.sparkSession), *[cell(c) for c in report.columns]).distinct()
+    # Rows are dealt by one hash that is a key of the aggregate too. Dealt by their columns they would be shuffled again, as Spark takes constant columns
+    # out of the keys. A number of partitions is given, or Spark joins them by their packed size, a tenth of what they take in memory.
+    dealt = report.withColumn(ROW_HASH, F.xxhash64(*[cell(c) for c in report.columns]))
+    return dealt.repartition(partitions(drugs.sparkSession), ROW_HASH).distinct().drop(ROW_HASH)
 
 
 def issues_per_row(drugs: DataFrame, run: CampaignParams, keys: list[str]) -> DataFrame:

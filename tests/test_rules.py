@@ -1,6 +1,7 @@
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 from rxsieve import params as p
 from rxsieve.operators.quality import SEPARATOR, issue_counts, issues_per_row, validate_quality, validate_target_indicator
@@ -212,6 +213,14 @@ def test_wide_rows_are_dealt_out_before_they_are_gathered(spark):
     assert executed.split("Initial Plan")[-1].count("Exchange") == 1
 
 
+def test_a_constant_column_costs_no_second_shuffle(spark):
+    """Normalising adds columns with one value, which Spark takes out of an aggregate's keys."""
+    report = validate_quality(frame(spark, *[CLEAN | {"rec_type": "Z", "ndc9": f"{k % 70:09d}"} for k in range(200)]).withColumn("constant", F.lit(0)), PLAIN)
+    rows = report.collect()
+    assert len(rows) == len(set(rows)) == 70 and report.columns[-2:] == ["constant", "validation_msg"]
+    assert report._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[-1].count("Exchange") == 1
+
+
 def test_rows_far_wider_than_their_table_are_dealt_out_first(spark, tmp_path):
     spark.range(1000).selectExpr("id as p_partkey", "'Brand#12' p_brand", "1 p_size", "'name' p_name", "'type' p_type").coalesce(1).write.parquet(str(tmp_path / "part.parquet"))
     read = lambda spread: inputs.read_input(spark, str(tmp_path), inputs.family_rows("vf"), spread)
